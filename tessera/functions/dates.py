@@ -84,3 +84,15 @@ def round_half_up(col, digits: int = 2) -> Column:
     rounding mode (the SQL oracle uses the same expression)."""
     scale = float(10 ** digits)
     return F.floor(_c(col) * scale + 0.5) / scale
+
+
+def tenths(col) -> Column:
+    """Seconds with one decimal as an exact integer count of tenths."""
+    return F.round(_c(col) * 10).cast("long")
+
+
+def minutes_2dp(sum_tenths) -> Column:
+    """``round(seconds / 60, 2)`` computed exactly from a sum of tenths of a
+    second: ``floor((t + 3) / 6) / 100`` (half-up).  An exact integer sum
+    makes the result independent of the order in which partitions add up."""
+    return F.floor((_c(sum_tenths) + 3) / 6) / 100.0

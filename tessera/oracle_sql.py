@@ -35,7 +35,7 @@ _ENGAGEMENT = f"""SELECT CAST(r.EventTime AS DATE) AS EventDate, r.UserID AS Use
   u.UserJoinedDate AS UserJoinedDate,
   date_diff('day', CAST(UserJoinedDate AS DATE), CAST(r.EventTime AS DATE)) AS nth_day_from_registration,
   open_time, payment_screen_time, logs.DeviceBrand AS DeviceBrand,
-  floor(sum(UsageTime) / 60 * 100.0 + 0.5) / 100.0 AS UsageTime, count(*) AS Records,
+  floor((sum(CAST(round(UsageTime * 10) AS BIGINT)) + 3) / 6) / 100.0 AS UsageTime, count(*) AS Records,
   max(r.EventTime) AS lastuse, min(r.EventTime) AS firstuse
 FROM usage_records_all r JOIN user_profile u ON u.UserID = r.UserID
 LEFT JOIN logs ON logs.UserID = r.UserID AND logs.EventDate = CAST(r.EventTime AS DATE)
@@ -45,7 +45,7 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
 _LEARN = f"""SELECT CAST(EventTime AS DATE) AS EventDate,
   date_diff('day', CAST(UserJoinedDate AS DATE), CAST(EventTime AS DATE)) AS nth_day_from_registration,
   r.UserID AS UserID, SubjectName, IsCompleted,
-  floor(sum(UsageTime) / 60 * 100.0 + 0.5) / 100.0 AS UsageTime, count(*) AS Records
+  floor((sum(CAST(round(UsageTime * 10) AS BIGINT)) + 3) / 6) / 100.0 AS UsageTime, count(*) AS Records
 FROM usage_records_all r JOIN activity_profile a ON a.ActivityID = r.ActivityID
 JOIN user_profile p ON p.UserID = r.UserID
 WHERE {COHORT_WHERE}
@@ -77,3 +77,151 @@ ORACLE: dict[str, str] = {
         FROM usage_records_all GROUP BY ActionType"""),
     "views_demographics": q("SELECT * FROM demographics"),
 }
+
+
+# ---- feature pipelines -------------------------------------------------------
+def _payment_body(where: str = COHORT_WHERE) -> str:
+    return f"""SELECT u.UserID, UserJoinedDate, firstpay, firstPayment,
+  CASE WHEN date_diff('day', CAST(UserJoinedDate AS DATE), CAST(firstpay AS DATE)) < 0 THEN NULL
+       ELSE date_diff('day', CAST(UserJoinedDate AS DATE), CAST(firstpay AS DATE)) END AS gapday,
+  Amount, TransactionNo, avgValue
+FROM user_profile u LEFT JOIN pay ON pay.UserID = u.UserID WHERE {where}"""
+
+
+TIER_BIG, TIER_MEDIUM = 1000, 850
+
+
+def _horizon_values(hs) -> str:
+    return "(VALUES " + ", ".join(f"({h})" for h in hs) + ") hs(h)"
+
+
+def _active(src: str, hs) -> str:
+    return f"""SELECT x.*, CAST(h AS INTEGER) AS horizon, MinFirstDay + h AS CutoffDay,
+  nth_day_from_registration - MinFirstDay AS ScaleActionDay, gapday - MinFirstDay AS ScaleGapday
+FROM (SELECT *, min(nth_day_from_registration) OVER (PARTITION BY UserID) AS MinFirstDay,
+      CASE WHEN min(nth_day_from_registration) OVER (PARTITION BY UserID) = 0 THEN 'zero'
+           ELSE 'other' END AS ZeroDay FROM {src}) x
+JOIN {_horizon_values(hs)} ON h >= nth_day_from_registration - MinFirstDay"""
+
+
+def _mode(src: str, keys: str, expr: str, name: str) -> str:
+    return f"""SELECT {keys}, CAST(first(v ORDER BY c DESC, v ASC) AS INTEGER) AS {name}
+FROM (SELECT {keys}, {expr} AS v, count(*) AS c FROM {src} GROUP BY {keys}, {expr})
+GROUP BY {keys}"""
+
+
+def _pivot(src: str, keys: str, pivot: str, values, measures: dict, agg="sum",
+           name="{measure}{value}", cast=None) -> str:
+    cols = []
+    for mname, m in measures.items():
+        for v in values:
+            inner = f"{agg}(CASE WHEN {pivot} = '{v}' THEN {m} END)"
+            c = inner if agg == "count" else f"COALESCE({inner}, 0)"
+            t = (cast or {}).get(mname)
+            if t:
+                c = f"CAST({c} AS {t})"
+            cols.append(f"{c} AS {name.format(measure=mname, value=v)}")
+    return f"SELECT {keys}, {', '.join(cols)} FROM {src} GROUP BY {keys}"
+
+
+SUBJECTS = ["English", "Math", "Phonics", "Vietnamese"]
+ACTIONS = ["Discovery", "Entertainment", "Learn"]
+LEARN_COLS = [f"{m}{s}" for m in ("Interaction", "IsCompleted", "Record", "UsageTime")
+              for s in SUBJECTS]
+
+
+def _features_views(hs) -> dict[str, str]:
+    keys = "horizon, UserID"
+    v = {
+        "payment_x": _payment_body(),
+        "pay_cols": """SELECT UserID, UserJoinedDate, gapday, firstPayment AS firstPaymentType
+            FROM payment_x""",
+        "brand_counts": """SELECT DeviceBrand, count(*) AS cnt FROM engagement
+            WHERE DeviceBrand IS NOT NULL GROUP BY DeviceBrand""",
+        "engage_t": f"""SELECT e.*, p.gapday,
+            CASE WHEN bc.cnt >= {TIER_BIG} THEN 'Big' WHEN bc.cnt >= {TIER_MEDIUM} THEN 'Medium'
+                 ELSE 'Small' END AS TypeBrand
+            FROM engagement e LEFT JOIN pay_cols p ON p.UserID = e.UserID
+            LEFT JOIN brand_counts bc ON bc.DeviceBrand = e.DeviceBrand""",
+        "learn_g": """SELECT d.*, UsageTime * Records AS InteractionLearn, p.gapday
+            FROM learn d LEFT JOIN pay_cols p ON p.UserID = d.UserID""",
+        "action_h": _active("engage_t", hs),
+        "learn_h": _active("learn_g", hs),
+        "rfm_base": f"""SELECT {keys},
+            CAST(horizon + 1 - max(ScaleActionDay) AS BIGINT) AS Recency,
+            CAST(count(DISTINCT firstuse) + max(CASE WHEN firstuse IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+              AS ContentFrequent,
+            CAST(sum(payment_screen_time) AS BIGINT) AS PaymentScreenFrequent,
+            sum(UsageTime) AS TotalUsageTime, CAST(sum(Records) AS BIGINT) AS TotalRecords,
+            max(ScaleGapday) AS ScaleGapday
+            FROM action_h GROUP BY {keys}""",
+        "m_fh": _mode("action_h", keys, "hour(firstuse)", "ModeFirstHour"),
+        "m_lh": _mode("action_h", keys, "hour(lastuse)", "ModeLastHour"),
+        "m_ld": _mode("action_h", keys, "day(lastuse)", "ModeLastDay"),
+        "m_dw": _mode("action_h", keys, "isodow(lastuse) - 1", "ModeDayofweek"),
+        "rfm": """SELECT r.horizon, r.UserID, Recency, ContentFrequent, PaymentScreenFrequent,
+            TotalUsageTime, TotalRecords, ModeFirstHour, ModeLastHour, ModeLastDay, ModeDayofweek,
+            ScaleGapday
+            FROM rfm_base r JOIN m_fh USING (horizon, UserID) JOIN m_lh USING (horizon, UserID)
+            JOIN m_ld USING (horizon, UserID) JOIN m_dw USING (horizon, UserID)""",
+        "medians_h": f"""SELECT {keys}, median(UsageTime) AS MedianUsageTime,
+            median(Records) AS MedianRecord, median(payment_screen_time) AS MedianPaymentScreen
+            FROM action_h GROUP BY {keys}""",
+        "brand_h": _pivot("action_h", keys, "TypeBrand", ["Big", "Medium", "Small"],
+                          {"Brand": "1"}, agg="count", name="{value}{measure}"),
+        "content_sum": _pivot("action_h", keys, "ActionType", ACTIONS,
+                              {"Record": "Records", "UsageTime": "UsageTime"},
+                              cast={"Record": "BIGINT"}),
+        "demo_h": f"""SELECT {keys}, CAST(count(DISTINCT TypeBrand)
+            + max(CASE WHEN TypeBrand IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NoTypeBrand
+            FROM action_h GROUP BY {keys}""",
+        "content_learn": _pivot("learn_h", keys, "SubjectName", SUBJECTS,
+                                {"Interaction": "InteractionLearn", "IsCompleted": "IsCompleted",
+                                 "Record": "Records", "UsageTime": "UsageTime"},
+                                cast={"IsCompleted": "BIGINT", "Record": "BIGINT"}),
+    }
+    learn_sel = ", ".join(f"COALESCE(cl.{c}, 0) AS {c}" for c in LEARN_COLS)
+    v["features"] = f"""SELECT r.*, NoTypeBrand, BigBrand, MediumBrand, SmallBrand, {learn_sel},
+        RecordDiscovery, RecordEntertainment, RecordLearn, UsageTimeDiscovery, UsageTimeEntertainment,
+        UsageTimeLearn, MedianUsageTime, MedianRecord, MedianPaymentScreen,
+        TotalChild, MedianChildAge, NoFemale, NoMale, p.firstPaymentType,
+        CAST(month(p.UserJoinedDate) AS INTEGER) AS JoinMonth, p.gapday,
+        TotalUsageTime / NULLIF(TotalRecords, 0) AS AvgTimePerCompletion,
+        TotalUsageTime * TotalRecords AS InteractionGeneral,
+        UsageTimeLearn * RecordLearn AS InteractionLearn,
+        UsageTimeDiscovery * RecordDiscovery AS InteractionDiscovery,
+        UsageTimeEntertainment * RecordEntertainment AS InteractionEntertainment,
+        MedianUsageTime * MedianRecord AS MedianInteraction,
+        CAST(COALESCE(r.ScaleGapday <= 31, false) AS INTEGER) AS Label
+      FROM rfm r
+      LEFT JOIN demo_h USING (horizon, UserID)
+      LEFT JOIN brand_h USING (horizon, UserID)
+      LEFT JOIN content_learn cl USING (horizon, UserID)
+      LEFT JOIN content_sum USING (horizon, UserID)
+      LEFT JOIN medians_h USING (horizon, UserID)
+      LEFT JOIN demographics dm ON dm.UserID = r.UserID
+      LEFT JOIN pay_cols p ON p.UserID = r.UserID
+      WHERE TotalChild IS NOT NULL"""
+    return v
+
+
+def fq(body: str, hs=(1,)) -> str:
+    extra = dict(EXTRA_VIEWS)
+    extra["pay"] = _PAY
+    extra.update(_features_views(hs))
+    return with_views(body, extra)
+
+
+ORACLE.update({
+    "e15_active_days_features": fq("SELECT * FROM features", (1,)),
+    "e04_all_horizons": fq("SELECT * FROM features", tuple(range(1, 9))),
+    "e03_active_days_rows": fq("""SELECT horizon, UserID, EventDate, ActionType, MinFirstDay, ZeroDay,
+        CutoffDay, ScaleActionDay, ScaleGapday FROM action_h""", (1,)),
+    "d14_rfm_modes": fq("SELECT * FROM rfm", (2,)),
+    "d15_medians": fq("SELECT * FROM medians_h", (2,)),
+    "d12_brand_tier_pivot": fq("SELECT * FROM brand_h", (2,)),
+    "d10_action_pivot": fq("SELECT * FROM content_sum", (2,)),
+    "d09_subject_pivot": fq("SELECT * FROM content_learn", (2,)),
+    "d17_distinct_tiers": fq("SELECT * FROM demo_h", (2,)),
+    "f02_brand_tiers": fq("SELECT DISTINCT DeviceBrand, TypeBrand FROM engage_t"),
+})

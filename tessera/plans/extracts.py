@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import day_diff, day_diff_nonneg, round_half_up, ts_range_filter
+from tessera.functions.dates import day_diff, day_diff_nonneg, minutes_2dp, tenths, ts_range_filter
 from tessera.sources import views as V
 from tessera.sources.tables import Tables, union_live_archive
 
@@ -107,7 +107,7 @@ def engagement_extract(t: Tables, start: str = V.COHORT_START,
     minutes, record count, first/last use, joined with the day's event log."""
     rec = usage_records_all(t)
     daily = rec.groupBy("UserID", F.to_date("EventTime").alias("EventDate"), "ActionType").agg(
-        F.sum("UsageTime").alias("_usage"),
+        F.sum(tenths("UsageTime")).alias("_usage"),
         F.count(F.lit(1)).alias("Records"),
         F.max("EventTime").alias("lastuse"),
         F.min("EventTime").alias("firstuse"))
@@ -118,7 +118,7 @@ def engagement_extract(t: Tables, start: str = V.COHORT_START,
         "EventDate", "UserID", "ActionType", "UserJoinedDate",
         day_diff("UserJoinedDate", "EventDate").alias("nth_day_from_registration"),
         "open_time", "payment_screen_time", "DeviceBrand",
-        round_half_up(F.col("_usage") / 60, 2).alias("UsageTime"),
+        minutes_2dp("_usage").alias("UsageTime"),
         "Records", "lastuse", "firstuse")
 
 
@@ -146,13 +146,13 @@ def learning_detail_extract(t: Tables, start: str = V.COHORT_START,
     acts = F.broadcast(V.activity_profile(t))
     daily = rec.join(acts, "ActivityID").groupBy(
         "UserID", F.to_date("EventTime").alias("EventDate"), "SubjectName", "IsCompleted",
-    ).agg(F.sum("UsageTime").alias("_usage"), F.count(F.lit(1)).alias("Records"))
+    ).agg(F.sum(tenths("UsageTime")).alias("_usage"), F.count(F.lit(1)).alias("Records"))
     users = cohort(t, start, end)
     out = daily.join(users, "UserID").select(
         "EventDate",
         day_diff("UserJoinedDate", "EventDate").alias("nth_day_from_registration"),
         "UserID", "SubjectName", "IsCompleted",
-        round_half_up(F.col("_usage") / 60, 2).alias("UsageTime"), "Records")
+        minutes_2dp("_usage").alias("UsageTime"), "Records")
     if sort:
         out = out.orderBy("UserID", "EventDate", "SubjectName", "IsCompleted")
     return out

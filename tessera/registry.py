@@ -83,3 +83,73 @@ def _a04(spark, sf):
 @query("views_demographics")
 def _demo(spark, sf):
     return V.demographics(_t(spark, sf))
+
+
+# ---- 2E / 2F: per-user features ------------------------------------------------
+from tessera.operators import aggregates as A  # noqa: E402
+from tessera.operators import horizons as H  # noqa: E402
+from tessera.operators import transforms as T  # noqa: E402
+from tessera.plans import feature_tables as FT  # noqa: E402
+
+_KEYS = ["horizon", "UserID"]
+
+
+def _action(t, hs):
+    return H.active_days(FT.engagement_with_tiers(t), hs)
+
+
+@query("e15_active_days_features")
+def _e15(spark, sf):
+    return FT.active_days_features(_t(spark, sf), 1)
+
+
+@query("e04_all_horizons")
+def _e04(spark, sf):
+    return FT.active_days_features(_t(spark, sf), list(range(1, 9)))
+
+
+@query("e03_active_days_rows")
+def _e03(spark, sf):
+    return _action(_t(spark, sf), 1).select(
+        "horizon", "UserID", "EventDate", "ActionType", "MinFirstDay", "ZeroDay",
+        "CutoffDay", "ScaleActionDay", "ScaleGapday")
+
+
+@query("d14_rfm_modes")
+def _d14(spark, sf):
+    return A.rfm(_action(_t(spark, sf), 2), _KEYS)
+
+
+@query("d15_medians")
+def _d15(spark, sf):
+    return A.medians(_action(_t(spark, sf), 2), _KEYS)
+
+
+@query("d12_brand_tier_pivot")
+def _d12(spark, sf):
+    return A.pivot_agg(_action(_t(spark, sf), 2), _KEYS, "TypeBrand", FT.TIERS,
+                       {"Brand": F.lit(1)}, agg="count", name="{value}{measure}")
+
+
+@query("d10_action_pivot")
+def _d10(spark, sf):
+    return A.pivot_agg(_action(_t(spark, sf), 2), _KEYS, "ActionType", FT.ACTIONS,
+                       {"Record": "Records", "UsageTime": "UsageTime"})
+
+
+@query("d09_subject_pivot")
+def _d09(spark, sf):
+    learn = H.active_days(FT.learning_with_gap(_t(spark, sf)), 2)
+    return A.pivot_agg(learn, _KEYS, "SubjectName", V.SUBJECTS,
+                       {"Interaction": "InteractionLearn", "IsCompleted": "IsCompleted",
+                        "Record": "Records", "UsageTime": "UsageTime"})
+
+
+@query("d17_distinct_tiers")
+def _d17(spark, sf):
+    return A.distinct_count(_action(_t(spark, sf), 2), _KEYS, "TypeBrand", "NoTypeBrand")
+
+
+@query("f02_brand_tiers")
+def _f02(spark, sf):
+    return FT.engagement_with_tiers(_t(spark, sf)).select("DeviceBrand", "TypeBrand").distinct()
