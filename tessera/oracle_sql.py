@@ -225,3 +225,134 @@ ORACLE.update({
     "d17_distinct_tiers": fq("SELECT * FROM demo_h", (2,)),
     "f02_brand_tiers": fq("SELECT DISTINCT DeviceBrand, TypeBrand FROM engage_t"),
 })
+
+
+AGE_SQL = """CAST(floor((datediff('month', ChildBday, DATE '2024-02-01')
+    - CASE WHEN day(DATE '2024-02-01') < day(ChildBday) THEN 1 ELSE 0 END) / 12) AS BIGINT)"""
+BRAND_COLUMNS = ["samsung", "oppo", "apple", "xiaomi", "vivo", "realme", "nokia", "Other brand"]
+
+
+def _cutoff_views() -> dict[str, str]:
+    v = {
+        "ucb": f"""SELECT DISTINCT u.UserID, ChildID, ChildBday, ChildGender, DeviceBrand
+            FROM user_profile u JOIN child_profile c ON c.UserID = u.UserID
+            LEFT JOIN (SELECT DISTINCT UserID, DeviceBrand FROM event_logs_all) b ON b.UserID = u.UserID
+            WHERE {COHORT_WHERE}""",
+        "users_x": "SELECT * FROM ucb WHERE UserID NOT IN (SELECT UserID FROM fake_users)",
+        "eng_x": """SELECT * EXCLUDE (open_time, payment_screen_time), open_time AS Opentime,
+            payment_screen_time AS PaymentScreenTime
+            FROM engagement WHERE UserID NOT IN (SELECT UserID FROM fake_users)""",
+        "eng_raw_x": "SELECT * FROM engagement WHERE UserID NOT IN (SELECT UserID FROM fake_users)",
+        "pay_x2": "SELECT * FROM payment_x WHERE UserID NOT IN (SELECT UserID FROM fake_users)",
+        "first_day": """SELECT *, min(nth_day_from_registration) OVER (PARTITION BY UserID) AS MinFirstDay
+            FROM eng_x""",
+        "cut": """SELECT *, MinFirstDay + 3 AS cutoffDay, CAST(MinFirstDay > 0 AS INTEGER) AS lateUser,
+            nth_day_from_registration - MinFirstDay AS usedDays
+            FROM first_day WHERE MinFirstDay + 3 - nth_day_from_registration > 0""",
+        "lab": """SELECT c.*, p.gapday,
+            CAST(COALESCE(p.gapday - c.MinFirstDay <= 14, false) AS INTEGER) AS Label
+            FROM cut c LEFT JOIN pay_x2 p ON p.UserID = c.UserID""",
+        "bcnt": """SELECT DeviceBrand, count(*) AS cnt FROM users_x WHERE DeviceBrand IS NOT NULL
+            GROUP BY DeviceBrand""",
+        "users_b": """SELECT u.UserID, u.ChildID, CASE WHEN b.cnt < (SELECT avg(cnt) FROM bcnt)
+            THEN 'Other brand' ELSE u.DeviceBrand END AS DeviceBrand
+            FROM users_x u LEFT JOIN bcnt b ON b.DeviceBrand = u.DeviceBrand""",
+        "brand_hot": "SELECT UserID, " + ", ".join(
+            f"COALESCE(max(CAST(DeviceBrand = '{b}' AS INTEGER)), 0) AS brand_{b.replace(' ', '_')}"
+            for b in BRAND_COLUMNS) + " FROM users_b GROUP BY UserID",
+        "children": f"""SELECT UserID, CAST(count(DISTINCT ChildID) AS BIGINT) AS TotalChild,
+            CAST(count(*) FILTER (WHERE ChildGender = 'female') AS BIGINT) AS NoFemale,
+            CAST(count(*) FILTER (WHERE ChildGender = 'male') AS BIGINT) AS NoMale,
+            median({AGE_SQL}) AS MedianChildAge FROM users_x GROUP BY UserID""",
+        "merged": """SELECT UserID, EventDate, ActionType,
+            CAST(sum(Opentime) AS BIGINT) AS Opentime, sum(UsageTime) AS UsageTime,
+            CAST(sum(Records) AS BIGINT) AS Records,
+            CAST(sum(PaymentScreenTime) AS BIGINT) AS PaymentScreenTime,
+            max(cutoffDay) AS cutoffDay, max(lateUser) AS lateUser, max(Label) AS Label
+            FROM lab GROUP BY UserID, EventDate, ActionType""",
+        "labels_u": """SELECT UserID, max(cutoffDay) AS cutoffDay, max(lateUser) AS lateUser,
+            max(Label) AS Label FROM merged GROUP BY UserID""",
+        "base_u": "SELECT UserID, min(UserJoinedDate) AS UserJoinedDate FROM lab GROUP BY UserID",
+        "total_u": """SELECT UserID, CAST(sum(Opentime) AS BIGINT) AS TotalOpentime,
+            sum(UsageTime) AS TotalUsageTime, CAST(sum(Records) AS BIGINT) AS TotalRecords,
+            CAST(sum(PaymentScreenTime) AS BIGINT) AS TotalPayscreentime FROM merged GROUP BY UserID""",
+        "activity_u": _pivot("merged", "UserID", "ActionType", ACTIONS,
+                             {"Opentime": "Opentime", "UsageTime": "UsageTime",
+                              "Records": "Records", "PaymentScreenTime": "PaymentScreenTime"},
+                             cast={"Opentime": "BIGINT", "Records": "BIGINT",
+                                   "PaymentScreenTime": "BIGINT"}),
+        "interest_a": """SELECT UserID, ActionType, sum(i) AS total_interest, avg(i) AS average_interest,
+            arg_max(i, usedDays) - arg_min(i, usedDays) AS accumulate,
+            CASE WHEN count(i) < 2 THEN NULL
+                 WHEN var_samp(usedDays) = 0 OR var_samp(i) = 0 THEN 0.0
+                 ELSE covar_pop(usedDays, i) / var_samp(usedDays) END AS slope
+            FROM (SELECT *, UsageTime * Records AS i FROM lab) GROUP BY UserID, ActionType""",
+        "interest": "SELECT *, slope / NULLIF(average_interest, 0) AS Slope_norm FROM interest_a",
+        "most_i": """SELECT UserID,
+            first(ActionType ORDER BY total_interest DESC, ActionType) AS MostInterest,
+            first(total_interest ORDER BY total_interest DESC, ActionType) AS ti,
+            first(Slope_norm ORDER BY total_interest DESC, ActionType) AS it,
+            sum(total_interest) AS sum_ti,
+            first(ActionType ORDER BY accumulate DESC, ActionType) AS MostAccumulate,
+            first(accumulate ORDER BY accumulate DESC, ActionType) AS acc,
+            first(Slope_norm ORDER BY accumulate DESC, ActionType) AS at_,
+            sum(abs(accumulate)) AS sum_acc
+            FROM interest GROUP BY UserID""",
+        "most_interest": """SELECT UserID, MostInterest,
+            CASE WHEN sum_ti = 0 THEN 0.0 ELSE ti / sum_ti END AS TotalInterestRatio,
+            CASE WHEN it IS NULL OR isnan(it) THEN 0.0 ELSE it END AS InterestTrend,
+            MostAccumulate,
+            CASE WHEN sum_acc = 0 THEN 0.0 ELSE acc / sum_acc END AS TotalAccuRatio,
+            CASE WHEN at_ IS NULL OR isnan(at_) THEN 0.0 ELSE at_ END AS AccuTrend
+            FROM most_i""",
+        "cutoff_features": """SELECT * FROM base_u
+            LEFT JOIN children USING (UserID) LEFT JOIN total_u USING (UserID)
+            LEFT JOIN activity_u USING (UserID) LEFT JOIN most_interest USING (UserID)
+            LEFT JOIN brand_hot USING (UserID) LEFT JOIN labels_u USING (UserID)""",
+    }
+    return v
+
+
+def cq(body: str) -> str:
+    extra = dict(EXTRA_VIEWS)
+    extra["pay"] = _PAY
+    extra.update(_features_views((1,)))
+    extra.update(_cutoff_views())
+    return with_views(body, extra)
+
+
+_ENG_SLOPE = """SELECT UserID, ActionType, {expr} AS slope FROM eng_raw_x GROUP BY UserID, ActionType"""
+
+ORACLE.update({
+    "c04_remove_fake_users": cq("SELECT * FROM pay_x2"),
+    "e01_first_active_day": cq("""SELECT UserID, EventDate, ActionType, MinFirstDay,
+        CASE WHEN MinFirstDay = 0 THEN 'zero' ELSE 'other' END AS ZeroDay,
+        CAST(MinFirstDay > 0 AS INTEGER) AS lateUser FROM first_day"""),
+    "e02_cutoff_exclusive": cq("SELECT UserID, EventDate, ActionType, cutoffDay, usedDays, lateUser FROM cut"),
+    "e05_label_relative": cq("SELECT UserID, EventDate, ActionType, gapday, Label FROM lab"),
+    "e06_label_absolute": cq("""SELECT UserID, gapday,
+        CAST(COALESCE(gapday <= 31, false) AS INTEGER) AS LabelB FROM payment_x"""),
+    "e07_label_scaled": cq("""SELECT UserID, CAST(COALESCE(max(ScaleGapday) <= 31, false) AS INTEGER)
+        AS LabelC FROM action_h GROUP BY UserID"""),
+    "e08_ols_slope": cq(_ENG_SLOPE.format(expr="""CASE WHEN count(UsageTime) * sum(x * x) - sum(x) * sum(x) = 0
+        THEN 0.0 ELSE (count(UsageTime) * sum(x * UsageTime) - sum(x) * sum(UsageTime))
+        / (count(UsageTime) * sum(x * x) - sum(x) * sum(x)) END""").replace(
+        "FROM eng_raw_x", "FROM (SELECT *, nth_day_from_registration AS x FROM eng_raw_x)")),
+    "e09_scaled_slope": cq(_ENG_SLOPE.format(expr="""CASE WHEN count(UsageTime) < 2 THEN NULL
+        WHEN var_samp(nth_day_from_registration) = 0 OR var_samp(UsageTime) = 0 THEN 0.0
+        ELSE covar_pop(nth_day_from_registration, UsageTime) / var_samp(nth_day_from_registration) END""")),
+    "e10_successive_diff": cq("""SELECT UserID, ActionType, EventDate, COALESCE(d, 0.0) AS diff FROM (
+        SELECT *, UsageTime - lag(UsageTime) OVER w AS d, row_number() OVER w AS rn,
+               count(*) OVER (PARTITION BY UserID, ActionType) AS n
+        FROM eng_raw_x WINDOW w AS (PARTITION BY UserID, ActionType ORDER BY nth_day_from_registration))
+        WHERE rn > 1 OR n = 1"""),
+    "e11_interest_by_action": cq("SELECT * FROM interest"),
+    "e12_e13_most_interest": cq("SELECT * FROM most_interest"),
+    "e14_cutoff_features": cq("SELECT * FROM cutoff_features"),
+    "d06_d08_children_summary": cq("SELECT * FROM children"),
+    "d31_collapse_day_action": cq("SELECT * FROM merged"),
+    "d13_totals": cq("SELECT * FROM total_u"),
+    "d11_action_measure_pivot": cq("SELECT * FROM activity_u"),
+    "f01_rare_brand_collapse": cq("SELECT UserID, ChildID, DeviceBrand FROM users_b"),
+    "f03_brand_one_hot": cq("SELECT * FROM brand_hot"),
+})

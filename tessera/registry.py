@@ -153,3 +153,130 @@ def _d17(spark, sf):
 @query("f02_brand_tiers")
 def _f02(spark, sf):
     return FT.engagement_with_tiers(_t(spark, sf)).select("DeviceBrand", "TypeBrand").distinct()
+
+
+# ---- E14 cut-off design and its parts ------------------------------------------
+from tessera.operators.joins import remove_keys  # noqa: E402
+
+
+def _users_x(t):
+    return remove_keys(X.user_child_brand_extract(t), V.fake_users(t))
+
+
+def _eng_x(t):
+    return remove_keys(X.engagement_extract(t), V.fake_users(t))
+
+
+@query("c04_remove_fake_users")
+def _c04(spark, sf):
+    t = _t(spark, sf)
+    return remove_keys(X.payment_extract(t), V.fake_users(t))
+
+
+@query("e01_first_active_day")
+def _e01(spark, sf):
+    return H.first_active_day(_eng_x(_t(spark, sf))).select(
+        "UserID", "EventDate", "ActionType", "MinFirstDay", "ZeroDay", "lateUser")
+
+
+@query("e02_cutoff_exclusive")
+def _e02(spark, sf):
+    return H.cutoff_exclusive(_eng_x(_t(spark, sf)), 3).select(
+        "UserID", "EventDate", "ActionType", "cutoffDay", "usedDays", "lateUser")
+
+
+@query("e05_label_relative")
+def _e05(spark, sf):
+    return FT.cutoff_engagement(_t(spark, sf), 3, 14).select(
+        "UserID", "EventDate", "ActionType", "gapday", "Label")
+
+
+@query("e06_label_absolute")
+def _e06(spark, sf):
+    return X.payment_extract(_t(spark, sf)).select(
+        "UserID", "gapday", H.label_absolute("gapday", 31).alias("LabelB"))
+
+
+@query("e07_label_scaled")
+def _e07(spark, sf):
+    a = _action(_t(spark, sf), 1)
+    return a.groupBy("UserID").agg(H.label_scaled(F.max("ScaleGapday"), 31).alias("LabelC"))
+
+
+@query("e08_ols_slope")
+def _e08(spark, sf):
+    return _eng_x(_t(spark, sf)).groupBy("UserID", "ActionType").agg(
+        H.ols_slope("nth_day_from_registration", "UsageTime").alias("slope"))
+
+
+@query("e09_scaled_slope")
+def _e09(spark, sf):
+    return _eng_x(_t(spark, sf)).groupBy("UserID", "ActionType").agg(
+        H.scaled_slope("nth_day_from_registration", "UsageTime").alias("slope"))
+
+
+@query("e10_successive_diff")
+def _e10(spark, sf):
+    e = _eng_x(_t(spark, sf)).select("UserID", "ActionType", "EventDate",
+                                     "nth_day_from_registration", "UsageTime")
+    return H.successive_diff(e, ["UserID", "ActionType"], ["nth_day_from_registration"],
+                             "UsageTime").select("UserID", "ActionType", "EventDate", "diff")
+
+
+@query("e11_interest_by_action")
+def _e11(spark, sf):
+    return H.interest_by_action(FT.cutoff_engagement(_t(spark, sf), 3, 14))
+
+
+@query("e12_e13_most_interest")
+def _e12(spark, sf):
+    return H.most_interest(H.interest_by_action(FT.cutoff_engagement(_t(spark, sf), 3, 14)))
+
+
+@query("e14_cutoff_features")
+def _e14(spark, sf):
+    return FT.cutoff_features(_t(spark, sf), 3, 14)
+
+
+@query("d06_d08_children_summary")
+def _d06(spark, sf):
+    return A.children_summary(_users_x(_t(spark, sf)), V.AS_OF_DATE)
+
+
+def _merged(t):
+    e = FT.cutoff_engagement(t, 3, 14)
+    return A.collapse_day_action(e, ["UserID", "EventDate", "ActionType"],
+                                 ["Opentime", "UsageTime", "Records", "PaymentScreenTime"],
+                                 ["cutoffDay", "lateUser", "Label"])
+
+
+@query("d31_collapse_day_action")
+def _d31(spark, sf):
+    return _merged(_t(spark, sf))
+
+
+@query("d13_totals")
+def _d13(spark, sf):
+    return A.totals(_merged(_t(spark, sf)),
+                    {"TotalOpentime": "Opentime", "TotalUsageTime": "UsageTime",
+                     "TotalRecords": "Records", "TotalPayscreentime": "PaymentScreenTime"})
+
+
+@query("d11_action_measure_pivot")
+def _d11(spark, sf):
+    return A.pivot_agg(_merged(_t(spark, sf)), "UserID", "ActionType", FT.ACTIONS,
+                       {"Opentime": "Opentime", "UsageTime": "UsageTime",
+                        "Records": "Records", "PaymentScreenTime": "PaymentScreenTime"})
+
+
+@query("f01_rare_brand_collapse")
+def _f01(spark, sf):
+    return T.collapse_rare(_users_x(_t(spark, sf)), "DeviceBrand").select(
+        "UserID", "ChildID", "DeviceBrand")
+
+
+@query("f03_brand_one_hot")
+def _f03(spark, sf):
+    b = T.collapse_rare(_users_x(_t(spark, sf)), "DeviceBrand")
+    out = T.one_hot_per_key(b, "UserID", "DeviceBrand", FT.BRAND_COLUMNS, prefix="brand_")
+    return out.toDF(*[c.replace(" ", "_") for c in out.columns])
