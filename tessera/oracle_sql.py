@@ -356,3 +356,102 @@ ORACLE.update({
     "f01_rare_brand_collapse": cq("SELECT UserID, ChildID, DeviceBrand FROM users_b"),
     "f03_brand_one_hot": cq("SELECT * FROM brand_hot"),
 })
+
+
+# ---- search ---------------------------------------------------------------------------
+WORD_RE = r"[\p{L}\p{N}_]{2,}"
+STOP = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "in",
+        "is", "it", "its", "of", "on", "or", "that", "the", "to", "was", "were", "with"]
+_STOP_LIST = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
+VIET = "àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễòóọỏõôồốộổỗơờớợởỡìíịỉĩùúụủũưừứựửữỳýỵỷỹđ"
+
+
+def _clean_full(col: str) -> str:
+    t = f"regexp_replace(lower({col}), '[^a-z0-9{VIET}]', ' ', 'g')"
+    t = f"regexp_replace({t}, '(^| )0+', '\\1', 'g')"
+    return f"trim(regexp_replace({t}, ' +', ' ', 'g'))"
+
+
+def _split_words(col: str) -> str:
+    return f"list_filter(regexp_split_to_array(trim({col}), '\\s+'), lambda w: w <> '')"
+
+
+def _search_views(form: str = "smooth", max_features: int | None = None, stop: bool = False) -> dict:
+    stop_f = f" WHERE NOT list_contains({_STOP_LIST}, term)" if stop else ""
+    idf = ("ln((1 + n) / (1.0 + count(*))) + 1" if form == "smooth"
+           else "log2(CAST(n AS DOUBLE) / count(*))")
+    v = {
+        "d_tok": f"""SELECT * FROM (SELECT doc_id AS id,
+            unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM documents){stop_f}""",
+        "q_tok": f"""SELECT * FROM (SELECT item_id AS id,
+            unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM benchmark){stop_f}""",
+        "d_tf0": "SELECT id, term, count(*) AS tf FROM d_tok GROUP BY id, term",
+        "q_tf": "SELECT id, term, count(*) AS tf FROM q_tok GROUP BY id, term",
+        "ndocs": "SELECT count(DISTINCT doc_id) AS n FROM documents",
+    }
+    if max_features:
+        v["top_terms"] = f"""SELECT term FROM (SELECT term, sum(tf) AS c FROM d_tf0 GROUP BY term
+            ORDER BY c DESC, term LIMIT {max_features})"""
+        v["d_tf"] = "SELECT * FROM d_tf0 WHERE term IN (SELECT term FROM top_terms)"
+    else:
+        v["d_tf"] = "SELECT * FROM d_tf0"
+    v.update({
+        "idf": f"SELECT term, {idf} AS idf FROM d_tf, ndocs GROUP BY term, n",
+        "d_w": "SELECT id, term, tf * idf AS w FROM d_tf JOIN idf USING (term) WHERE tf * idf <> 0",
+        "q_w": "SELECT id, term, tf * idf AS w FROM q_tf JOIN idf USING (term) WHERE tf * idf <> 0",
+        "d_vec": "SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM d_w",
+        "q_vec": "SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM q_w",
+        "scores": """SELECT q.id AS query_id, d.id AS doc_id, round(sum(q.w * d.w), 10) AS score
+            FROM q_vec q JOIN d_vec d USING (term) GROUP BY q.id, d.id""",
+        "cos_top": """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
+            ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores) WHERE rank <= 5""",
+        # count vectors
+        "c_d_tf": "SELECT * FROM d_tf",
+        "c_q_tf": "SELECT * FROM q_tf WHERE term IN (SELECT term FROM d_tf)",
+        "c_d_vec": """SELECT id, term, tf / sqrt(sum(tf * tf) OVER (PARTITION BY id)) AS w FROM c_d_tf""",
+        "c_q_vec": """SELECT id, term, tf / sqrt(sum(tf * tf) OVER (PARTITION BY id)) AS w FROM c_q_tf""",
+        "c_scores": """SELECT q.id AS query_id, d.id AS doc_id, round(sum(q.w * d.w), 10) AS score
+            FROM c_q_vec q JOIN c_d_vec d USING (term) GROUP BY q.id, d.id""",
+        # token sets (clean_full + split)
+        "d_set": f"""SELECT id, term, count(*) OVER (PARTITION BY id) AS n FROM (SELECT DISTINCT doc_id AS id,
+            unnest({_split_words(_clean_full('text'))}) AS term FROM documents)""",
+        "q_set": f"""SELECT id, term, count(*) OVER (PARTITION BY id) AS n FROM (SELECT DISTINCT item_id AS id,
+            unnest({_split_words(_clean_full('text'))}) AS term FROM benchmark)""",
+        "jac": """SELECT q.id AS query_id, d.id AS doc_id,
+            round(count(*) / (min(q.n) + min(d.n) - count(*)), 10) AS score
+            FROM q_set q JOIN d_set d USING (term) GROUP BY q.id, d.id""",
+        "truth": """SELECT b.item_id AS query_id, d.doc_id FROM benchmark b JOIN documents d
+            ON contains(d.text, b.text)""",
+    })
+    return v
+
+
+def sq(body: str, **kw) -> str:
+    return with_views(body, _search_views(**kw))
+
+
+def _rank(src: str, score: str = "score", asc: bool = False, k: int = 5) -> str:
+    order = f"{score} {'ASC' if asc else 'DESC'}, doc_id"
+    return f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY {order})
+        AS INTEGER) AS rank FROM {src}) WHERE rank <= {k}"""
+
+
+ORACLE.update({
+    "h01_count_vectors": sq("SELECT id AS doc_id, term, tf FROM d_tf", stop=True),
+    "h02_tfidf_sklearn": sq("SELECT id AS doc_id, term, round(w, 10) AS w FROM d_vec"),
+    "h03_tfidf_max_features": sq("SELECT id AS doc_id, term, round(w, 10) AS w FROM d_vec",
+                                 max_features=1000),
+    "h04_tfidf_gensim": sq("SELECT id AS doc_id, term, round(w, 10) AS w FROM d_vec", form="log2"),
+    "h05_cosine_top5": sq("SELECT * FROM cos_top"),
+    "h06_count_cosine_top5": sq(_rank("c_scores"), stop=True),
+    "h07_euclid_knn5": sq(_rank("""(SELECT query_id, doc_id,
+        round(sqrt(greatest(0.0, 2 - 2 * score)), 10) AS distance FROM scores)""", "distance", True)),
+    "h14_jaccard_top5": sq(_rank("jac")),
+    "h24_containment_truth": sq("SELECT * FROM truth"),
+    "h24_search_evaluation": sq("""SELECT t.query_id, min(c.rank) AS best_rank,
+        CASE WHEN min(c.rank) = 1 THEN 'Matching' WHEN min(c.rank) IS NOT NULL THEN 'In top'
+             ELSE 'No result' END AS outcome
+        FROM (SELECT DISTINCT query_id FROM truth) t
+        LEFT JOIN (SELECT c.query_id, c.rank FROM cos_top c JOIN truth USING (query_id, doc_id)) c
+          ON c.query_id = t.query_id GROUP BY t.query_id"""),
+})

@@ -280,3 +280,62 @@ def _f03(spark, sf):
     b = T.collapse_rare(_users_x(_t(spark, sf)), "DeviceBrand")
     out = T.one_hot_per_key(b, "UserID", "DeviceBrand", FT.BRAND_COLUMNS, prefix="brand_")
     return out.toDF(*[c.replace(" ", "_") for c in out.columns])
+
+
+# ---- 2H: vectorisation and search ------------------------------------------------
+from tessera.operators import search as S  # noqa: E402
+from tessera.plans import search_plans as SP  # noqa: E402
+
+
+@query("h01_count_vectors")
+def _h01(spark, sf):
+    return S.term_counts(V.search_corpus(_t(spark, sf)), "doc_id", stop_words=SP.STOP_WORDS) \
+        .select(F.col("id").alias("doc_id"), "term", "tf")
+
+
+@query("h02_tfidf_sklearn")
+def _h02(spark, sf):
+    d_vec, _, _ = SP.tfidf_vectors(_t(spark, sf))
+    return d_vec.select(F.col("id").alias("doc_id"), "term", F.round("w", 10).alias("w"))
+
+
+@query("h03_tfidf_max_features")
+def _h03(spark, sf):
+    d_vec, _, _ = SP.tfidf_vectors(_t(spark, sf), max_features=1000)
+    return d_vec.select(F.col("id").alias("doc_id"), "term", F.round("w", 10).alias("w"))
+
+
+@query("h04_tfidf_gensim")
+def _h04(spark, sf):
+    d_vec, _, _ = SP.tfidf_vectors(_t(spark, sf), form="log2")
+    return d_vec.select(F.col("id").alias("doc_id"), "term", F.round("w", 10).alias("w"))
+
+
+@query("h05_cosine_top5")
+def _h05(spark, sf):
+    return SP.cosine_top_k(_t(spark, sf), 5)
+
+
+@query("h06_count_cosine_top5")
+def _h06(spark, sf):
+    return SP.count_cosine_top_k(_t(spark, sf), 5)
+
+
+@query("h07_euclid_knn5")
+def _h07(spark, sf):
+    return SP.euclid_top_k(_t(spark, sf), 5)
+
+
+@query("h14_jaccard_top5")
+def _h14(spark, sf):
+    return SP.jaccard_top_k(_t(spark, sf), 5)
+
+
+@query("h24_containment_truth")
+def _h24t(spark, sf):
+    return SP.containment_truth(_t(spark, sf))
+
+
+@query("h24_search_evaluation")
+def _h24(spark, sf):
+    return SP.search_evaluation(_t(spark, sf), 5)
