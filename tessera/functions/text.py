@@ -37,7 +37,8 @@ def clean_full(col) -> Column:
     """lower; every char outside [a-z0-9] + Vietnamese letters → space; strip
     leading zeros of each space-separated token; squeeze; trim."""
     t = F.lower(_c(col))
-    t = F.regexp_replace(t, f"[^a-z0-9{VIET_LETTERS}]", " ")
+    # One match per run of removed characters (runs are squeezed anyway).
+    t = F.regexp_replace(t, f"[^a-z0-9{VIET_LETTERS}]+", " ")
     t = F.regexp_replace(t, "(^| )0+", "$1")
     return squeeze(t)
 

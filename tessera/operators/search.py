@@ -30,10 +30,18 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str = "text",
     tok = tokens if tokens is not None else TX.word_tokens(text_col)
     if stop_words:
         tok = TX.remove_words(tok, stop_words)
-    exploded = docs.select(F.col(id_col).alias("id"), F.explode(tok).alias("term"))
+    exploded = explode_terms(docs.select(F.col(id_col).alias("id"), tok.alias("_t")), "_t")
     return exploded.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def explode_terms(df: DataFrame, arr: str, keep: tuple = ()) -> DataFrame:
+    """``explode`` written as ``explode_outer`` + NULL filter: a plain
+    ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it below the
+    scan-side exchange, which would evaluate the whole tokeniser twice."""
+    out = df.select("id", *keep, F.explode_outer(arr).alias("term"))
+    return out.filter(F.col("term").isNotNull())
+
+
 def doc_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
@@ -66,6 +74,9 @@ def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """``(id, term, w)`` with ``w = tf·idf``, L2-normalised per id; terms not
     in ``idf`` are dropped (unknown query terms).  Terms with weight 0 (a
     gensim idf of 0) are dropped too."""
+    # No explicit broadcast: the vocabulary grows with the corpus.  AQE turns
+    # this into a broadcast join at run time when the materialised vocabulary
+    # is under the broadcast threshold (a measured, not guessed, size).
     j = tf.join(idf.select("term", "idf"), "term")
     w = j.select("id", "term", (F.col("tf") * F.col("idf")).alias("w")).filter(F.col("w") != 0)
     return _l2(w)
@@ -92,17 +103,22 @@ def top_terms(tf: DataFrame, n: int) -> DataFrame:
 
 
 # H05 / H06 / H07 -------------------------------------------------------------------
-def _term_join(q: DataFrame, d: DataFrame, salts: int = 32) -> DataFrame:
+def _term_join(q: DataFrame, d: DataFrame, salts: int = 32,
+               q_small: bool | None = None) -> DataFrame:
+    """``q_small`` may be decided by the caller on a cheaper upper bound of
+    the query side (e.g. its token table before unknown terms are dropped)."""
     q = q.select(F.col("id").alias("query_id"), "term", F.col("w").alias("wq"))
     d = d.select(F.col("id").alias("doc_id"), "term", F.col("w").alias("wd"))
-    if fits_broadcast(q, BROADCAST_MAX_ROWS):
+    if q_small is None:
+        q_small = fits_broadcast(q, BROADCAST_MAX_ROWS)
+    if q_small:
         return d.join(F.broadcast(q), "term")
     return salted_equi_join(d, q, "term", salts=salts, salt_of=F.col("doc_id"))
 
 
-def dot_scores(q: DataFrame, d: DataFrame) -> DataFrame:
+def dot_scores(q: DataFrame, d: DataFrame, q_small: bool | None = None) -> DataFrame:
     """``(query_id, doc_id, score)`` = Σ over shared terms of ``wq·wd``."""
-    j = _term_join(q, d)
+    j = _term_join(q, d, q_small=q_small)
     return j.groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score"))
 
 
@@ -130,9 +146,9 @@ def euclid_knn(q_vec: DataFrame, d_vec: DataFrame, k: int = 5) -> DataFrame:
 # H14 ---------------------------------------------------------------------------
 def token_sets(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     """``(id, term)`` distinct tokens per text, plus the set size."""
-    ex = docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(tokens)).alias("term"))
-    size = ex.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return ex.join(size, "id")
+    sets = docs.select(F.col(id_col).alias("id"), F.array_distinct(tokens).alias("_s"))
+    sets = sets.withColumn("n", F.size("_s").cast("long"))
+    return explode_terms(sets, "_s", keep=("n",))
 
 
 def jaccard_search(q_sets: DataFrame, d_sets: DataFrame, k: int = 5) -> DataFrame:

@@ -367,7 +367,7 @@ VIET = "àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệ
 
 
 def _clean_full(col: str) -> str:
-    t = f"regexp_replace(lower({col}), '[^a-z0-9{VIET}]', ' ', 'g')"
+    t = f"regexp_replace(lower({col}), '[^a-z0-9{VIET}]+', ' ', 'g')"
     t = f"regexp_replace({t}, '(^| )0+', '\\1', 'g')"
     return f"trim(regexp_replace({t}, ' +', ' ', 'g'))"
 

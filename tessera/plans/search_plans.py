@@ -34,6 +34,13 @@ def tfidf_vectors(t: Tables, form: str = "smooth", max_features: int | None = No
     return d_vec, S.tfidf(q_tf, idf), idf
 
 
+def _query_side_small(t: Tables) -> bool:
+    """Size check of the query batch on its raw token table (an upper
+    bound of every query-vector table, which only drops unknown terms)."""
+    q_tf = S.term_counts(V.search_queries(t), "query_id")
+    return S.fits_broadcast(q_tf)
+
+
 def count_vectors(t: Tables):
     """L2-normalised count vectors, stop words removed."""
     d_tf = S.term_counts(V.search_corpus(t), "doc_id", stop_words=STOP_WORDS)
@@ -46,17 +53,17 @@ def count_vectors(t: Tables):
 
 def cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
     d_vec, q_vec, _ = tfidf_vectors(t)
-    return S.top_k(rounded(S.dot_scores(q_vec, d_vec)), k)
+    return S.top_k(rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t))), k)
 
 
 def count_cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
     d_vec, q_vec = count_vectors(t)
-    return S.top_k(rounded(S.dot_scores(q_vec, d_vec)), k)
+    return S.top_k(rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t))), k)
 
 
 def euclid_top_k(t: Tables, k: int = 5) -> DataFrame:
     d_vec, q_vec, _ = tfidf_vectors(t)
-    s = rounded(S.dot_scores(q_vec, d_vec))
+    s = rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t)))
     s = s.select("query_id", "doc_id",
                  F.round(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))),
                          SCORE_DIGITS).alias("distance"))

@@ -21,6 +21,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Runtime (measured) broadcast bound: AQE switches a join to broadcast only
+    # when the materialised side is below this size.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Small-file friendly scans; a cluster sets this from the target SF.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),

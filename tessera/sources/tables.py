@@ -21,6 +21,26 @@ DRIVER_TABLES = (
 )
 
 
+# Primary keys, used to spread a table whose scan yields too few partitions.
+PRIMARY_KEYS = {
+    "documents": "doc_id", "events": "event_id", "benchmark": "item_id", "labels": "doc_id",
+    "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id",
+    "lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
+}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan over the cluster when it arrives in fewer
+    partitions than there are cores (a small file with one row group).  On a
+    large input the scan already has many partitions and nothing changes.
+    The key is a unique id, so the spread is deterministic and skew-free."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 class Tables:
     """Lazy accessor for the parquet tables of one data directory."""
 
@@ -32,7 +52,9 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def get(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        key = PRIMARY_KEYS.get(name)
+        return spread(df, key) if key else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
