@@ -455,3 +455,178 @@ ORACLE.update({
         LEFT JOIN (SELECT c.query_id, c.rank FROM cos_top c JOIN truth USING (query_id, doc_id)) c
           ON c.query_id = t.query_id GROUP BY t.query_id"""),
 })
+
+
+# ---- text preparation -------------------------------------------------------------
+PUNCT = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+FORMULA_RE = r"\\\(.*?\\\)"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def x_light(c):
+    return f"trim(regexp_replace(lower({c}), ' +', ' ', 'g'))"
+
+
+def x_accent(c):
+    return f"trim(regexp_replace(regexp_replace(lower({c}), '[{VIET}]', '', 'g'), ' +', ' ', 'g'))"
+
+
+def x_letters(c):
+    t = f"translate({c}, {_lit(PUNCT)}, {_lit(' ' * len(PUNCT))})"
+    return f"lower(regexp_replace({t}, '\\d+', '', 'g'))"
+
+
+def x_forms(c):
+    return f"regexp_extract_all({c}, {_lit(FORMULA_RE)})"
+
+
+def x_strip_forms(c):
+    return f"regexp_replace({c}, {_lit(FORMULA_RE)}, '', 'g')"
+
+
+def x_text_tokens(c):
+    return _split_words(x_letters(x_strip_forms(c)))
+
+
+def x_word_tokens(c):
+    return f"regexp_extract_all(lower({c}), '{WORD_RE}')"
+
+
+def x_op_forms(forms):
+    return f"list_filter({forms}, lambda f: regexp_matches(f, '[+\\-*/=<>]'))"
+
+
+def x_strip_latex(c):
+    t = f"regexp_replace({c}, '\\\\left\\(', '\\\\left( ', 'g')"
+    t = f"regexp_replace({t}, '\\\\right\\)', ' \\\\right)', 'g')"
+    t = f"regexp_replace({t}, '\\\\[()\\[\\]]', ' ', 'g')"
+    t = f"regexp_replace({t}, '\\\\[A-Za-z]+', ' ', 'g')"
+    t = f"regexp_replace({t}, '[()\\[\\]{{}}|]', ' ', 'g')"
+    return f"lower(trim(regexp_replace({t}, ' +', ' ', 'g')))"
+
+
+def x_ratio(c, which):
+    tl = f"length({x_letters(x_strip_forms(c))})"
+    fl = f"length(array_to_string({x_forms(c)}, ' '))"
+    num = tl if which == "text" else fl
+    return f"round({num} / ({tl} + {fl} + 1e-8), 10)"
+
+
+def x_kind(c, version):
+    forms, toks = x_forms(c), x_text_tokens(c)
+    k = 2 if version == 2 else 1
+    blank = f"length(trim({x_letters(x_strip_forms(c))})) = 0"
+    return (f"CASE WHEN len({forms}) = 0 THEN 'Text only' "
+            f"WHEN {blank} OR len({toks}) < len({forms}) * {k} OR len(list_distinct({toks})) <= 1 "
+            f"THEN 'Math only' ELSE 'Math and Text' END")
+
+
+def x_kind_major(c):
+    forms, toks = x_forms(c), x_text_tokens(c)
+    return (f"CASE WHEN len({forms}) = 0 THEN 'Text only' "
+            f"WHEN len({toks}) = 0 OR len({toks}) < len({forms}) * 2 OR len({toks}) <= 5 THEN 'Math only' "
+            f"WHEN len({x_op_forms(forms)}) * 2 < len({forms}) THEN 'Text only' "
+            f"ELSE 'Math and Text' END")
+
+
+def x_non_ascii_word(c):
+    words = (f"list_filter({_split_words(c)}, lambda w: length(w) > 1 AND "
+             f"NOT regexp_matches(w, '^[0-9]+([.,][0-9]+)?$'))")
+    non = f"len(list_filter({words}, lambda w: regexp_matches(w, '[^\\x00-\\x7F]')))"
+    return f"CASE WHEN len({words}) = 0 THEN -1.0 ELSE round({non} / len({words}), 10) END"
+
+
+def x_non_ascii_char(c):
+    chars = f"length(regexp_replace({c}, '\\s', '', 'g'))"
+    non = f"length(regexp_replace({c}, '[\\x00-\\x7F]', '', 'g'))"
+    return f"CASE WHEN {chars} = 0 THEN -1.0 ELSE round({non} / {chars}, 10) END"
+
+
+def x_n_words(c):
+    return f"CAST(len({_split_words(c)}) AS BIGINT)"
+
+
+_TEXT_VIEWS = {
+    "dl": "SELECT LookupText, count(*) AS n FROM feedback_pairs GROUP BY 1",
+    "dq": "SELECT QuestionText, count(*) AS n FROM feedback_pairs GROUP BY 1",
+    "dp": """SELECT LookupText, QuestionText, count(*) AS n, count(DISTINCT HumanFeedback) AS labels
+        FROM feedback_pairs GROUP BY 1, 2""",
+    "pair_tok": f"""SELECT FeedbackID, {x_text_tokens('LookupText')} AS lt,
+        {x_text_tokens('QuestionText')} AS qt FROM feedback_pairs""",
+    "vocab": """SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS BIGINT) AS token_id FROM (
+        SELECT DISTINCT unnest(lt) AS token FROM pair_tok UNION SELECT DISTINCT unnest(qt) FROM pair_tok)""",
+    "vcorpus": f"""SELECT DISTINCT doc, term FROM (
+        SELECT 'l' || FeedbackID AS doc, unnest({x_word_tokens(x_letters(x_strip_forms('LookupText')))}) AS term
+        FROM feedback_pairs UNION ALL
+        SELECT 'q' || FeedbackID, unnest({x_word_tokens(x_letters(x_strip_forms('QuestionText')))})
+        FROM feedback_pairs)""",
+    "vocab_idf": """SELECT v.token, v.token_id,
+        ln((1.0 + 2 * (SELECT count(*) FROM feedback_pairs)) / (1.0 + COALESCE(d.df, 0))) + 1 AS idf
+        FROM vocab v LEFT JOIN (SELECT term, count(*) AS df FROM vcorpus GROUP BY term) d ON d.term = v.token""",
+}
+
+
+def tq(body: str) -> str:
+    views = dict(_TEXT_VIEWS)
+    return with_views(body, views)
+
+
+ORACLE.update({
+    "g01_g04_cleaning": tq(f"""SELECT doc_id, {_clean_full('text')} AS "full", {x_light('text')} AS light,
+        {x_accent('text')} AS accent_deleted, {x_letters('text')} AS letters FROM formula_documents"""),
+    "g06_stop_word_removal": tq(f"""SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens,
+        array_to_string(t, ' ') AS tokens FROM (SELECT doc_id,
+        list_filter({x_word_tokens('text')}, lambda w: NOT list_contains({_STOP_LIST}, w)) AS t FROM documents)"""),
+    "g07_length_features": tq(f"""SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars,
+        {x_n_words('text')} AS n_words,
+        CASE WHEN {x_n_words('text')} > 0 THEN length(text) / {x_n_words('text')} END AS avg_word_len
+        FROM documents"""),
+    "g08_dedup_pairs": tq("""SELECT FeedbackID, FeedbackType, FeedbackResult, HumanFeedback FROM (
+        SELECT *, row_number() OVER (PARTITION BY LookupText, QuestionText ORDER BY FeedbackID) AS rn
+        FROM feedback_pairs) WHERE rn = 1"""),
+    "g09_dedup_documents": tq("""SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY text
+        ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1"""),
+    "g10_duplicate_audit": tq("""
+        SELECT 'rows' AS measure, CAST(count(*) AS DOUBLE) AS value FROM feedback_pairs
+        UNION ALL SELECT 'dup_lookup_rows', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS DOUBLE) FROM dl
+        UNION ALL SELECT 'dup_question_rows', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS DOUBLE) FROM dq
+        UNION ALL SELECT 'dup_pair_rows', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS DOUBLE) FROM dp
+        UNION ALL SELECT 'dup_pair_groups', CAST(count(*) FILTER (WHERE n > 1) AS DOUBLE) FROM dp
+        UNION ALL SELECT 'conflicting_pair_groups',
+          CAST(count(*) FILTER (WHERE n > 1 AND labels > 1) AS DOUBLE) FROM dp"""),
+    "g11_duplicated_lookup_only": tq("""SELECT FeedbackID, HumanFeedback FROM feedback_pairs
+        WHERE LookupText IN (SELECT LookupText FROM feedback_pairs GROUP BY LookupText
+                             HAVING count(*) > 1 AND count(DISTINCT QuestionText) > 1)"""),
+    "g12_short_text_share": tq(f"""SELECT count(*) AS rows,
+        count(*) FILTER (WHERE {x_n_words('text')} <= 5) AS short_rows,
+        count(*) FILTER (WHERE {x_n_words('text')} <= 5) / count(*) AS share FROM conversations"""),
+    "g13_g16_formula_split": tq(f"""SELECT doc_id, CAST(len({x_forms('text')}) AS BIGINT) AS n_formulas,
+        array_to_string({x_forms('text')}, ' | ') AS formulas,
+        CAST(len({x_op_forms(x_forms('text'))}) AS BIGINT) AS n_operator_formulas,
+        CAST(length({x_strip_forms('text')}) AS BIGINT) AS text_len,
+        {x_strip_latex(f"array_to_string({x_forms('text')}, ' ')")} AS formula_plain,
+        {x_ratio('text', 'text')} AS text_ratio, {x_ratio('text', 'formula')} AS formula_ratio
+        FROM formula_documents"""),
+    "g17_g18_text_kind": tq(f"""SELECT doc_id, {x_kind('text', 1)} AS kind_v1, {x_kind('text', 2)} AS kind_v2,
+        {x_kind_major('text')} AS kind_majority FROM formula_documents"""),
+    "g19_non_ascii_share": tq(f"""SELECT doc_id, {x_non_ascii_word('text')} AS word_share,
+        {x_non_ascii_char('text')} AS char_share FROM documents"""),
+    "g20_vocabulary": tq("SELECT * FROM vocab"),
+    "g21_vocabulary_idf": tq("SELECT token, token_id, round(idf, 10) AS idf FROM vocab_idf"),
+    "g22_g23_sequences": tq("""SELECT p.FeedbackID,
+        COALESCE(array_to_string(list(v.token_id ORDER BY u.pos) FILTER (WHERE u.pos IS NOT NULL), ' '), '') AS seq,
+        CAST(greatest(800, len(p.lt)) AS BIGINT) AS padded_len
+        FROM pair_tok p
+        LEFT JOIN (SELECT FeedbackID, unnest(lt) AS token, generate_subscripts(lt, 1) AS pos FROM pair_tok) u
+          ON u.FeedbackID = p.FeedbackID
+        LEFT JOIN vocab v ON v.token = u.token
+        GROUP BY p.FeedbackID, p.lt"""),
+    "g24_top_terms": tq(f"""SELECT term, CAST(sum(tf) AS BIGINT) AS total FROM (SELECT doc_id, term, count(*) AS tf
+        FROM (SELECT doc_id, unnest({x_word_tokens('text')}) AS term FROM documents) GROUP BY ALL)
+        GROUP BY term ORDER BY total DESC, term LIMIT 50"""),
+    "g25_kind_summary": tq(f"""SELECT {x_kind('LookupText', 2)} AS lookup_kind,
+        {x_kind('QuestionText', 2)} AS question_kind, count(*) AS n FROM feedback_pairs GROUP BY ALL"""),
+})

@@ -84,8 +84,8 @@ VIEW_SQL: dict[str, str] = {
           CASE WHEN l.toxic = 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS FeedbackType,
           CASE l.doc_id % 3 WHEN 0 THEN 'MATCH' WHEN 1 THEN 'NOT_MATCH' ELSE 'SKIP' END AS FeedbackResult,
           CASE WHEN l.quality = 1 THEN 'MATCH' ELSE 'NOT MATCH' END AS HumanFeedback
-        FROM labels l JOIN documents d ON d.doc_id = l.doc_id
-        LEFT JOIN documents n ON n.doc_id = l.doc_id + 1) WHERE LookupText IS NOT NULL""",
+        FROM labels l JOIN formula_documents d ON d.doc_id = l.doc_id
+        LEFT JOIN formula_documents n ON n.doc_id = l.doc_id + 1) WHERE LookupText IS NOT NULL""",
     "formula_documents": """SELECT doc_id, CASE WHEN doc_id % 3 = 0
         THEN text || ' \\( x^2 + ' || CAST(doc_id AS VARCHAR) || ' = 0 \\)' ELSE text END AS text
         FROM documents""",

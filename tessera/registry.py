@@ -339,3 +339,148 @@ def _h24t(spark, sf):
 @query("h24_search_evaluation")
 def _h24(spark, sf):
     return SP.search_evaluation(_t(spark, sf), 5)
+
+
+# ---- 2G: text preparation ---------------------------------------------------------
+from tessera.functions import text as TX  # noqa: E402
+from tessera.operators import textops as TO  # noqa: E402
+
+
+def _pairs(spark, sf):
+    return V.feedback_pairs(_t(spark, sf))
+
+
+@query("g01_g04_cleaning")
+def _g01(spark, sf):
+    d = V.formula_documents(_t(spark, sf))
+    return d.select("doc_id", TX.clean_full("text").alias("full"),
+                    TX.clean_light("text").alias("light"),
+                    TX.clean_accent_delete("text").alias("accent_deleted"),
+                    TX.clean_letters("text").alias("letters"))
+
+
+@query("g06_stop_word_removal")
+def _g06(spark, sf):
+    d = _t(spark, sf).documents
+    toks = TX.remove_words(TX.word_tokens("text"), SP.STOP_WORDS)
+    return d.select("doc_id", F.size(toks).cast("long").alias("n_tokens"),
+                    F.array_join(toks, " ").alias("tokens"))
+
+
+@query("g07_length_features")
+def _g07(spark, sf):
+    d = _t(spark, sf).documents
+    return d.select("doc_id", TX.n_chars("text").alias("n_chars"),
+                    TX.n_words("text").alias("n_words"),
+                    TX.avg_word_len("text").alias("avg_word_len"))
+
+
+@query("g08_dedup_pairs")
+def _g08(spark, sf):
+    return TO.dedup_first(_pairs(spark, sf), ["LookupText", "QuestionText"], "FeedbackID") \
+        .select("FeedbackID", "FeedbackType", "FeedbackResult", "HumanFeedback")
+
+
+@query("g09_dedup_documents")
+def _g09(spark, sf):
+    return TO.dedup_first(_t(spark, sf).documents.select("doc_id", "text", "lang"),
+                          ["text"], "doc_id").select("doc_id", "lang")
+
+
+@query("g10_duplicate_audit")
+def _g10(spark, sf):
+    return TO.duplicate_audit(_pairs(spark, sf))
+
+
+@query("g11_duplicated_lookup_only")
+def _g11(spark, sf):
+    return TO.duplicated_on_one_side(_pairs(spark, sf), "LookupText", "QuestionText") \
+        .select("FeedbackID", "HumanFeedback")
+
+
+@query("g12_short_text_share")
+def _g12(spark, sf):
+    c = _t(spark, sf).conversations
+    return TO.short_text_share(c, TX.n_words("text"), 5)
+
+
+@query("g13_g16_formula_split")
+def _g13(spark, sf):
+    d = V.formula_documents(_t(spark, sf))
+    forms = TX.formulas("text")
+    return d.select(
+        "doc_id", F.size(forms).cast("long").alias("n_formulas"),
+        F.array_join(forms, " | ").alias("formulas"),
+        F.size(TX.operator_formulas(forms)).cast("long").alias("n_operator_formulas"),
+        F.length(TX.strip_formulas("text")).cast("long").alias("text_len"),
+        TX.strip_latex(F.array_join(forms, " ")).alias("formula_plain"),
+        F.round(TX.text_formula_ratio("text", "text"), 10).alias("text_ratio"),
+        F.round(TX.text_formula_ratio("text", "formula"), 10).alias("formula_ratio"))
+
+
+@query("g17_g18_text_kind")
+def _g17(spark, sf):
+    d = V.formula_documents(_t(spark, sf))
+    return d.select("doc_id", TX.text_kind("text", 1).alias("kind_v1"),
+                    TX.text_kind("text", 2).alias("kind_v2"),
+                    TX.text_kind_operator_majority("text").alias("kind_majority"))
+
+
+@query("g19_non_ascii_share")
+def _g19(spark, sf):
+    d = _t(spark, sf).documents
+    return d.select("doc_id", F.round(TX.non_ascii_share("text", "word"), 10).alias("word_share"),
+                    F.round(TX.non_ascii_share("text", "char"), 10).alias("char_share"))
+
+
+def _pair_tokens(spark, sf):
+    p = _pairs(spark, sf)
+    return p.select("FeedbackID", TX.text_tokens("LookupText").alias("lt"),
+                    TX.text_tokens("QuestionText").alias("qt"))
+
+
+@query("g20_vocabulary")
+def _g20(spark, sf):
+    return TO.vocabulary(_pair_tokens(spark, sf), ["lt", "qt"])
+
+
+def _vocab_idf(spark, sf):
+    p = _pairs(spark, sf)
+    voc = TO.vocabulary(_pair_tokens(spark, sf), ["lt", "qt"])
+    pre = lambda c: TX.word_tokens(TX.clean_letters(TX.strip_formulas(c)))
+    corpus = p.select(F.concat(F.lit("l"), F.col("FeedbackID").cast("string")).alias("doc"),
+                      F.explode_outer(pre("LookupText")).alias("term")) \
+        .unionByName(p.select(F.concat(F.lit("q"), F.col("FeedbackID").cast("string")).alias("doc"),
+                              F.explode_outer(pre("QuestionText")).alias("term"))) \
+        .filter(F.col("term").isNotNull())
+    n = 2 * p.count()
+    return TO.vocabulary_idf(voc, corpus, n)
+
+
+@query("g21_vocabulary_idf")
+def _g21(spark, sf):
+    return _vocab_idf(spark, sf).select("token", "token_id", F.round("idf", 10).alias("idf"))
+
+
+@query("g22_g23_sequences")
+def _g22(spark, sf):
+    pt = _pair_tokens(spark, sf)
+    voc = TO.vocabulary(pt, ["lt", "qt"])
+    s = TO.to_sequences(pt, "FeedbackID", "lt", voc, "token_id", out="seq")
+    padded = TX.pad("seq", F.lit(800), -1)
+    return s.select("FeedbackID", F.array_join("seq", " ").alias("seq"),
+                    F.size(padded).cast("long").alias("padded_len"))
+
+
+@query("g24_top_terms")
+def _g24(spark, sf):
+    tf = S.term_counts(_t(spark, sf).documents, "doc_id")
+    return TO.top_terms_by(tf, 50)
+
+
+@query("g25_kind_summary")
+def _g25(spark, sf):
+    p = _pairs(spark, sf)
+    k = p.select(TX.text_kind("LookupText", 2).alias("lookup_kind"),
+                 TX.text_kind("QuestionText", 2).alias("question_kind"))
+    return k.groupBy("lookup_kind", "question_kind").agg(F.count(F.lit(1)).alias("n"))

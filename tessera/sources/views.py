@@ -161,12 +161,13 @@ def _pick_line(text_col: str, key_col: str):
 def feedback_pairs(t: Tables) -> DataFrame:
     """Look-up / question pairs with human labels.
 
-    Question = a whole document; Lookup = one whole line of the same document
+    Question = a whole document (with its formula, see ``formula_documents``);
+    Lookup = one whole line of the same document
     (``MATCH``, label quality 1) or of the document with the next id
     (``NOT MATCH``).  Feedback Type comes from ``toxic``; the engine's own
     result from ``doc_id % 3``.
     """
-    docs = t.documents.select("doc_id", "text")
+    docs = formula_documents(t)
     nxt = docs.select((F.col("doc_id") - 1).alias("doc_id"),
                       F.col("text").alias("next_text"))
     lab = t.labels.select("doc_id", "quality", "toxic")
