@@ -92,7 +92,8 @@ def min_max_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 
 # F08 -------------------------------------------------------------------------
-WORD_DIFF_LABELS = ["<=5", "5-10", "10-15", "15-20", ">20"]   # fixed bin labels
+# Labels of the word-count-difference bins.
+WORD_DIFF_LABELS = ["Very low", "Low", "Medium", "High", "Very high"]
 
 
 def bin_right_closed(col: Column | str, edges: Sequence[float] = (5, 10, 15, 20),

@@ -630,3 +630,140 @@ ORACLE.update({
     "g25_kind_summary": tq(f"""SELECT {x_kind('LookupText', 2)} AS lookup_kind,
         {x_kind('QuestionText', 2)} AS question_kind, count(*) AS n FROM feedback_pairs GROUP BY ALL"""),
 })
+
+
+# ---- paired similarity ----------------------------------------------------------------
+def x_squeeze(c):
+    return f"trim(regexp_replace({c}, ' +', ' ', 'g'))"
+
+
+def x_edit(a, b):
+    m = f"greatest(length({a}), length({b}))"
+    return f"CASE WHEN {m} = 0 THEN 1.0 ELSE 1 - levenshtein({a}, {b}) / {m} END"
+
+
+def x_fuzzy(a, b):
+    ts = lambda c: f"array_to_string(list_sort({_split_words(c)}), ' ')"
+    ta, tb = f"list_distinct({_split_words(a)})", f"list_distinct({_split_words(b)})"
+    mn = f"least(len({ta}), len({tb}))"
+    ov = f"CASE WHEN {mn} = 0 THEN 0.0 ELSE len(list_intersect({ta}, {tb})) / {mn} END"
+    return f"greatest({x_edit(a, b)}, {x_edit(ts(a), ts(b))}, {ov})"
+
+
+def x_formula_score(lf, qf):
+    best = f"list_transform({lf}, lambda f: list_max(list_transform({qf}, lambda g: {x_fuzzy('f', 'g')})))"
+    return (f"CASE WHEN len({lf}) = 0 OR len({qf}) = 0 THEN 0.0 "
+            f"ELSE CAST(list_sum({best}) AS DOUBLE) / len({lf}) END")
+
+
+def _pair_search_views():
+    v = {
+        "pq": f"SELECT FeedbackID AS id, {_clean_full('QuestionText')} AS text FROM feedback_pairs",
+        "pl": f"SELECT FeedbackID AS id, {_clean_full('LookupText')} AS text FROM feedback_pairs",
+        # Fit on questions, top 1200 terms, stop words removed
+        "pq_tf0": f"""SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({x_word_tokens('text')}) AS term
+            FROM pq) WHERE NOT list_contains({_STOP_LIST}, term) GROUP BY id, term""",
+        "pq_top": """SELECT term FROM (SELECT term, sum(tf) AS c FROM pq_tf0 GROUP BY term
+            ORDER BY c DESC, term LIMIT 1200)""",
+        "pq_tf": "SELECT * FROM pq_tf0 WHERE term IN (SELECT term FROM pq_top)",
+        "pq_idf": """SELECT term, ln((1 + (SELECT count(DISTINCT id) FROM pq)) / (1.0 + count(*))) + 1 AS idf
+            FROM pq_tf GROUP BY term""",
+        "pq_vec": """SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM (
+            SELECT id, term, tf * idf AS w FROM pq_tf JOIN pq_idf USING (term))""",
+        "pl_tf": f"""SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({x_word_tokens('text')}) AS term
+            FROM pl) WHERE NOT list_contains({_STOP_LIST}, term) GROUP BY id, term""",
+        "pl_vec": """SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM (
+            SELECT id, term, tf * idf AS w FROM pl_tf JOIN pq_idf USING (term))""",
+        "pcos": """SELECT p.FeedbackID, p.HumanFeedback, round(COALESCE(c.cosine, 0.0), 10) AS cosine
+            FROM feedback_pairs p LEFT JOIN (SELECT l.id, sum(l.w * q.w) AS cosine FROM pl_vec l
+            JOIN pq_vec q ON q.id = l.id AND q.term = l.term GROUP BY l.id) c ON c.id = p.FeedbackID""",
+        # Full search, no stop words, no feature cap
+        "fq_tf": f"""SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({x_word_tokens('text')}) AS term
+            FROM pq) GROUP BY id, term""",
+        "fq_idf": """SELECT term, ln((1 + (SELECT count(DISTINCT id) FROM pq)) / (1.0 + count(*))) + 1 AS idf
+            FROM fq_tf GROUP BY term""",
+        "fq_vec": """SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM (
+            SELECT id, term, tf * idf AS w FROM fq_tf JOIN fq_idf USING (term))""",
+        "fl_vec": f"""SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM (
+            SELECT id, term, tf * idf AS w FROM (SELECT id, term, count(*) AS tf FROM (
+              SELECT id, unnest({x_word_tokens('text')}) AS term FROM pl) GROUP BY id, term)
+            JOIN fq_idf USING (term))""",
+        "fscores": """SELECT l.id AS FeedbackID, q.id AS found_id, round(sum(l.w * q.w), 10) AS score
+            FROM fl_vec l JOIN fq_vec q USING (term) GROUP BY l.id, q.id""",
+        "franked": """SELECT *, CAST(row_number() OVER (PARTITION BY FeedbackID ORDER BY score DESC, found_id)
+            AS INTEGER) AS rank FROM fscores""",
+        "top1": """SELECT p.FeedbackID, r.found_id, r.score,
+            CASE WHEN COALESCE(f.QuestionText = p.QuestionText OR f.QuestionText = p.LookupText, false)
+                 THEN 'MATCH' ELSE 'NOT MATCH' END AS SE_match
+            FROM feedback_pairs p LEFT JOIN (SELECT * FROM franked WHERE rank = 1) r ON r.FeedbackID = p.FeedbackID
+            LEFT JOIN feedback_pairs f ON f.FeedbackID = r.found_id""",
+        "fhits": """SELECT r.FeedbackID, min(r.rank) AS best_rank FROM franked r
+            JOIN feedback_pairs f ON f.FeedbackID = r.found_id
+            JOIN feedback_pairs p ON p.FeedbackID = r.FeedbackID
+            WHERE r.rank <= 5 AND f.QuestionText = p.QuestionText GROUP BY r.FeedbackID""",
+        # Idf sequences
+        "seq_ex": """SELECT FeedbackID, 'l' AS side, unnest(lt) AS token, generate_subscripts(lt, 1) AS pos
+            FROM pair_tok UNION ALL
+            SELECT FeedbackID, 'q', unnest(qt), generate_subscripts(qt, 1) FROM pair_tok""",
+        "seq_w": "SELECT s.*, v.idf FROM seq_ex s JOIN vocab_idf v ON v.token = s.token",
+        "seq_cos": """SELECT p.FeedbackID,
+            CASE WHEN len(p.lt) = 0 OR len(p.qt) = 0 OR COALESCE(na, 0) = 0 OR COALESCE(nb, 0) = 0 THEN 0.0
+                 ELSE round(COALESCE(dot, 0.0) / (na * nb), 10) END AS seq_cosine, p.lt
+            FROM pair_tok p
+            LEFT JOIN (SELECT FeedbackID, sqrt(sum(idf * idf)) AS na FROM seq_w WHERE side = 'l' GROUP BY 1) a
+              USING (FeedbackID)
+            LEFT JOIN (SELECT FeedbackID, sqrt(sum(idf * idf)) AS nb FROM seq_w WHERE side = 'q' GROUP BY 1) b
+              USING (FeedbackID)
+            LEFT JOIN (SELECT l.FeedbackID, sum(l.idf * q.idf) AS dot FROM seq_w l JOIN seq_w q
+              ON q.FeedbackID = l.FeedbackID AND q.pos = l.pos AND l.side = 'l' AND q.side = 'q'
+              GROUP BY l.FeedbackID) d USING (FeedbackID)""",
+        "fscore": f"""SELECT FeedbackID, {x_formula_score(x_forms('LookupText'), x_forms('QuestionText'))}
+            AS formula_score, {x_forms('LookupText')} AS lf FROM feedback_pairs""",
+    }
+    return v
+
+
+def pq_(body: str) -> str:
+    views = dict(_TEXT_VIEWS)
+    views.update(_pair_search_views())
+    return with_views(body, views)
+
+
+_V1 = """SELECT s.FeedbackID,
+    round(CASE WHEN len(list_distinct(s.lt)) > 2 THEN s.seq_cosine ELSE 0.0 END, 10) AS text_score,
+    round(CASE WHEN len(list_distinct(s.lt)) > 2 AND len(f.lf) = 0 THEN 0.0 ELSE f.formula_score END, 10)
+      AS formula_score,
+    round(CASE WHEN len(list_distinct(s.lt)) <= 2 THEN f.formula_score
+               WHEN len(f.lf) = 0 THEN s.seq_cosine
+               WHEN (s.seq_cosine <> 0)::INT + (f.formula_score <> 0)::INT = 0 THEN 0.0
+               ELSE (s.seq_cosine + f.formula_score)
+                    / ((s.seq_cosine <> 0)::INT + (f.formula_score <> 0)::INT) END, 10) AS final_score
+    FROM seq_cos s JOIN fscore f USING (FeedbackID)"""
+
+ORACLE.update({
+    "h15_pair_cosine": pq_("SELECT *, CAST(cosine >= 0.8 AS INTEGER) AS high FROM pcos"),
+    "h16_pair_jaccard": pq_(f"""SELECT FeedbackID, HumanFeedback, j AS jaccard, CAST(j >= 0.8 AS INTEGER) AS high
+        FROM (SELECT *, round(CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 0.0
+              ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 10) AS j
+        FROM (SELECT *, {_split_words(_clean_full('LookupText'))} AS a,
+              {_split_words(_clean_full('QuestionText'))} AS b FROM feedback_pairs))"""),
+    "h17_sequence_cosine": pq_("SELECT FeedbackID, seq_cosine FROM seq_cos"),
+    "h20_formula_score": pq_("SELECT FeedbackID, round(formula_score, 10) AS formula_score FROM fscore"),
+    "h21_combined_ranker_v1": pq_(_V1),
+    "h23_batch_search_top1": pq_("SELECT * FROM top1"),
+    "h25_feedback_evaluation": pq_("""SELECT CASE WHEN h.best_rank = 1 THEN 'Matching'
+          WHEN h.best_rank IS NOT NULL THEN 'In top' ELSE 'No result' END AS outcome,
+        p.HumanFeedback, count(*) AS n
+        FROM feedback_pairs p LEFT JOIN fhits h USING (FeedbackID) GROUP BY ALL"""),
+    "h26_agreement": pq_("""SELECT count(*) FILTER (WHERE FeedbackType = 'POSITIVE' AND HumanFeedback = 'NOT MATCH')
+          AS positive_not_match,
+        count(*) FILTER (WHERE FeedbackType = 'NEGATIVE' AND HumanFeedback = 'MATCH') AS negative_match,
+        count(*) AS rows,
+        (count(*) FILTER (WHERE FeedbackType = 'POSITIVE' AND HumanFeedback = 'NOT MATCH')
+         + count(*) FILTER (WHERE FeedbackType = 'NEGATIVE' AND HumanFeedback = 'MATCH')) / count(*)
+          AS disagreement_rate FROM feedback_pairs"""),
+    "h27_review_list": pq_("""SELECT * FROM top1 WHERE SE_match = 'NOT MATCH' AND score BETWEEN 0.0 AND 1.0
+        ORDER BY score DESC, FeedbackID"""),
+    "h28_score_distribution": pq_("""SELECT HumanFeedback, round(floor(cosine / 0.1) * 0.1, 6) AS bin,
+        count(*) AS n FROM pcos GROUP BY ALL"""),
+})

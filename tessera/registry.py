@@ -484,3 +484,67 @@ def _g25(spark, sf):
     k = p.select(TX.text_kind("LookupText", 2).alias("lookup_kind"),
                  TX.text_kind("QuestionText", 2).alias("question_kind"))
     return k.groupBy("lookup_kind", "question_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- paired similarity, rankers, feedback evaluation -------------------------------
+from tessera.plans import pair_plans as PP  # noqa: E402
+
+
+@query("h15_pair_cosine")
+def _h15(spark, sf):
+    return PP.pair_cosine(_t(spark, sf))
+
+
+@query("h16_pair_jaccard")
+def _h16(spark, sf):
+    return PP.pair_jaccard(_t(spark, sf))
+
+
+@query("h17_sequence_cosine")
+def _h17(spark, sf):
+    return PP.sequence_cosine(_t(spark, sf))
+
+
+@query("h18_h19_edit_and_fuzzy")
+def _h18(spark, sf):
+    return PP.pair_edit_scores(_t(spark, sf))
+
+
+@query("h20_formula_score")
+def _h20(spark, sf):
+    return PP.pair_formula_scores(_t(spark, sf))
+
+
+@query("h21_combined_ranker_v1")
+def _h21(spark, sf):
+    return PP.combined_ranker(_t(spark, sf), 1)
+
+
+@query("h22_combined_ranker_v2")
+def _h22(spark, sf):
+    return PP.combined_ranker(_t(spark, sf), 2)
+
+
+@query("h23_batch_search_top1")
+def _h23(spark, sf):
+    return PP.batch_search_top1(_t(spark, sf))
+
+
+@query("h25_feedback_evaluation")
+def _h25(spark, sf):
+    return PP.feedback_evaluation(_t(spark, sf))
+
+
+@query("h26_agreement")
+def _h26(spark, sf):
+    return PP.agreement(_t(spark, sf))
+
+
+@query("h27_review_list")
+def _h27(spark, sf):
+    return PP.review_list(_t(spark, sf), 0.0, 1.0)
+
+
+@query("h28_score_distribution")
+def _h28(spark, sf):
+    return PP.score_distribution(_t(spark, sf))
