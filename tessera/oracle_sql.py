@@ -767,3 +767,146 @@ ORACLE.update({
     "h28_score_distribution": pq_("""SELECT HumanFeedback, round(floor(cosine / 0.1) * 0.1, 6) AS bin,
         count(*) AS n FROM pcos GROUP BY ALL"""),
 })
+
+
+# ---- reports ---------------------------------------------------------------------------
+def _wd_name(c):
+    return ("CASE isodow(" + c + ") " + " ".join(
+        f"WHEN {i + 1} THEN '{d}'" for i, d in enumerate(["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]))
+        + " END")
+
+
+_REPORT_VIEWS = {
+    "eng_pay": f"""SELECT e.*, p.gapday, p.firstpay, p.firstPayment, p.gapday IS NOT NULL AS payer,
+        {_wd_name('e.EventDate')} AS Event_dayofweek
+        FROM engagement e LEFT JOIN payment_x p ON p.UserID = e.UserID""",
+    "recoded": """SELECT *, CASE WHEN FeedbackResult IN ('NOT_MATCH', 'SKIP') THEN 'NOT MATCH'
+        ELSE FeedbackResult END AS result FROM feedback_pairs""",
+    "hd_first": """SELECT UserID, min(nth_day_from_registration) AS min_day, min(firstuse) AS firstuse
+        FROM eng_raw_x GROUP BY UserID""",
+    "hd_cases": """SELECT f.UserID, CASE WHEN min_day = 0 AND gapday = 0 THEN 'zero_instant'
+          WHEN min_day > 0 AND gapday <> 0 THEN 'late_late'
+          WHEN min_day > 0 AND gapday = 0 THEN 'late_instant' END AS "case",
+        p.firstPayment, f.firstuse > p.firstpay AS use_first,
+        round(abs(epoch_us(p.firstpay) - epoch_us(f.firstuse)) / 3.6e9, 6) AS gap_hour
+        FROM hd_first f JOIN (SELECT * FROM pay_x2 WHERE gapday IS NOT NULL) p ON p.UserID = f.UserID""",
+}
+
+
+def rq(body: str) -> str:
+    extra = dict(EXTRA_VIEWS)
+    extra["pay"] = _PAY
+    extra.update(_features_views((1,)))
+    extra.update(_cutoff_views())
+    extra.update(_REPORT_VIEWS)
+    return with_views(body, extra)
+
+
+def _pct_sql():
+    return """SELECT result AS FeedbackResult, HumanFeedback,
+        floor(n / sum(n) OVER (PARTITION BY result) * 10000.0 + 0.5) / 10000.0 * 100 AS pct
+        FROM (SELECT result, HumanFeedback, count(*) AS n FROM recoded GROUP BY ALL)"""
+
+
+def _multi_stat():
+    cols = []
+    for a in ["Discovery", "Entertainment", "Learn"]:
+        m = f"CASE WHEN ActionType = '{a}' THEN UsageTime END"
+        cols += [f"count({m}) AS count_{a}", f"avg({m}) AS mean_{a}", f"sum({m}) AS sum_{a}",
+                 f"stddev_samp({m}) AS std_{a}"]
+    return f"SELECT nth_day_from_registration, {', '.join(cols)} FROM eng_pay WHERE payer GROUP BY 1"
+
+
+def _profile():
+    parts = []
+    for c in ["UsageTime", "Records", "open_time", "payment_screen_time"]:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", CAST(count({x}) AS DOUBLE) AS count,
+            CAST(count(*) FILTER (WHERE {x} IS NULL) AS DOUBLE) AS nulls, avg({x}) AS mean,
+            stddev_samp({x}) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS q1,
+            quantile_cont({x}, 0.5) AS q2, quantile_cont({x}, 0.75) AS q3, max({x}) AS max FROM engagement""")
+    return " UNION ALL ".join(parts)
+
+
+def _corr():
+    cs = ["UsageTime", "Records", "open_time", "payment_screen_time"]
+    parts = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr FROM engagement"
+             for i, a in enumerate(cs) for b in cs[i:]]
+    return " UNION ALL ".join(parts)
+
+
+_BRANDS7 = ["samsung", "oppo", "apple", "xiaomi", "vivo", "realme", "nokia"]
+
+ORACLE.update({
+    "d18_value_counts": rq("""SELECT DeviceBrand, count(*) AS count FROM engagement GROUP BY 1
+        ORDER BY count DESC, DeviceBrand"""),
+    "d19_crosstab_pct": rq(_pct_sql()),
+    "d20_multi_stat_pivot": rq(_multi_stat()),
+    "d21_weekday_action_payer": rq("""SELECT Event_dayofweek, ActionType, payer, count(*) AS events,
+        avg(UsageTime) AS mean_usage FROM eng_pay GROUP BY ALL"""),
+    "d22_weekday_counts": rq(f"""SELECT COALESCE(a.weekday, b.weekday, c.weekday) AS weekday,
+        pay_dayofweek, joined_dayofweek, Event_dayofweek FROM
+        (SELECT {_wd_name("CAST(UserJoinedDate AS DATE) + CAST(ceil(gapday) AS INTEGER)")} AS weekday,
+                count(*) AS pay_dayofweek FROM eng_pay WHERE payer GROUP BY 1) a
+        FULL JOIN (SELECT {_wd_name('UserJoinedDate')} AS weekday, count(*) AS joined_dayofweek
+                   FROM eng_pay WHERE payer GROUP BY 1) b ON a.weekday = b.weekday
+        FULL JOIN (SELECT Event_dayofweek AS weekday, count(*) AS Event_dayofweek FROM eng_pay
+                   WHERE payer GROUP BY 1) c ON c.weekday = COALESCE(a.weekday, b.weekday)"""),
+    "d23_box_stats": rq("""SELECT Event_dayofweek, payer, min(UsageTime) AS min,
+        quantile_cont(UsageTime, 0.25) AS q1, quantile_cont(UsageTime, 0.5) AS median,
+        quantile_cont(UsageTime, 0.75) AS q3, max(UsageTime) AS max FROM eng_pay GROUP BY ALL"""),
+    "d24_column_profile": rq(_profile()),
+    "d25_correlation": rq(_corr()),
+    "d26_histogram": rq("""SELECT payer, floor(UsageTime / 5.0) * 5.0 AS bin, count(*) AS n
+        FROM eng_pay GROUP BY ALL"""),
+    "d27_daily_counts": rq("SELECT EventDate, count(*) AS n FROM engagement GROUP BY 1"),
+    "c08_hour_diff_cases": rq('SELECT * FROM hd_cases WHERE "case" IS NOT NULL'),
+    "d28_use_first_counts": rq("""SELECT "case", firstPayment, use_first, count(*) AS n FROM hd_cases
+        WHERE "case" IS NOT NULL GROUP BY ALL"""),
+    "d29_brand_matrix": rq("SELECT UserID, " + ", ".join(
+        f"CAST(count(*) FILTER (WHERE DeviceBrand = '{b}') AS BIGINT) AS {b}" for b in _BRANDS7)
+        + ", CAST(count(DISTINCT DeviceBrand) AS BIGINT) AS n_brands FROM event_logs_all GROUP BY UserID"),
+    "d30_first_row": rq("""SELECT UserID, UserJoinedDate, EventDate, ActionType FROM (SELECT *,
+        row_number() OVER (PARTITION BY UserID ORDER BY EventDate, ActionType) AS rn FROM engagement)
+        WHERE rn = 1"""),
+    "d32_duplicate_audit": rq("""SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT user_id,
+        event_type FROM events)) AS distinct_rows,
+        count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS duplicate_rows
+        FROM events"""),
+    "c07_learning_fanout": rq("""SELECT e.UserID, e.EventDate, e.nth_day_from_registration, e.ActionType,
+        e.UsageTime AS eng_usage, l.SubjectName, l.IsCompleted, l.UsageTime AS learn_usage
+        FROM engagement e LEFT JOIN learn l ON l.UserID = e.UserID AND l.EventDate = e.EventDate
+        AND l.nth_day_from_registration = e.nth_day_from_registration"""),
+    "c09_not_match_in_match": rq("""SELECT FeedbackID FROM feedback_pairs WHERE HumanFeedback = 'NOT MATCH'
+        AND LookupText IN (SELECT LookupText FROM feedback_pairs WHERE HumanFeedback = 'MATCH')"""),
+    "c10_label_disagreements": rq("""SELECT a.UserID, a.Label AS Label_a, b.Label AS Label_b
+        FROM cutoff_features a LEFT JOIN features b ON b.UserID = a.UserID
+        WHERE a.Label IS DISTINCT FROM b.Label"""),
+    "f06_min_max_scale": rq("""SELECT UserID, EventDate, ActionType, UsageTime,
+        round((UsageTime - (SELECT min(UsageTime) FROM engagement))
+              / ((SELECT max(UsageTime) FROM engagement) - (SELECT min(UsageTime) FROM engagement)), 10)
+          AS UsageScaled FROM engagement"""),
+    "f08_word_diff_bins": rq(f"""SELECT FeedbackID, d AS diff_word, CASE WHEN d <= 5 THEN 'Very low'
+        WHEN d <= 10 THEN 'Low' WHEN d <= 15 THEN 'Medium' WHEN d <= 20 THEN 'High' ELSE 'Very high' END
+          AS diff_bin FROM (SELECT FeedbackID,
+          abs({x_n_words('QuestionText')} - {x_n_words('LookupText')}) AS d FROM feedback_pairs)"""),
+    "f09_top_brands": rq("""SELECT TopBrand, count(*) AS count FROM (SELECT CASE WHEN b.cnt >= 120
+        THEN u.DeviceBrand ELSE 'Others' END AS TopBrand FROM ucb u LEFT JOIN (SELECT DeviceBrand,
+        count(*) AS cnt FROM ucb WHERE DeviceBrand IS NOT NULL GROUP BY 1) b ON b.DeviceBrand = u.DeviceBrand)
+        GROUP BY 1 ORDER BY count DESC, TopBrand"""),
+    "b05_parse_ts19": rq("SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS parsed FROM events"),
+    "b06_b07_calendar_parts": rq(f"""SELECT UserID, EventDate, ActionType,
+        CAST(hour(firstuse) AS INTEGER) AS firstuse_hour, CAST(hour(lastuse) AS INTEGER) AS lastuse_hour,
+        CAST(day(lastuse) AS INTEGER) AS lastuse_day, CAST(isodow(lastuse) - 1 AS INTEGER) AS lastuse_dayofweek,
+        CAST(month(UserJoinedDate) AS INTEGER) AS JoinMonth, {_wd_name('EventDate')} AS Event_dayofweek
+        FROM engagement"""),
+    "b08_b09_child_age": rq(f"""SELECT ChildID, {AGE_SQL} AS Age, CAST(month(ChildBday) AS INTEGER) AS monthBday,
+        round(datediff('day', ChildBday, DATE '2024-02-01') / 365.0, 1) AS age_365 FROM child_profile"""),
+    "b10_pay_date": rq("""SELECT UserID, CAST(CAST(UserJoinedDate AS DATE) + CAST(ceil(gapday) AS INTEGER) AS DATE)
+        AS payday FROM payment_x WHERE gapday IS NOT NULL"""),
+    "b13_label_recode": rq("SELECT result, count(*) AS n FROM recoded GROUP BY 1"),
+    "j02_global_top_users": rq("""SELECT UserID, round(sum(UsageTime), 6) AS usage FROM engagement
+        GROUP BY 1 ORDER BY usage DESC, UserID LIMIT 10"""),
+    "j03_set_operations": rq("""SELECT UserID FROM user_profile WHERE UserID NOT IN
+        (SELECT UserID FROM payment_x WHERE gapday IS NULL) UNION SELECT UserID FROM fake_users"""),
+})

@@ -548,3 +548,178 @@ def _h27(spark, sf):
 @query("h28_score_distribution")
 def _h28(spark, sf):
     return PP.score_distribution(_t(spark, sf))
+
+
+# ---- reports, joins, transforms, scalar functions ----------------------------------
+from tessera.functions import dates as DT  # noqa: E402
+from tessera.plans import reports as R  # noqa: E402
+
+
+@query("d18_value_counts")
+def _d18(spark, sf):
+    return A.value_counts(X.engagement_extract(_t(spark, sf)), "DeviceBrand")
+
+
+@query("d19_crosstab_pct")
+def _d19(spark, sf):
+    p = _pairs(spark, sf).withColumn("FeedbackResult", R.recode_result("FeedbackResult"))
+    return A.crosstab_pct(p, "FeedbackResult", "HumanFeedback")
+
+
+@query("d20_multi_stat_pivot")
+def _d20(spark, sf):
+    p = R.engagement_payer(_t(spark, sf)).filter("payer")
+    return A.multi_stat_pivot(p, "nth_day_from_registration", "ActionType", FT.ACTIONS, "UsageTime")
+
+
+@query("d21_weekday_action_payer")
+def _d21(spark, sf):
+    return R.weekday_action_payer(_t(spark, sf))
+
+
+@query("d22_weekday_counts")
+def _d22(spark, sf):
+    return R.weekday_counts(_t(spark, sf))
+
+
+@query("d23_box_stats")
+def _d23(spark, sf):
+    return A.box_stats(R.engagement_payer(_t(spark, sf)), ["Event_dayofweek", "payer"], "UsageTime")
+
+
+@query("d24_column_profile")
+def _d24(spark, sf):
+    return A.column_profile(X.engagement_extract(_t(spark, sf)), R.MEASURES)
+
+
+@query("d25_correlation")
+def _d25(spark, sf):
+    return A.correlation_long(X.engagement_extract(_t(spark, sf)), R.MEASURES)
+
+
+@query("d26_histogram")
+def _d26(spark, sf):
+    return A.histogram(R.engagement_payer(_t(spark, sf)), "UsageTime", 5.0, ["payer"])
+
+
+@query("d27_daily_counts")
+def _d27(spark, sf):
+    return X.engagement_extract(_t(spark, sf)).groupBy("EventDate").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("c08_hour_diff_cases")
+def _c08(spark, sf):
+    return R.hour_diff_cases(_t(spark, sf))
+
+
+@query("d28_use_first_counts")
+def _d28(spark, sf):
+    return R.use_first_counts(_t(spark, sf))
+
+
+@query("d29_brand_matrix")
+def _d29(spark, sf):
+    return A.brand_matrix(X.event_logs_all(_t(spark, sf)), V.BRANDS)
+
+
+@query("d30_first_row")
+def _d30(spark, sf):
+    e = X.engagement_extract(_t(spark, sf))
+    return A.first_row(e, "UserID", ["EventDate", "ActionType"]).select(
+        "UserID", "UserJoinedDate", "EventDate", "ActionType")
+
+
+@query("d32_duplicate_audit")
+def _d32(spark, sf):
+    ev = _t(spark, sf).events.select("user_id", "event_type")
+    return A.duplicate_audit(ev)
+
+
+@query("c07_learning_fanout")
+def _c07(spark, sf):
+    return R.learning_fanout(_t(spark, sf))
+
+
+@query("c09_not_match_in_match")
+def _c09(spark, sf):
+    return R.not_match_in_match(_t(spark, sf))
+
+
+@query("c10_label_disagreements")
+def _c10(spark, sf):
+    return R.label_disagreements(_t(spark, sf))
+
+
+@query("f06_min_max_scale")
+def _f06(spark, sf):
+    e = X.engagement_extract(_t(spark, sf)).select("UserID", "EventDate", "ActionType", "UsageTime")
+    return T.min_max_scale(e, "UsageTime", "UsageScaled").withColumn(
+        "UsageScaled", F.round("UsageScaled", 10))
+
+
+@query("f08_word_diff_bins")
+def _f08(spark, sf):
+    return R.word_diff_bins(_t(spark, sf))
+
+
+@query("f09_top_brands")
+def _f09(spark, sf):
+    u = X.user_child_brand_extract(_t(spark, sf))
+    return A.value_counts(T.top_categories(u, "DeviceBrand", 120, out="TopBrand"), "TopBrand")
+
+
+@query("b05_parse_ts19")
+def _b05(spark, sf):
+    ev = _t(spark, sf).events
+    raw = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".000 +0700"))
+    return ev.select("event_id", DT.parse_ts19(raw).alias("parsed"))
+
+
+@query("b06_b07_calendar_parts")
+def _b06(spark, sf):
+    e = X.engagement_extract(_t(spark, sf))
+    return e.select("UserID", "EventDate", "ActionType",
+                    DT.hour_of("firstuse").alias("firstuse_hour"),
+                    DT.hour_of("lastuse").alias("lastuse_hour"),
+                    DT.day_of_month("lastuse").alias("lastuse_day"),
+                    DT.weekday_mon0("lastuse").alias("lastuse_dayofweek"),
+                    DT.month_of("UserJoinedDate").alias("JoinMonth"),
+                    DT.weekday_name("EventDate").alias("Event_dayofweek"))
+
+
+@query("b08_b09_child_age")
+def _b08(spark, sf):
+    c = V.child_profile(_t(spark, sf))
+    return c.select("ChildID", DT.age_years("ChildBday", V.AS_OF_DATE).alias("Age"),
+                    F.month("ChildBday").alias("monthBday"),
+                    DT.age_days_365("ChildBday", V.AS_OF_DATE).alias("age_365"))
+
+
+@query("b10_pay_date")
+def _b10(spark, sf):
+    p = X.payment_extract(_t(spark, sf)).filter(F.col("gapday").isNotNull())
+    return p.select("UserID", DT.pay_date("UserJoinedDate", "gapday").alias("payday"))
+
+
+@query("b13_label_recode")
+def _b13(spark, sf):
+    p = _pairs(spark, sf)
+    return p.groupBy(R.recode_result("FeedbackResult").alias("result")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("j02_global_top_users")
+def _j02(spark, sf):
+    e = X.engagement_extract(_t(spark, sf))
+    tot = e.groupBy("UserID").agg(F.round(F.sum("UsageTime"), 6).alias("usage"))
+    return tot.orderBy(F.desc("usage"), "UserID").limit(10)
+
+
+@query("j03_set_operations")
+def _j03(spark, sf):
+    t = _t(spark, sf)
+    pay = X.payment_extract(t)
+    free = pay.filter(F.col("gapday").isNull()).select("UserID")
+    users = V.user_profile(t).select("UserID")
+    return users.join(free, "UserID", "left_anti").union(V.fake_users(t)).distinct()
