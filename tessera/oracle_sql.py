@@ -910,3 +910,77 @@ ORACLE.update({
     "j03_set_operations": rq("""SELECT UserID FROM user_profile WHERE UserID NOT IN
         (SELECT UserID FROM payment_x WHERE gapday IS NULL) UNION SELECT UserID FROM fake_users"""),
 })
+
+
+# ---- models ---------------------------------------------------------------------------
+_ML_VIEWS = {
+    "ml": """SELECT UserID, firstPaymentType, Label,
+        CAST(TotalUsageTime AS DOUBLE) AS TotalUsageTime,
+        CAST(PaymentScreenFrequent AS DOUBLE) AS PaymentScreenFrequent FROM features""",
+    "rs": """SELECT UserID, firstPaymentType, Label, TotalUsageTime / (TotalUsageTime + 60.0) AS score,
+        CAST(TotalUsageTime / (TotalUsageTime + 60.0) >= 0.5 AS INTEGER) AS prediction FROM ml""",
+    "rs_b": """SELECT UserID, Label, PaymentScreenFrequent / (PaymentScreenFrequent + 3.0) AS score FROM ml""",
+    "sc": """SELECT score, count(*) FILTER (WHERE Label = 1) AS pos, count(*) FILTER (WHERE Label = 0) AS neg
+        FROM rs GROUP BY score""",
+    "sc_cum": """SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg FROM sc
+        WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "pn": """SELECT count(*) FILTER (WHERE Label = 1) AS P, count(*) FILTER (WHERE Label = 0) AS N FROM rs""",
+}
+
+
+def _conf(by: str = "") -> str:
+    g = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""SELECT {g}tp, fp, tn, fn, (tp + tn) / (tp + fp + tn + fn) AS accuracy,
+        CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+        CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+        CASE WHEN (CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END)
+                + (CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END) = 0 THEN 0.0
+             ELSE 2 * (CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END)
+                    * (CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END)
+                    / ((CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END)
+                       + (CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END)) END AS f1,
+        ((CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END)
+          + (CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END)) / 2 AS auc_hard
+        FROM (SELECT {g}count(*) FILTER (WHERE Label = 1 AND prediction = 1) AS tp,
+          count(*) FILTER (WHERE Label = 0 AND prediction = 1) AS fp,
+          count(*) FILTER (WHERE Label = 0 AND prediction = 0) AS tn,
+          count(*) FILTER (WHERE Label = 1 AND prediction = 0) AS fn
+          FROM (SELECT *, COALESCE(firstPaymentType, 'Nan') AS segment FROM rs) {grp})"""
+
+
+def mq(body: str) -> str:
+    extra = dict(EXTRA_VIEWS)
+    extra["pay"] = _PAY
+    extra.update(_features_views((1,)))
+    extra.update(_ML_VIEWS)
+    return with_views(body, extra)
+
+
+def _weights() -> str:
+    base = "SELECT Label, count(*) AS n_c FROM ml GROUP BY Label"
+    exprs = {"balanced": "(SELECT sum(n_c) FROM c) / ((SELECT count(*) FROM c) * n_c)",
+             "inverse": "1.0 / n_c", "isns": "1.0 / sqrt(n_c)",
+             "ens": "(1.0 - 0.99999) / (1.0 - pow(0.99999, n_c))"}
+    parts = [f"SELECT '{m}' AS method, Label, round({e}, 10) AS weight FROM c" for m, e in exprs.items()]
+    return f"SELECT * FROM (WITH c AS ({base}) " + " UNION ALL ".join(parts) + ")"
+
+
+ORACLE.update({
+    "i02_class_weights": mq(_weights()),
+    "i03_imbalance_ratio": mq("""SELECT count(*) FILTER (WHERE Label = 0) / count(*) FILTER (WHERE Label = 1)
+        AS scale_pos_weight FROM ml"""),
+    "i13_confusion_metrics": mq(_conf()),
+    "i16_metrics_by_payment_type": mq(_conf("segment")),
+    "i14_roc_points": mq("""SELECT score AS threshold, cum_pos / greatest((SELECT P FROM pn), 1) AS tpr,
+        cum_neg / greatest((SELECT N FROM pn), 1) AS fpr FROM sc_cum"""),
+    "i14_auc": mq("""SELECT round(sum(neg * (cum_pos - pos + pos / 2.0)) / (sum(pos) * sum(neg)), 10) AS auc
+        FROM sc_cum"""),
+    "i15_pr_curve": mq("""SELECT score AS threshold, cum_pos / (cum_pos + cum_neg) AS precision,
+        cum_pos / (SELECT P FROM pn) AS recall, pos / (SELECT P FROM pn) AS recall_step FROM sc_cum"""),
+    "i15_average_precision": mq("""SELECT round(sum(pos / (SELECT P FROM pn) * cum_pos / (cum_pos + cum_neg)), 10)
+        AS average_precision FROM sc_cum"""),
+    "i18_probability_blend": mq("""SELECT a.UserID, a.Label, round(0.8 * a.score + 0.2 * b.score, 10) AS score,
+        CAST(0.8 * a.score + 0.2 * b.score >= 0.5 AS INTEGER) AS prediction
+        FROM rs a JOIN rs_b b ON b.UserID = a.UserID"""),
+})

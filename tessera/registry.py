@@ -723,3 +723,182 @@ def _j03(spark, sf):
     free = pay.filter(F.col("gapday").isNull()).select("UserID")
     users = V.user_profile(t).select("UserID")
     return users.join(free, "UserID", "left_anti").union(V.fake_users(t)).distinct()
+
+
+# ---- 2I: models ---------------------------------------------------------------------
+from tessera.operators import models as M  # noqa: E402
+
+ML_FEATURES = ["Recency", "ContentFrequent", "PaymentScreenFrequent", "TotalUsageTime",
+               "TotalRecords", "NoTypeBrand", "RecordLearn", "UsageTimeLearn", "MedianUsageTime",
+               "TotalChild", "MedianChildAge"]
+
+
+def _ml_table(spark, sf, horizon: int = 1):
+    """The training table, materialised once with a reliable checkpoint in
+    the session's checkpoint folder: iterative fits then re-read it instead
+    of re-running the feature plan on every optimiser pass."""
+    from tessera.session import cut_lineage
+
+    f = FT.active_days_features(_t(spark, sf), horizon)
+    f = f.select("UserID", "firstPaymentType", "Label",
+                 *[F.col(c).cast("double").alias(c) for c in ML_FEATURES])
+    return cut_lineage(f)
+
+
+def _rule_scored(spark, sf):
+    """A deterministic baseline scorer (usage saturation) — a scored table
+    whose metrics are SQL-checkable."""
+    f = _ml_table(spark, sf)
+    s = F.col("TotalUsageTime") / (F.col("TotalUsageTime") + 60.0)
+    return f.select("UserID", "firstPaymentType", "Label", s.alias("score"),
+                    (s >= 0.5).cast("int").alias("prediction"))
+
+
+def _rule_scored_b(spark, sf):
+    f = _ml_table(spark, sf)
+    s = F.col("PaymentScreenFrequent") / (F.col("PaymentScreenFrequent") + 3.0)
+    return f.select("UserID", "Label", s.alias("score"))
+
+
+@query("i01_stratified_split")
+def _i01(spark, sf):
+    tr, te = M.stratified_split(_ml_table(spark, sf), "UserID")
+    return tr.select("UserID", "Label", F.lit("train").alias("split")).unionByName(
+        te.select("UserID", "Label", F.lit("test").alias("split")))
+
+
+@query("i02_class_weights")
+def _i02(spark, sf):
+    f = _ml_table(spark, sf)
+    out = None
+    for m in ["balanced", "inverse", "isns", "ens"]:
+        w = M.class_weights(f, method=m).select(F.lit(m).alias("method"), "Label",
+                                                 F.round("weight", 10).alias("weight"))
+        out = w if out is None else out.unionByName(w)
+    return out
+
+
+@query("i03_imbalance_ratio")
+def _i03(spark, sf):
+    return M.imbalance_ratio(_ml_table(spark, sf))
+
+
+@query("i04_undersample")
+def _i04(spark, sf):
+    return M.undersample(_ml_table(spark, sf)).select("UserID", "Label")
+
+
+@query("i05_smote")
+def _i05(spark, sf):
+    return M.smote(_ml_table(spark, sf).fillna(0), ML_FEATURES, "UserID")
+
+
+@query("i06_i10_classifiers")
+def _i06(spark, sf):
+    f = _ml_table(spark, sf).fillna(0)
+    tr, te = M.stratified_split(f, "UserID")
+    trw = M.with_weights(tr)
+    out = None
+    for kind, scale, weight in [("logistic", "standard", "weight"), ("naive_bayes", "min_max", None),
+                                ("tree", None, None), ("forest", None, "weight"),
+                                ("gbt", None, "weight")]:
+        model = M.fit_pipeline(trw, ML_FEATURES, kind, scale=scale, weight_col=weight)
+        s = M.scored(model, te, "UserID").withColumn("model", F.lit(kind))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("i11_grid_search")
+def _i11(spark, sf):
+    f = _ml_table(spark, sf).fillna(0)
+    cv = M.grid_search(f, ML_FEATURES, "forest", {"maxDepth": [3, 5], "numTrees": [10]}, folds=3)
+    rows = [(str({p.name: v for p, v in pm.items()}), float(m))
+            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return spark.createDataFrame(rows, "params string, f1 double")
+
+
+@query("i12_random_search")
+def _i12(spark, sf):
+    f = _ml_table(spark, sf).fillna(0)
+    cv = M.random_search(f, ML_FEATURES, "gbt",
+                         {"maxDepth": [2, 3], "maxIter": [5, 10], "stepSize": [0.1, 0.2]},
+                         draws=3, folds=3)
+    rows = [(str({p.name: v for p, v in pm.items()}), float(m))
+            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return spark.createDataFrame(rows, "params string, auc double")
+
+
+@query("i13_confusion_metrics")
+def _i13(spark, sf):
+    return M.confusion_metrics(_rule_scored(spark, sf))
+
+
+@query("i14_roc_points")
+def _i14(spark, sf):
+    return M.roc_points(_rule_scored(spark, sf))
+
+
+@query("i14_auc")
+def _i14b(spark, sf):
+    return M.auc(_rule_scored(spark, sf)).select(F.round("auc", 10).alias("auc"))
+
+
+@query("i15_pr_curve")
+def _i15(spark, sf):
+    return M.pr_curve(_rule_scored(spark, sf))
+
+
+@query("i15_average_precision")
+def _i15b(spark, sf):
+    return M.average_precision(_rule_scored(spark, sf)).select(
+        F.round("average_precision", 10).alias("average_precision"))
+
+
+@query("i16_metrics_by_payment_type")
+def _i16(spark, sf):
+    s = _rule_scored(spark, sf).withColumn("segment", F.coalesce("firstPaymentType", F.lit("Nan")))
+    return M.confusion_metrics(s, ["segment"])
+
+
+@query("i17_metric_table")
+def _i17(spark, sf):
+    from tessera.session import cut_lineage
+
+    allh = FT.active_days_features(_t(spark, sf), list(range(1, 9)))
+    allh = cut_lineage(allh.select("horizon", "UserID", "Label",
+                                   *[F.col(c).cast("double").alias(c) for c in ML_FEATURES]))
+    rows = []
+    for h in range(1, 9):
+        f = allh.filter(F.col("horizon") == h).drop("horizon").fillna(0)
+        tr, te = M.stratified_split(f, "UserID")
+        for policy in ["none", "balanced"]:
+            train = M.with_weights(tr) if policy == "balanced" else tr
+            model = M.fit_pipeline(train, ML_FEATURES, "logistic", scale="standard",
+                                   weight_col="weight" if policy == "balanced" else None)
+            m = M.confusion_metrics(M.scored(model, te, "UserID")).first()
+            rows.append((h, policy, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"])))
+    return spark.createDataFrame(rows, "horizon int, policy string, accuracy double, f1 double, auc_hard double")
+
+
+@query("i18_probability_blend")
+def _i18(spark, sf):
+    b = M.blend(_rule_scored(spark, sf), _rule_scored_b(spark, sf), "UserID")
+    return b.withColumn("score", F.round("score", 10))
+
+
+@query("i19_recursive_elimination")
+def _i19(spark, sf):
+    f = _ml_table(spark, sf).fillna(0)
+    tr, te = M.stratified_split(f, "UserID")
+    kept, hist = M.recursive_elimination(tr, te, ML_FEATURES, "UserID", n_keep=8, kind="forest", step=1)
+    return spark.createDataFrame([(n, float(a) if a is not None else None) for n, a in hist],
+                                 "n_features int, auc double")
+
+
+@query("i20_permutation_importance")
+def _i20(spark, sf):
+    f = _ml_table(spark, sf).fillna(0)
+    tr, te = M.stratified_split(f, "UserID")
+    model = M.fit_pipeline(tr, ML_FEATURES[:4], "forest", numTrees=10)
+    imp = M.permutation_importance(model, te, ML_FEATURES[:4], "UserID", repeats=1)
+    return spark.createDataFrame([(k, float(v)) for k, v in imp], "feature string, importance double")
