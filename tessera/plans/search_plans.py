@@ -109,3 +109,47 @@ def search_evaluation(t: Tables, k: int = 5) -> DataFrame:
     """Outcome per benchmark query of the TF-IDF cosine top-k."""
     ev = S.evaluate_hits(cosine_top_k(t, k), containment_truth(t))
     return ev.select("query_id", "best_rank", "outcome")
+
+
+# Dense spaces over the top terms -----------------------------------------
+DENSE_TERMS = 300
+
+
+def dense_tfidf(t: Tables, n_terms: int = DENSE_TERMS):
+    """Corpus and query TF-IDF restricted to the ``n_terms`` most frequent
+    terms, as fixed-length arrays."""
+    from tessera.operators import lsa
+    from tessera.operators.textops import dense_ids
+
+    from tessera.session import cut_lineage
+
+    d_vec, q_vec, idf = tfidf_vectors(t, max_features=n_terms)
+    ids = dense_ids(idf.select("term"), "term", "term_id")
+    # Iterative fits (PCA, SVD) make several passes: cut the lineage once.
+    return (cut_lineage(lsa.dense_vectors(d_vec, ids, n_terms)),
+            cut_lineage(lsa.dense_vectors(q_vec, ids, n_terms)))
+
+
+def pca_space(t: Tables, k: int = 10, n_terms: int = DENSE_TERMS):
+    from tessera.operators import lsa
+
+    docs, queries = dense_tfidf(t, n_terms)
+    centre, pca = lsa.fit_pca(docs, k)
+    return centre, pca, docs, queries
+
+
+def pca_top_k(t: Tables, k_components: int = 10, k: int = 5, metric: str = "cosine") -> DataFrame:
+    from tessera.operators import lsa
+
+    centre, pca, docs, queries = pca_space(t, k_components)
+    return lsa.dense_top_k(lsa.project_pca(centre, pca, queries),
+                           lsa.project_pca(centre, pca, docs), k, metric)
+
+
+def lsi_top_k(t: Tables, topics: int = 20, k: int = 5) -> DataFrame:
+    from tessera.operators import lsa
+
+    docs, queries = dense_tfidf(t)
+    V = lsa.fit_lsi(docs, topics)
+    res = lsa.dense_top_k(lsa.project_lsi(queries, V), lsa.project_lsi(docs, V), k, "cosine")
+    return res.withColumn("score", F.round(F.col("score") * 100, 2))

@@ -874,7 +874,8 @@ def _i17(spark, sf):
         for policy in ["none", "balanced"]:
             train = M.with_weights(tr) if policy == "balanced" else tr
             model = M.fit_pipeline(train, ML_FEATURES, "logistic", scale="standard",
-                                   weight_col="weight" if policy == "balanced" else None)
+                                   weight_col="weight" if policy == "balanced" else None,
+                                   maxIter=20)
             m = M.confusion_metrics(M.scored(model, te, "UserID")).first()
             rows.append((h, policy, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"])))
     return spark.createDataFrame(rows, "horizon int, policy string, accuracy double, f1 double, auc_hard double")
@@ -902,3 +903,49 @@ def _i20(spark, sf):
     model = M.fit_pipeline(tr, ML_FEATURES[:4], "forest", numTrees=10)
     imp = M.permutation_importance(model, te, ML_FEATURES[:4], "UserID", repeats=1)
     return spark.createDataFrame([(k, float(v)) for k, v in imp], "feature string, importance double")
+
+
+# ---- H08-H13: PCA and LSI ---------------------------------------------------------
+@query("h08_pca_explained_variance")
+def _h08(spark, sf):
+    from tessera.operators import lsa
+
+    _, pca, _, _ = SP.pca_space(_t(spark, sf), 10)
+    return spark.createDataFrame(lsa.explained_variance(pca))
+
+
+@query("h09_lsi_topics")
+def _h09(spark, sf):
+    from tessera.operators import lsa
+
+    docs, _ = SP.dense_tfidf(_t(spark, sf))
+    V = lsa.fit_lsi(docs, 20)
+    return lsa.project_lsi(docs, V).select(F.col("id").alias("doc_id"), "vec")
+
+
+@query("h10_pca_cosine_top5")
+def _h10(spark, sf):
+    return SP.pca_top_k(_t(spark, sf), 10, 5, "cosine")
+
+
+@query("h11_lsi_cosine_top5")
+def _h11(spark, sf):
+    return SP.lsi_top_k(_t(spark, sf), 20, 5)
+
+
+@query("h12_pca_euclid_top5")
+def _h12(spark, sf):
+    return SP.pca_top_k(_t(spark, sf), 10, 5, "euclid")
+
+
+@query("h12_pca_linear_kernel_top5")
+def _h12b(spark, sf):
+    return SP.pca_top_k(_t(spark, sf), 10, 5, "dot")
+
+
+@query("h13_pca_reconstruction")
+def _h13(spark, sf):
+    from tessera.operators import lsa
+
+    centre, pca, docs, _ = SP.pca_space(_t(spark, sf), 10)
+    return lsa.reconstruction_error(centre, pca, docs)
