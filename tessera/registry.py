@@ -16,7 +16,7 @@ from tessera.plans import extracts as X
 from tessera.sources import views as V
 from tessera.sources.tables import Tables
 
-FLAGSHIP = "d03_engagement_extract"
+FLAGSHIP = "e04_all_horizons"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
