@@ -984,3 +984,5 @@ ORACLE.update({
         CAST(0.8 * a.score + 0.2 * b.score >= 0.5 AS INTEGER) AS prediction
         FROM rs a JOIN rs_b b ON b.UserID = a.UserID"""),
 })
+
+ORACLE["d02_streaming_daily_event_log"] = ORACLE["d02_daily_event_log"]

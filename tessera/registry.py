@@ -949,3 +949,16 @@ def _h13(spark, sf):
 
     centre, pca, docs, _ = SP.pca_space(_t(spark, sf), 10)
     return lsa.reconstruction_error(centre, pca, docs)
+
+
+# ---- streaming ---------------------------------------------------------------------
+@query("d02_streaming_daily_event_log")
+def _d02s(spark, sf):
+    """D02 maintained incrementally by Structured Streaming (same result as
+    the batch extract once the input is consumed)."""
+    import uuid
+
+    from tessera.streaming import daily_logs
+
+    sink = daily_logs.run(spark, sf, "events", name=f"daily_event_log_{uuid.uuid4().hex[:8]}")
+    return daily_logs.current_table(spark, sink)
