@@ -962,3 +962,21 @@ def _d02s(spark, sf):
 
     sink = daily_logs.run(spark, sf, "events", name=f"daily_event_log_{uuid.uuid4().hex[:8]}")
     return daily_logs.current_table(spark, sink)
+
+
+@query("g05_compound_merge")
+def _g05(spark, sf):
+    """Benchmark passages with the 50 most frequent corpus bigrams merged
+    into ``a_b`` compounds."""
+    t = _t(spark, sf)
+    toks = t.documents.select(TX.split_words(TX.clean_full("text")).alias("tk"))
+    lexicon = [r.bigram for r in TO.frequent_bigrams(toks, "tk", 50).collect()]   # ≤ 50 rows
+    b = t.benchmark.select("item_id", TX.split_words(TX.clean_full("text")).alias("tk"))
+    merged = TO.merge_compounds("tk", lexicon)
+    return b.select("item_id", F.array_join(merged, " ").alias("tokens"),
+                    F.size(merged).cast("long").alias("n_tokens"))
+
+
+@query("f05_log_features")
+def _f05(spark, sf):
+    return FT.log_features(FT.active_days_features(_t(spark, sf), 1))

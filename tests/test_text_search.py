@@ -161,3 +161,15 @@ def test_fuzzy_score_bounds(spark):
         assert 0.0 <= r.s <= 1.0
         if sorted(r.a.split()) == sorted(r.b.split()):
             assert r.s == 1.0
+
+
+def test_merge_compounds_left_to_right(spark):
+    df = spark.createDataFrame([(["new", "york", "city", "new", "york"],), ([],), (["a"],)], "tk array<string>")
+    out = [r.m for r in df.select(TO.merge_compounds("tk", ["new_york", "york_city"]).alias("m")).collect()]
+    assert out == [["new_york", "city", "new_york"], [], ["a"]]
+
+
+def test_frequent_bigrams(spark):
+    df = spark.createDataFrame([(["a", "b", "a", "b"],), (["a", "b"],)], "tk array<string>")
+    got = [(r.bigram, r.n) for r in TO.frequent_bigrams(df, "tk", 5, 1).collect()]
+    assert got == [("a_b", 3), ("b_a", 1)]
