@@ -80,27 +80,32 @@ def undersample(df: DataFrame, label: str = LABEL, seed: int = 42) -> DataFrame:
 
 # I05 ---------------------------------------------------------------------------
 def smote(df: DataFrame, features: Sequence[str], key: str, label: str = LABEL,
-          seed: int = 42, bucket_length: float = 2.0) -> DataFrame:
+          seed: int = 42) -> DataFrame:
     """SMOTE-style over-sampling: every minority row gets one synthetic row
-    on the segment towards a near minority neighbour.  Neighbours come from
-    an LSH similarity join (candidate pairs only share a hash bucket — no
-    all-pairs join); the neighbour is the nearest candidate, ties by key."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    at a seeded random point of the segment towards a nearby minority row.
+
+    "Nearby" = the next row along a seeded random projection of the
+    (min-max scaled) features.  The order is a distributed global rank and
+    the neighbour a rank join, so no candidate pairs are enumerated (an
+    exact k-NN would need an all-pairs comparison)."""
+    import numpy as np
 
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     minority = min(counts, key=counts.get)
-    mino = df.filter(F.col(label) == minority)
-    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="keep") \
-        .transform(mino.fillna(0, subset=list(features)))
-    lsh = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
-                                      numHashTables=3, seed=seed).fit(vec)
-    pairs = lsh.approxSimilarityJoin(vec, vec, float("inf"), distCol="_d") \
-        .filter(F.col(f"datasetA.{key}") != F.col(f"datasetB.{key}"))
-    best = pairs.groupBy(F.col(f"datasetA.{key}").alias(key)).agg(
-        F.min_by(F.col(f"datasetB.{key}"), F.struct(F.col("_d"), F.col(f"datasetB.{key}"))).alias("_nb"))
-    a = mino.join(best, key)
-    b = mino.select(F.col(key).alias("_nb"), *[F.col(f).alias(f"_b_{f}") for f in features])
-    j = a.join(b, "_nb")
+    mino = df.filter(F.col(label) == minority).fillna(0, subset=list(features))
+    stats = mino.agg(*[F.min(f).alias(f"lo_{f}") for f in features],
+                     *[F.max(f).alias(f"hi_{f}") for f in features]).first()      # one row
+    direction = np.random.default_rng(seed).normal(size=len(features))
+    proj = F.lit(0.0)
+    for wgt, f in zip(direction, features):
+        lo, hi = stats[f"lo_{f}"] or 0.0, stats[f"hi_{f}"] or 0.0
+        scaled = (F.col(f) - F.lit(lo)) / F.lit(hi - lo) if hi != lo else F.lit(0.0)
+        proj = proj + F.lit(float(wgt)) * scaled
+    ranked = global_row_number(mino, F.struct(proj, F.col(key)), "_r")
+    n = ranked.count()
+    # neighbour of rank r = rank r + 1 (the last row wraps to the first)
+    nb = ranked.select(F.col("_r").alias("_r_nb"), *[F.col(f).alias(f"_b_{f}") for f in features])
+    j = ranked.join(nb, F.col("_r_nb") == (F.col("_r") % F.lit(n)) + 1)
     gap = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 1_000_000) / 1_000_000.0
     synth = j.select(
         F.concat(F.lit("syn_"), F.col(key).cast("string")).alias(key),

@@ -95,3 +95,13 @@ def test_oracle_matches_on_smallest_data(spark, name):
     got = _rows(sdf.columns, [tuple(r) for r in sdf.collect()])
     want = _rows([d[0] for d in cur.description], cur.fetchall())
     assert got == want
+
+
+def test_smote_adds_one_synthetic_row_per_minority_row_inside_the_hull(spark):
+    rows = [(i, float(i % 5), float(i % 7), 1 if i < 6 else 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, Label int")
+    out = M.smote(df, ["a", "b"], "k")
+    syn = out.filter(F.col("k").startswith("syn_")).collect()
+    assert len(syn) == 6 and all(r.Label == 1 for r in syn)
+    lo_a, hi_a = min(r[1] for r in rows if r[3] == 1), max(r[1] for r in rows if r[3] == 1)
+    assert all(lo_a <= r.a <= hi_a for r in syn)
