@@ -217,7 +217,7 @@ ORACLE.update({
     "e04_all_horizons": fq("SELECT * FROM features", tuple(range(1, 9))),
     "e03_active_days_rows": fq("""SELECT horizon, UserID, EventDate, ActionType, MinFirstDay, ZeroDay,
         CutoffDay, ScaleActionDay, ScaleGapday FROM action_h""", (1,)),
-    "d14_rfm_modes": fq("SELECT * FROM rfm", (2,)),
+    "d14_d16_rfm_modes": fq("SELECT * FROM rfm", (2,)),
     "d15_medians": fq("SELECT * FROM medians_h", (2,)),
     "d12_brand_tier_pivot": fq("SELECT * FROM brand_h", (2,)),
     "d10_action_pivot": fq("SELECT * FROM content_sum", (2,)),

@@ -115,7 +115,7 @@ def _e03(spark, sf):
         "CutoffDay", "ScaleActionDay", "ScaleGapday")
 
 
-@query("d14_rfm_modes")
+@query("d14_d16_rfm_modes")
 def _d14(spark, sf):
     return A.rfm(_action(_t(spark, sf), 2), _KEYS)
 
@@ -980,3 +980,16 @@ def _g05(spark, sf):
 @query("f05_log_features")
 def _f05(spark, sf):
     return FT.log_features(FT.active_days_features(_t(spark, sf), 1))
+
+
+@query("a06_stop_word_union")
+def _a06(spark, sf):
+    """Spark's built-in English list ∪ the corpus terms found in more than
+    half of the documents (set union)."""
+    from tessera.sources.tables import load_stop_words
+
+    t = _t(spark, sf)
+    tf = S.term_counts(t.documents, "doc_id")
+    n = t.documents.count()
+    frequent = S.doc_frequency(tf).filter(F.col("df") > n / 2).select(F.col("term").alias("word"))
+    return load_stop_words(spark).unionByName(frequent).distinct()
