@@ -36,9 +36,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     partitions than there are cores (a small file with one row group).  On a
     large input the scan already has many partitions and nothing changes.
     The key is a unique id, so the spread is deterministic and skew-free."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — no RDD access (e.g. a remote session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, key)
 
