@@ -986,3 +986,14 @@ ORACLE.update({
 })
 
 ORACLE["d02_streaming_daily_event_log"] = ORACLE["d02_daily_event_log"]
+
+
+_LOG_COLS = (["TotalUsageTime", "TotalRecords"] + LEARN_COLS
+             + ["RecordDiscovery", "RecordEntertainment", "RecordLearn", "UsageTimeDiscovery",
+                "UsageTimeEntertainment", "UsageTimeLearn", "MedianUsageTime", "MedianRecord",
+                "MedianPaymentScreen", "AvgTimePerCompletion", "InteractionGeneral", "InteractionLearn",
+                "InteractionDiscovery", "InteractionEntertainment", "MedianInteraction"])
+
+ORACLE["f05_log_features"] = fq("SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN (SELECT min({c}) FROM features) = 0 THEN ln({c} + 1) ELSE ln({c}) END AS {c}"
+    for c in _LOG_COLS) + ") FROM features", (1,))
