@@ -42,8 +42,10 @@ def main() -> None:
             QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
-        df = QUERIES[name](spark, sf_dir)
+        # Timed from plan construction: fits, checkpoints and size checks that
+        # run while a query is built are part of its cost.
         t0 = time.time()
+        df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -150,10 +150,36 @@ def text_formula_ratio(col, which: str = "text", eps: float = 1e-8) -> Column:
 
 
 # G17 ---------------------------------------------------------------------------
+def kind_parts(col) -> list[Column]:
+    """Intermediate columns of the text-kind rules (project once)."""
+    letters = clean_letters(strip_formulas(col))
+    return [formulas(col).alias("_forms"), split_words(letters).alias("_toks"),
+            (F.length(F.trim(letters)) == 0).alias("_blank")]
+
+
+def text_kind_from(version: int = 2, forms="_forms", toks="_toks", blank="_blank") -> Column:
+    forms, toks, blank = _c(forms), _c(toks), _c(blank)
+    k = 2 if version == 2 else 1
+    math_only = blank | (F.size(toks) < F.size(forms) * k) | (F.size(F.array_distinct(toks)) <= 1)
+    return (F.when(F.size(forms) == 0, "Text only")
+             .when(math_only, "Math only").otherwise("Math and Text"))
+
+
+def text_kind_majority_from(forms="_forms", toks="_toks") -> Column:
+    forms, toks = _c(forms), _c(toks)
+    n_op = F.size(operator_formulas(forms))
+    return (F.when(F.size(forms) == 0, "Text only")
+             .when((F.size(toks) == 0) | (F.size(toks) < F.size(forms) * 2) | (F.size(toks) <= 5),
+                   "Math only")
+             .when(n_op * 2 < F.size(forms), "Text only")
+             .otherwise("Math and Text"))
+
+
 def text_kind(col, version: int = 2) -> Column:
     """``Text only`` without formulas; ``Math only`` when the text part is
     blank, tokens < k·formulas (k = 2 in v2, 1 in v1) or at most one distinct
-    token; else ``Math and Text``."""
+    token; else ``Math and Text``.  (Single-expression form; on large texts
+    project :func:`kind_parts` first and use :func:`text_kind_from`.)"""
     forms = formulas(col)
     toks = text_tokens(col)
     k = 2 if version == 2 else 1
@@ -231,6 +257,20 @@ def token_sort(col) -> Column:
     return F.array_join(F.array_sort(split_words(col)), " ")
 
 
+def fuzzy_parts(a, b) -> list[Column]:
+    """Intermediate columns of :func:`fuzzy_from` (project them once, then
+    combine): edit ratio, sorted-token strings and distinct-token sets."""
+    return [edit_ratio(a, b).alias("_er"), token_sort(a).alias("_sa"), token_sort(b).alias("_sb"),
+            F.array_distinct(split_words(a)).alias("_ta"), F.array_distinct(split_words(b)).alias("_tb")]
+
+
+def fuzzy_from(er="_er", sa="_sa", sb="_sb", ta="_ta", tb="_tb") -> Column:
+    inter = F.size(F.array_intersect(_c(ta), _c(tb)))
+    mn = F.least(F.size(_c(ta)), F.size(_c(tb)))
+    overlap = F.when(mn == 0, F.lit(0.0)).otherwise(inter / mn)
+    return F.greatest(_c(er), edit_ratio(sa, sb), overlap)
+
+
 def fuzzy_score(a, b) -> Column:
     """Re-aimed weighted fuzzy score: the best of the edit ratio, the
     edit ratio of the sorted tokens, and the token-set overlap

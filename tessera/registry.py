@@ -420,10 +420,10 @@ def _g13(spark, sf):
 
 @query("g17_g18_text_kind")
 def _g17(spark, sf):
-    d = V.formula_documents(_t(spark, sf))
-    return d.select("doc_id", TX.text_kind("text", 1).alias("kind_v1"),
-                    TX.text_kind("text", 2).alias("kind_v2"),
-                    TX.text_kind_operator_majority("text").alias("kind_majority"))
+    d = V.formula_documents(_t(spark, sf)).select("doc_id", *TX.kind_parts("text"))
+    return d.select("doc_id", TX.text_kind_from(1).alias("kind_v1"),
+                    TX.text_kind_from(2).alias("kind_v2"),
+                    TX.text_kind_majority_from().alias("kind_majority"))
 
 
 @query("g19_non_ascii_share")
@@ -481,8 +481,10 @@ def _g24(spark, sf):
 @query("g25_kind_summary")
 def _g25(spark, sf):
     p = _pairs(spark, sf)
-    k = p.select(TX.text_kind("LookupText", 2).alias("lookup_kind"),
-                 TX.text_kind("QuestionText", 2).alias("question_kind"))
+    lk = p.select("FeedbackID", "QuestionText", *TX.kind_parts("LookupText")) \
+        .select("FeedbackID", "QuestionText", TX.text_kind_from(2).alias("lookup_kind"))
+    k = lk.select("lookup_kind", *TX.kind_parts("QuestionText")) \
+        .select("lookup_kind", TX.text_kind_from(2).alias("question_kind"))
     return k.groupBy("lookup_kind", "question_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
