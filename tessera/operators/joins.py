@@ -41,11 +41,11 @@ def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
 
 
-def remove_keys(df: DataFrame, unwanted: DataFrame, key: str = "UserID",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def remove_keys(df: DataFrame, unwanted: DataFrame, key: str = "UserID") -> DataFrame:
     """Anti-join (``NOT IN`` without its NULL trap).  The exclusion list
-    is broadcast only when its size is proven small."""
-    return df.join(maybe_broadcast(unwanted.select(key).distinct(), max_rows), key, "left_anti")
+    grows with the data, so no broadcast hint: AQE broadcasts it at run time
+    when its measured size is under the threshold, else it is a shuffle join."""
+    return df.join(unwanted.select(key).distinct(), key, "left_anti")
 
 
 def star_left_join(base: DataFrame, parts: Sequence[DataFrame], key: str = "UserID") -> DataFrame:

@@ -249,11 +249,11 @@ def score_counts(scored_df: DataFrame, label: str = LABEL, score: str = "score")
 def roc_points(scored_df: DataFrame, label: str = LABEL, score: str = "score") -> DataFrame:
     """One ROC point per distinct score threshold (score ≥ threshold → 1)."""
     c = cumulative_desc(score_counts(scored_df, label, score), score, ["pos", "neg"])
-    tot = scored_df.agg(F.count_if(F.col(label) == 1).alias("P"),
-                        F.count_if(F.col(label) == 0).alias("N")).first()
+    tot = scored_df.agg(F.struct(F.count_if(F.col(label) == 1).alias("P"),
+                                 F.count_if(F.col(label) == 0).alias("N"))).scalar()
     return c.select(F.col(score).alias("threshold"),
-                    (F.col("cum_pos") / F.lit(max(tot["P"], 1))).alias("tpr"),
-                    (F.col("cum_neg") / F.lit(max(tot["N"], 1))).alias("fpr"))
+                    (F.col("cum_pos") / F.greatest(tot["P"], F.lit(1))).alias("tpr"),
+                    (F.col("cum_neg") / F.greatest(tot["N"], F.lit(1))).alias("fpr"))
 
 
 def auc(scored_df: DataFrame, label: str = LABEL, score: str = "score") -> DataFrame:
@@ -269,11 +269,11 @@ def pr_curve(scored_df: DataFrame, label: str = LABEL, score: str = "score") ->
     """Precision / recall per distinct threshold and the average precision
     Σ (R_n − R_{n−1})·P_n."""
     c = cumulative_desc(score_counts(scored_df, label, score), score, ["pos", "neg"])
-    P = scored_df.agg(F.count_if(F.col(label) == 1)).first()[0] or 1
+    P = F.greatest(scored_df.agg(F.count_if(F.col(label) == 1)).scalar(), F.lit(1))
     return c.select(F.col(score).alias("threshold"),
                     (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                    (F.col("cum_pos") / F.lit(P)).alias("recall"),
-                    (F.col("pos") / F.lit(P)).alias("recall_step"))
+                    (F.col("cum_pos") / P).alias("recall"),
+                    (F.col("pos") / P).alias("recall_step"))
 
 
 def average_precision(scored_df: DataFrame, label: str = LABEL, score: str = "score") -> DataFrame:

@@ -47,8 +47,8 @@ def doc_frequency(tf: DataFrame) -> DataFrame:
 
 
 def n_docs(docs: DataFrame) -> Column:
-    """Corpus size as a scalar sub-plan (one aggregate row)."""
-    return F.lit(docs.count())
+    """Corpus size as a scalar subquery (lazy)."""
+    return docs.agg(F.count(F.lit(1))).scalar()
 
 
 def _l2(weights: DataFrame) -> DataFrame:
@@ -60,10 +60,11 @@ def idf_table(tf: DataFrame, n: int, form: str = "smooth") -> DataFrame:
     """Per-term idf.  ``smooth`` (sklearn): ``ln((1+n)/(1+df)) + 1``;
     ``log2`` (gensim): ``log2(n/df)``."""
     d = doc_frequency(tf)
+    nn = n if isinstance(n, Column) else F.lit(n)
     if form == "smooth":
-        idf = F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1
+        idf = F.ln((F.lit(1.0) + nn) / (F.lit(1.0) + F.col("df"))) + 1
     elif form == "log2":
-        idf = F.log2(F.lit(float(n)) / F.col("df"))
+        idf = F.log2(nn.cast("double") / F.col("df"))
     else:
         raise ValueError(form)
     return d.select("term", "df", idf.alias("idf"))
@@ -89,7 +90,7 @@ def corpus_tfidf(docs: DataFrame, id_col: str, text_col: str = "text", form: str
     tf = term_counts(docs, id_col, text_col, stop_words, tokens)
     if max_features:
         tf = tf.join(top_terms(tf, max_features), "term", "left_semi")
-    n = docs.select(id_col).distinct().count()
+    n = docs.select(id_col).distinct().agg(F.count(F.lit(1))).scalar()   # lazy scalar
     idf = idf_table(tf, n, form)
     return tfidf(tf, idf), idf
 

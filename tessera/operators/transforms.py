@@ -1,9 +1,10 @@
 """Feature transforms (survey 2F).
 
-Data-dependent transforms (rare-brand collapse, tiers, log, scaling) first
-compute their statistics with one small aggregate, then apply a projection;
-the statistics table is a handful of rows (one per category or one row),
-joined back with a size-checked broadcast.
+Data-dependent transforms (rare-brand collapse, tiers, log, scaling) compute
+their statistics with one small aggregate that stays inside the same lazy
+plan: a scalar subquery (``DataFrame.scalar()``) for single values, a join
+for per-category tables (one row per category; AQE broadcasts it at run time
+when its measured size is small).  Nothing runs eagerly on the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import maybe_broadcast
 
 
 def _counts(df: DataFrame, col: str) -> DataFrame:
@@ -25,10 +25,9 @@ def collapse_rare(df: DataFrame, col: str, other: str = "Other brand") -> DataFr
     """Categories whose row count is below the mean count per category
     become ``other``; NULL stays NULL."""
     c = _counts(df, col)
-    # Fit step: one number (the mean count per category) comes to the driver.
-    mean = c.agg(F.avg("_cnt")).first()[0]
-    rare = c.filter(F.col("_cnt") < F.lit(mean)).select(col, F.lit(1).alias("_rare"))
-    j = df.join(maybe_broadcast(rare), col, "left")
+    mean = c.agg(F.avg("_cnt")).scalar()                  # scalar subquery, lazy
+    rare = c.filter(F.col("_cnt") < mean).select(col, F.lit(1).alias("_rare"))
+    j = df.join(rare, col, "left")
     return j.withColumn(col, F.when(F.col("_rare") == 1, F.lit(other)).otherwise(F.col(col))) \
             .drop("_rare")
 
@@ -42,7 +41,7 @@ def frequency_tier(df: DataFrame, col: str, big: int = 100_000, medium: int = 10
     tier = F.when(F.col("_cnt") >= big, "Big").when(F.col("_cnt") >= medium, "Medium") \
             .otherwise("Small")
     tiers = c.select(col, tier.alias(out))
-    j = df.join(maybe_broadcast(tiers), col, "left")
+    j = df.join(tiers, col, "left")
     return j.withColumn(out, F.coalesce(F.col(out), F.lit("Small")))
 
 
@@ -70,25 +69,22 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
 
 # F05 -------------------------------------------------------------------------
 def log_transform(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``ln(x + 1)`` for columns whose minimum is 0, else ``ln(x)``.  The fit
-    step is one aggregate (one row of minimums to the driver); the apply step
-    is a projection with those minimums as literals."""
+    """``ln(x + 1)`` for columns whose minimum is 0, else ``ln(x)``.  All
+    minimums come from one aggregate used as a scalar subquery (a struct)."""
     if not cols:
         return df
-    mins = df.agg(*[F.min(c).alias(c) for c in cols]).first().asDict()
-    out = df
-    for c in cols:
-        shifted = F.col(c) + 1 if mins[c] == 0 else F.col(c)
-        out = out.withColumn(c, F.ln(shifted))
-    return out
+    mins = df.agg(F.struct(*[F.min(c).alias(c) for c in cols])).scalar()
+    return df.select(*[
+        F.ln(F.when(mins[c] == 0, F.col(c) + 1).otherwise(F.col(c))).alias(c) if c in cols
+        else F.col(c) for c in df.columns])
 
 
 # F06 -------------------------------------------------------------------------
 def min_max_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if lo is None or hi == lo:
-        return df.withColumn(out or col, F.lit(0.0))
-    return df.withColumn(out or col, (F.col(col) - F.lit(lo)) / F.lit(float(hi - lo)))
+    st = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    rng = st["hi"] - st["lo"]
+    return df.withColumn(out or col, F.when(rng == 0, F.lit(0.0))
+                         .otherwise((F.col(col) - st["lo"]) / rng))
 
 
 # F08 -------------------------------------------------------------------------
@@ -111,6 +107,6 @@ def bin_right_closed(col: Column | str, edges: Sequence[float] = (5, 10, 15, 20)
 def top_categories(df: DataFrame, col: str, min_count: int = 300,
                    other: str = "Others", out: str | None = None) -> DataFrame:
     c = _counts(df, col).filter(F.col("_cnt") >= min_count).select(col, F.lit(1).alias("_top"))
-    j = df.join(maybe_broadcast(c), col, "left")
+    j = df.join(c, col, "left")
     return j.withColumn(out or col, F.when(F.col("_top") == 1, F.col(col)).otherwise(F.lit(other))) \
             .drop("_top")

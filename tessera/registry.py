@@ -453,7 +453,7 @@ def _vocab_idf(spark, sf):
         .unionByName(p.select(F.concat(F.lit("q"), F.col("FeedbackID").cast("string")).alias("doc"),
                               F.explode_outer(pre("QuestionText")).alias("term"))) \
         .filter(F.col("term").isNotNull())
-    n = 2 * p.count()
+    n = p.agg(F.count(F.lit(1)) * 2).scalar()
     return TO.vocabulary_idf(voc, corpus, n)
 
 
