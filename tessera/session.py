@@ -49,13 +49,16 @@ def get_session(master: str | None = None, app: str = "tessera",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Where it is unset a fresh
+    folder on this machine serves, but only for a ``local`` master: the
+    executors of a cluster could not read it."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
