@@ -18,10 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder in the cluster's shared folder that nobody else uses."""
+    return scratch_path(spark, f"tessera-{name}-{uuid.uuid4().hex[:12]}")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write *df* once as Parquet into the cluster's shared folder and read it
     back: a cut of the lineage that survives the loss of executors."""
-    path = scratch_path(df.sparkSession, f"tessera-{name}-{uuid.uuid4().hex[:12]}")
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, mixing
-from tessera.llm.common import table
+from tessera.llm import bestfit_packing, exact_dedup, mixing, packed_ids
+from tessera.llm.common import new_folder, table
+
+
+def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit_packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "packed-ids")
+    packed_ids.write_packed(table(spark, sf_dir, "documents"), path)
+    return packed_ids.unpacked(packed_ids.read_packed(spark, path))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +29,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bestfit_packing": op2_bestfit_packing,
+    "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
