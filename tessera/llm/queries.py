@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bestfit_packing, exact_dedup, mixing, packed_ids
+from tessera.llm import (
+    bestfit_packing,
+    exact_dedup,
+    language_id,
+    mixing,
+    packed_ids,
+    toxicity,
+)
 from tessera.llm.common import new_folder, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "packed-ids")
     packed_ids.write_packed(table(spark, sf_dir, "documents"), path)
@@ -29,7 +44,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_bestfit_packing": op2_bestfit_packing,
+    "op6_language_id": op6_language_id,
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
