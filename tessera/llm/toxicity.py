@@ -2,7 +2,7 @@
 
 Positives are documents confirmed toxic, the rest of the corpus is unlabelled
 text (toxic documents among it).  Linear classifiers over word and word-prefix
-presence are trained with numpy on the risk
+counts (seen at least once, twice, four times) are trained with numpy on the risk
 
     prior * R_pos(+1) + max(0, R_unl(-1) - prior * R_pos(-1)),
 
@@ -38,7 +38,11 @@ from tessera.llm.textbytes import IS_WORDY, LOWER, SpanHash, slices, spans, utf8
 MAX_POSITIVE = 4096
 MAX_UNLABELLED = 12_288
 MAX_FEATURES = 4096
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: A word or prefix is seen at least once, twice, four times: one feature each.
+LEVELS = np.array([1, 2, 4])
+#: Least ratio of the two bounds of a feature that is kept.
+MIN_RATIO = 3.0
 THRESHOLD = 0.3
 MODELS = 3
 
@@ -60,7 +64,8 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Model:
-    """Feature hashes (ascending) and one row of weights and a bias per classifier."""
+    """Word and prefix hashes (ascending); per classifier a weight for every
+    hash and level, and a bias."""
 
     hashes: np.ndarray
     weights: np.ndarray
@@ -73,13 +78,15 @@ class Model:
         self.slot[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
 
     def present(self, text: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (text, feature index) pairs of known features."""
+        """(text, feature index) pairs; a known hash has one index per level."""
         maybe = np.flatnonzero(self.slot[(h >> np.uint64(46)).astype(np.int64)] >= 0)
         text, h = text[maybe], h[maybe]
         at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
         known = self.hashes[at] == h if len(h) else np.zeros(0, bool)
-        pair = np.unique(text[known] * (len(self.hashes) + 1) + at[known])
-        return pair // (len(self.hashes) + 1), pair % (len(self.hashes) + 1)
+        size = len(self.hashes) + 1
+        pair, times = np.unique(text[known] * size + at[known], return_counts=True)
+        row, level = np.nonzero(times[:, None] >= LEVELS[None])
+        return pair[row] // size, pair[row] % size * len(LEVELS) + level
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
@@ -192,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     cuts = lists.offsets.to_numpy()
     cols = lists.values.to_numpy()[cuts[0]:cuts[-1]] if len(lists) else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(positive)), np.diff(cuts))
-    size = len(candidates)
+    size = len(candidates) * len(LEVELS)
     in_p = np.bincount(cols[positive[row]], minlength=size)
     in_u = np.bincount(cols[unlabelled[row]], minlength=size)
     n_p, n_u = max(positive.sum(), 1), max(unlabelled.sum(), 1)
@@ -202,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     high = (in_u + 0.5 * np.sqrt(in_u) + 0.25) / n_u
     ratio = low / high
     best = np.argsort(-ratio, kind="stable")[:max_features]
-    best = np.sort(best[ratio[best] > 2.0])
+    best = np.sort(best[ratio[best] > MIN_RATIO])
     if not len(best):
         return none
     renamed = np.full(size, -1)
@@ -227,7 +234,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
         w, b = nnpu_fit(np.concatenate(rs), np.concatenate(cs), as_positive, len(best), prior)
         weights.append(w)
         bias.append(b)
-    return Model(candidates[best], np.array(weights), np.array(bias))
+    used = np.unique(best // len(LEVELS))
+    full = np.zeros((models, len(used), len(LEVELS)))
+    full[:, np.searchsorted(used, best // len(LEVELS)), best % len(LEVELS)] = weights
+    return Model(candidates[used], full.reshape(models, -1), np.array(bias))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
