@@ -13,6 +13,7 @@ from tessera.llm import (
     mixing,
     packed_ids,
     toxicity,
+    warc,
 )
 from tessera.llm.common import new_folder, table
 
@@ -25,6 +26,12 @@ def op2_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path, payload="check").drop("url", "payload")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bestfit_packing": op2_bestfit_packing,
+    "op3_warc": op3_warc,
     "op6_language_id": op6_language_id,
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
@@ -53,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
 }
