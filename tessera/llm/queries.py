@@ -11,6 +11,7 @@ from tessera.llm import (
     exact_dedup,
     language_id,
     mixing,
+    near_dedup,
     packed_ids,
     toxicity,
     warc,
@@ -32,6 +33,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, payload="check").drop("url", "payload")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bestfit_packing": op2_bestfit_packing,
     "op3_warc": op3_warc,
+    "op4_near_dedup": op4_near_dedup,
     "op6_language_id": op6_language_id,
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
