@@ -11,6 +11,7 @@ from tessera.llm import (
     exact_dedup,
     language_id,
     mixing,
+    multi_index,
     near_dedup,
     packed_ids,
     toxicity,
@@ -37,6 +38,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bestfit_packing": op2_bestfit_packing,
     "op3_warc": op3_warc,
     "op4_near_dedup": op4_near_dedup,
+    "op5_multi_index": op5_multi_index,
     "op6_language_id": op6_language_id,
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
