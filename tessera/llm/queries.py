@@ -14,6 +14,7 @@ from tessera.llm import (
     multi_index,
     near_dedup,
     packed_ids,
+    repeats,
     toxicity,
     warc,
 )
@@ -46,6 +47,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "packed-ids")
     packed_ids.write_packed(table(spark, sf_dir, "documents"), path)
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_multi_index": op5_multi_index,
     "op6_language_id": op6_language_id,
+    "op7_repeats": op7_repeats,
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
