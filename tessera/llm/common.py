@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,10 +26,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write *df* once as Parquet into the cluster's shared folder and read it
-    back: a cut of the lineage that survives the loss of executors."""
-    path = new_folder(df.sparkSession, name)
+    back: a cut of the lineage that survives the loss of executors.  Steps that
+    are over by then lose their shuffle files as soon as the driver drops them."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def is_held_out(doc_id: Column) -> Column:

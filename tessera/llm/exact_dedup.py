@@ -83,21 +83,22 @@ def copy_groups(docs: DataFrame, salts: int = SALTS,
 
 
 def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The documents that stay, one row per distinct text, all input columns."""
-    best = winners(docs, salts).select(F.col("_digest").alias("__digest"),
-                                       F.col("keep_id").alias("__keep"))
+    """The documents that stay, one row per distinct text, all input columns.
+    If the winning id comes several times with the winning length, one of
+    these rows stays."""
+    best = materialise(winners(docs, salts).select(
+        F.col("_digest").alias("__digest"), _id_key(F.col("keep_id")).alias("__id"),
+        F.col("_n").alias("__n")), "winners")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("__digest", sha256_hex(F.regexp_replace(text, WHITE, "")))
-    on = (rows["__digest"] == best["__digest"]) & rows["doc_id"].eqNullSafe(best["__keep"])
-    # The winning id may come several times (repeated rows): one of them stays,
-    # a longest one, as the group's winner is by definition.
-    kept = (rows.withColumn("__n", F.char_length(text)).join(best, on, "left_semi"))
-    longest = (kept.groupBy("__digest", "doc_id").agg(F.max("__n").alias("__most"))
-               .withColumnsRenamed({"doc_id": "__id", "__digest": "__d"}))
-    kept = kept.join(longest, (F.col("__digest") == F.col("__d"))
-                     & F.col("doc_id").eqNullSafe(F.col("__id"))
-                     & (F.col("__n") == F.col("__most")), "left_semi")
-    return kept.dropDuplicates(["__digest", "doc_id"]).select(*docs.columns)
+    rows = docs.withColumns({
+        "__digest": sha256_hex(F.regexp_replace(text, WHITE, "")),
+        "__id": _id_key(F.col("doc_id")), "__n": F.char_length(text).cast("long")})
+    key = ["__digest", "__id", "__n"]
+    return rows.join(best, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+
+
+def _id_key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit("null"))
 
 
 ORACLE = r"""

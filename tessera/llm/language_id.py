@@ -232,6 +232,15 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
             .mapInArrow(run, f"{fields}, lang_pred string, score double"))
 
 
+def drop_unidentified(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The documents whose language can be told, all input columns."""
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("row"), "text")
+    known = identify(rows, train(docs, per_language)).filter(F.col("lang_pred") != UNKNOWN)
+    return known.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c)
+                          for c in docs.columns])
+
+
 def languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     network = train(docs, per_language)
