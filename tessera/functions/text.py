@@ -166,56 +166,32 @@ def text_kind_from(version: int = 2, forms="_forms", toks="_toks", blank="_blank
 
 
 def text_kind_majority_from(forms="_forms", toks="_toks") -> Column:
+    """``Math only`` first (no token, fewer than two tokens a formula, or
+    at most 5 tokens); then ``Text only`` without formulas or when fewer than
+    half of them hold an operator (``^`` counts); else ``Math and Text``."""
     forms, toks = _c(forms), _c(toks)
-    n_op = F.size(operator_formulas(forms))
-    return (F.when(F.size(forms) == 0, "Text only")
-             .when((F.size(toks) == 0) | (F.size(toks) < F.size(forms) * 2) | (F.size(toks) <= 5),
-                   "Math only")
-             .when(n_op * 2 < F.size(forms), "Text only")
-             .otherwise("Math and Text"))
-
-
-def text_kind(col, version: int = 2) -> Column:
-    """``Text only`` without formulas; ``Math only`` when the text part is
-    blank, tokens < k·formulas (k = 2 in v2, 1 in v1) or at most one distinct
-    token; else ``Math and Text``.  (Single-expression form; on large texts
-    project :func:`kind_parts` first and use :func:`text_kind_from`.)"""
-    forms = formulas(col)
-    toks = text_tokens(col)
-    k = 2 if version == 2 else 1
-    blank = F.length(F.trim(clean_letters(strip_formulas(col)))) == 0
-    math_only = blank | (F.size(toks) < F.size(forms) * k) | (F.size(F.array_distinct(toks)) <= 1)
-    return (F.when(F.size(forms) == 0, "Text only")
-             .when(math_only, "Math only").otherwise("Math and Text"))
-
-
-# G18 ---------------------------------------------------------------------------
-def text_kind_operator_majority(col) -> Column:
-    """Math only if blank, tokens < 2·formulas or ≤ 5 tokens; Text only if
-    there is no formula or fewer than half of them hold an operator."""
-    forms = formulas(col)
-    toks = text_tokens(col)
-    n_op = F.size(operator_formulas(forms))
-    blank = F.size(toks) == 0
-    return (F.when(F.size(forms) == 0, "Text only")
-             .when(blank | (F.size(toks) < F.size(forms) * 2) | (F.size(toks) <= 5), "Math only")
-             .when(n_op * 2 < F.size(forms), "Text only")
+    n_op = F.size(F.filter(forms, lambda f: f.rlike(r"[+\-*/=<>^]")))
+    return (F.when((F.size(toks) < F.size(forms) * 2) | (F.size(toks) <= 5), "Math only")
+             .when((F.size(forms) == 0) | (n_op * 2 < F.size(forms)), "Text only")
              .otherwise("Math and Text"))
 
 
 # G19 ---------------------------------------------------------------------------
 def non_ascii_share(col, level: str = "word") -> Column:
-    """Share of words (or characters) holding a non-ASCII character; -1 when
-    there is nothing to count.  Words of one character and decimal numbers
-    are skipped."""
+    """Share of words (or characters) holding a non-ASCII character, counted
+    on the text without formulas in which every character that is no letter,
+    digit or ``_`` is a space; -1 when there is nothing to count.  Words of
+    one character and decimal numbers are skipped."""
+    text = F.regexp_replace(strip_formulas(col, display=True), r"[^\p{L}\p{N}_]", " ")
     if level == "char":
-        chars = F.length(F.regexp_replace(_c(col), r"\s", ""))
-        non = F.length(F.regexp_replace(_c(col), r"[\x00-\x7F]", ""))
-        return F.when(chars == 0, F.lit(-1.0)).otherwise(non / chars)
-    words = F.filter(split_words(col),
-                     lambda w: (F.length(w) > 1) & ~w.rlike(r"^[0-9]+([.,][0-9]+)?$"))
-    non = F.size(F.filter(words, lambda w: w.rlike(r"[^\x00-\x7F]")))
-    return F.when(F.size(words) == 0, F.lit(-1.0)).otherwise(non / F.size(words))
+        every = F.length(F.regexp_replace(text, " ", ""))
+        non = F.length(F.regexp_replace(text, r"[\x00-\x7F]", ""))
+    else:
+        words = F.filter(split_words(text),
+                         lambda w: (F.length(w) > 1) & ~w.rlike(r"^\p{Nd}+$"))
+        every = F.size(words)
+        non = F.size(F.filter(words, lambda w: w.rlike(r"[^\x00-\x7F]")))
+    return F.when(every == 0, F.lit(-1.0)).otherwise(non / (every + F.lit(1e-9)))
 
 
 # G23 ---------------------------------------------------------------------------

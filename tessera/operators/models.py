@@ -1,9 +1,9 @@
 """Model data preparation, training and evaluation (survey 2I) on
 ``pyspark.ml``.
 
-* Splits and under-sampling are seeded and hash/Bernoulli based — no window
-  over a whole class, so a class holding most rows is still split in
-  parallel.
+* Splits, under-sampling and over-sampling are exact per class: rows are
+  ranked by a seeded hash with a distributed rank, so a class holding most
+  rows is still ranked in parallel.
 * Metrics are conditional sums; ROC / PR curves use distributed cumulative
   sums over the distinct scores (range-partitioned, per-partition running
   sums plus per-partition offsets) instead of a single-partition window.
@@ -24,20 +24,39 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranks import cumulative_desc, global_row_number
+
 LABEL = "Label"
 
 
 # I01 ---------------------------------------------------------------------------
+def seeded_order(key: str, seed: int) -> Column:
+    """A reproducible shuffle key: md5 of the seed and the row's key."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
+def class_ranks(df: DataFrame, key: str, label: str = LABEL, seed: int = 42) -> DataFrame:
+    """*df* plus ``_n`` (rows of its class) and ``_k`` (1-based place of the
+    row in its class, in seeded order).  Null labels are a class of their own."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.col(label).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)                       # one row per class
+    counts = counts.select(F.col(label).alias("_class"), "_n",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    ranked = global_row_number(df, F.struct(F.col(label).alias("a"),
+                                            seeded_order(key, seed).alias("b"),
+                                            F.col(key).alias("c")), "_r")
+    return (ranked.join(F.broadcast(counts), F.col(label).eqNullSafe(F.col("_class")))
+            .withColumn("_k", F.col("_r") - F.col("_before")).drop("_r", "_class", "_before"))
+
+
 def stratified_split(df: DataFrame, key: str, label: str = LABEL, test_fraction: float = 0.2,
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Deterministic split: a row goes to test when the seeded hash of its
-    key falls in the lowest ``test_fraction`` of the hash range.  The rule is
-    applied within every class alike, so each class is split in the same
-    proportion (stratified in expectation, reproducible, no window)."""
-    u = (F.abs(F.xxhash64(F.col(key), F.col(label), F.lit(seed))) % 1_000_000) / 1_000_000.0
-    flagged = df.withColumn("_u", u)
-    return (flagged.filter(F.col("_u") >= test_fraction).drop("_u"),
-            flagged.filter(F.col("_u") < test_fraction).drop("_u"))
+    """Exact split: of every class, round(n · ``test_fraction``) rows, the
+    first in seeded order, are test rows."""
+    ranked = class_ranks(df, key, label, seed)
+    test = F.col("_k") <= F.floor(F.col("_n") * test_fraction + 0.5)
+    return ranked.filter(~test).drop("_k", "_n"), ranked.filter(test).drop("_k", "_n")
 
 
 # I02 / I03 ---------------------------------------------------------------------
@@ -67,31 +86,31 @@ def imbalance_ratio(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 # I04 ---------------------------------------------------------------------------
-def undersample(df: DataFrame, label: str = LABEL, seed: int = 42) -> DataFrame:
-    """Keep every minority row and a seeded Bernoulli sample of the majority
-    at rate n_minority / n_majority (``sampleBy``)."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
-        return df
-    minority = min(counts, key=counts.get)
-    fractions = {c: (1.0 if c == minority else counts[minority] / counts[c]) for c in counts}
-    return df.sampleBy(label, fractions, seed)
+def undersample(df: DataFrame, key: str, label: str = LABEL, seed: int = 42) -> DataFrame:
+    """As many rows of every class as the smallest class has: the first in
+    seeded order."""
+    least = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).scalar()
+    return class_ranks(df, key, label, seed).filter(F.col("_k") <= least).drop("_k", "_n")
 
 
 # I05 ---------------------------------------------------------------------------
 def smote(df: DataFrame, features: Sequence[str], key: str, label: str = LABEL,
-          seed: int = 42) -> DataFrame:
-    """SMOTE-style over-sampling: every minority row gets one synthetic row
-    at a seeded random point of the segment towards a nearby minority row.
-
-    "Nearby" = the next row along a seeded random projection of the
-    (min-max scaled) features.  The order is a distributed global rank and
-    the neighbour a rank join, so no candidate pairs are enumerated (an
-    exact k-NN would need an all-pairs comparison)."""
+          seed: int = 42, neighbours: int = 5) -> DataFrame:
+    """SMOTE: synthetic minority rows until both classes are equal in size.
+
+    A synthetic row lies at a seeded random point between a minority row and
+    one of its ``neighbours`` nearest rows along a seeded random projection of
+    the (min-max scaled) features; ranks along the projection are distributed,
+    so no candidate pairs are enumerated.  Every minority row is used equally
+    often, up to one."""
     import numpy as np
 
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    base = df.select(F.col(key).cast("string").alias(key), *features, label)
+    if len(counts) < 2:
+        return base
     minority = min(counts, key=counts.get)
+    n, missing = counts[minority], max(counts.values()) - counts[minority]
     mino = df.filter(F.col(label) == minority).fillna(0, subset=list(features))
     stats = mino.agg(*[F.min(f).alias(f"lo_{f}") for f in features],
                      *[F.max(f).alias(f"hi_{f}") for f in features]).first()      # one row
@@ -101,17 +120,23 @@ def smote(df: DataFrame, features: Sequence[str], key: str, label: str = LABEL,
         lo, hi = stats[f"lo_{f}"] or 0.0, stats[f"hi_{f}"] or 0.0
         scaled = (F.col(f) - F.lit(lo)) / F.lit(hi - lo) if hi != lo else F.lit(0.0)
         proj = proj + F.lit(float(wgt)) * scaled
-    ranked = global_row_number(mino, F.struct(proj, F.col(key)), "_r")
-    n = ranked.count()
-    # neighbour of rank r = rank r + 1 (the last row wraps to the first)
-    nb = ranked.select(F.col("_r").alias("_r_nb"), *[F.col(f).alias(f"_b_{f}") for f in features])
-    j = ranked.join(nb, F.col("_r_nb") == (F.col("_r") % F.lit(n)) + 1)
-    gap = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 1_000_000) / 1_000_000.0
-    synth = j.select(
-        F.concat(F.lit("syn_"), F.col(key).cast("string")).alias(key),
+    ranked = global_row_number(mino, F.struct(proj.alias("p"), F.col(key).alias("k")), "_r")
+    times = F.lit(missing // n) + (F.col("_r") <= missing % n).cast("int")
+    copies = (ranked.withColumn("_times", times).filter("_times > 0")
+              .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))))
+    draw = F.xxhash64(F.col(key), F.col("_copy"), F.lit(seed))
+    # The drawn neighbour is 1 .. neighbours ranks up, or down at the upper end.
+    reach = min(neighbours, max(n - 1, 1))
+    ahead = F.col("_r") + F.pmod(draw, F.lit(reach)) + 1
+    copies = copies.withColumn("_near", F.when(F.lit(n == 1), F.col("_r")).when(
+        ahead <= n, ahead).otherwise(F.greatest(F.lit(1), 2 * F.col("_r") - ahead)))
+    other = ranked.select(F.col("_r").alias("_near"), *[F.col(f).alias(f"_b_{f}") for f in features])
+    gap = F.pmod(F.xxhash64(draw, F.lit("gap")), F.lit(1_000_000)) / 1_000_000.0
+    synth = copies.join(other, "_near").select(
+        F.concat(F.lit("syn_"), F.col(key).cast("string"), F.lit("_"),
+                 F.col("_copy").cast("string")).alias(key),
         *[(F.col(f) + gap * (F.col(f"_b_{f}") - F.col(f))).alias(f) for f in features],
         F.lit(minority).alias(label))
-    base = df.select(F.col(key).cast("string").alias(key), *features, label)
     return base.unionByName(synth)
 
 
@@ -224,23 +249,6 @@ def confusion_metrics(scored_df: DataFrame, by: Sequence[str] = (), label: str =
 
 
 # I14 / I15 ---------------------------------------------------------------------
-def cumulative_desc(df: DataFrame, order: str, cols: Sequence[str]) -> DataFrame:
-    """Running sums of ``cols`` in descending ``order`` (inclusive), computed
-    per range partition plus the totals of the partitions before it."""
-    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    r = df.repartitionByRange(n, F.col(order).desc()).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(F.col(order).desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    r = r.select("*", *[F.sum(c).over(w).alias(f"_run_{c}") for c in cols])
-    tot = r.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
-    prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(prev), F.lit(0)).alias(f"_off_{c}")
-                               for c in cols])                          # one row per partition
-    j = r.join(F.broadcast(off), "_pid")
-    return j.select(*df.columns, *[(F.col(f"_run_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}")
-                                   for c in cols])
-
-
 def score_counts(scored_df: DataFrame, label: str = LABEL, score: str = "score") -> DataFrame:
     return scored_df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                         F.count_if(F.col(label) == 0).alias("neg"))
@@ -308,20 +316,6 @@ def recursive_elimination(train: DataFrame, test: DataFrame, features: Sequence[
         feats = [f for f in feats if f not in drop]
 
 
-def global_row_number(df: DataFrame, order: Column, out: str = "_r") -> DataFrame:
-    """1-based row number in ``order`` without a single-partition window:
-    range-partition on the order, number rows inside each partition and add
-    the row counts of the partitions before it (one row per partition)."""
-    n = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    r = df.withColumn("_o", order).repartitionByRange(n, "_o").withColumn("_pid", F.spark_partition_id())
-    r = r.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy("_o")))
-    cnt = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    off = cnt.select("_pid", F.coalesce(F.sum("_c").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    j = r.join(F.broadcast(off), "_pid")
-    return j.withColumn(out, F.col("_rn") + F.col("_off")).drop("_o", "_pid", "_rn", "_off")
-
-
 def permutation_importance(model, test: DataFrame, features: Sequence[str], key: str,
                            repeats: int = 3, seed: int = 42) -> list[tuple[str, float]]:
     """AUC drop when one feature's values are permuted among rows: rows

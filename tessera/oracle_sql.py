@@ -526,23 +526,29 @@ def x_kind(c, version):
 
 def x_kind_major(c):
     forms, toks = x_forms(c), x_text_tokens(c)
-    return (f"CASE WHEN len({forms}) = 0 THEN 'Text only' "
-            f"WHEN len({toks}) = 0 OR len({toks}) < len({forms}) * 2 OR len({toks}) <= 5 THEN 'Math only' "
-            f"WHEN len({x_op_forms(forms)}) * 2 < len({forms}) THEN 'Text only' "
+    ops = f"len(list_filter({forms}, lambda f: regexp_matches(f, '[+\\-*/=<>^]')))"
+    return (f"CASE WHEN len({toks}) < len({forms}) * 2 OR len({toks}) <= 5 THEN 'Math only' "
+            f"WHEN len({forms}) = 0 OR {ops} * 2 < len({forms}) THEN 'Text only' "
             f"ELSE 'Math and Text' END")
 
 
+def _words_only(c):
+    """Text without formulas; everything but letters, digits and _ is a space."""
+    plain = f"regexp_replace({x_strip_forms(c)}, '\\\\\\[.*?\\\\\\]', '', 'g')"
+    return f"regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g')"
+
+
 def x_non_ascii_word(c):
-    words = (f"list_filter({_split_words(c)}, lambda w: length(w) > 1 AND "
-             f"NOT regexp_matches(w, '^[0-9]+([.,][0-9]+)?$'))")
+    words = (f"list_filter({_split_words(_words_only(c))}, lambda w: length(w) > 1 AND "
+             f"NOT regexp_matches(w, '^\\p{{Nd}}+$'))")
     non = f"len(list_filter({words}, lambda w: regexp_matches(w, '[^\\x00-\\x7F]')))"
-    return f"CASE WHEN len({words}) = 0 THEN -1.0 ELSE round({non} / len({words}), 10) END"
+    return f"CASE WHEN len({words}) = 0 THEN -1.0 ELSE round({non} / (len({words}) + 1e-9), 10) END"
 
 
 def x_non_ascii_char(c):
-    chars = f"length(regexp_replace({c}, '\\s', '', 'g'))"
-    non = f"length(regexp_replace({c}, '[\\x00-\\x7F]', '', 'g'))"
-    return f"CASE WHEN {chars} = 0 THEN -1.0 ELSE round({non} / {chars}, 10) END"
+    chars = f"length(regexp_replace({_words_only(c)}, ' ', '', 'g'))"
+    non = f"length(regexp_replace({_words_only(c)}, '[\\x00-\\x7F]', '', 'g'))"
+    return f"CASE WHEN {chars} = 0 THEN -1.0 ELSE round({non} / ({chars} + 1e-9), 10) END"
 
 
 def x_n_words(c):
@@ -967,6 +973,17 @@ def _weights() -> str:
 
 
 ORACLE.update({
+    "i01_stratified_split": mq("""SELECT UserID, Label,
+        CASE WHEN k <= floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM (
+          SELECT UserID, Label, count(*) OVER (PARTITION BY Label) AS n,
+            row_number() OVER (PARTITION BY Label ORDER BY md5('42:' || CAST(UserID AS VARCHAR)), UserID) AS k
+          FROM ml)"""),
+    "i04_undersample": mq("""SELECT UserID, Label FROM (
+          SELECT UserID, Label,
+            row_number() OVER (PARTITION BY Label ORDER BY md5('42:' || CAST(UserID AS VARCHAR)), UserID) AS k
+          FROM ml) WHERE k <= (SELECT min(n) FROM (SELECT count(*) AS n FROM ml GROUP BY Label))"""),
+    "i05_smote_balance": mq("""SELECT Label, max(count(*)) OVER () AS "rows", count(*) AS original,
+        max(count(*)) OVER () AS distinct_keys FROM ml GROUP BY Label"""),
     "i02_class_weights": mq(_weights()),
     "i03_imbalance_ratio": mq("""SELECT count(*) FILTER (WHERE Label = 0) / count(*) FILTER (WHERE Label = 1)
         AS scale_pos_weight FROM ml"""),

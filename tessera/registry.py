@@ -787,7 +787,17 @@ def _i03(spark, sf):
 
 @query("i04_undersample")
 def _i04(spark, sf):
-    return M.undersample(_ml_table(spark, sf)).select("UserID", "Label")
+    return M.undersample(_ml_table(spark, sf), "UserID").select("UserID", "Label")
+
+
+@query("i05_smote_balance")
+def _i05b(spark, sf):
+    """Class sizes after over-sampling, and the original rows still there."""
+    out = M.smote(_ml_table(spark, sf).fillna(0), ML_FEATURES, "UserID")
+    return out.groupBy("Label").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("UserID").startswith("syn_")).alias("original"),
+        F.countDistinct("UserID").alias("distinct_keys"))
 
 
 @query("i05_smote")

@@ -39,7 +39,7 @@ def test_clean_full(spark):
 
 def test_text_kind(spark):
     df = spark.createDataFrame([("plain words here",), (r"\(x+1\)",), (r"solve this now \(x=1\)",)], "t string")
-    kinds = [r.k for r in df.select(TX.text_kind("t", 2).alias("k")).collect()]
+    kinds = [r.k for r in df.select(*TX.kind_parts("t")).select(TX.text_kind_from(2).alias("k")).collect()]
     assert kinds == ["Text only", "Math only", "Math and Text"]
 
 
@@ -58,6 +58,22 @@ def test_sequence_cosine_zero_padding(spark):
     assert got[1] == 0.0
 
 
+def test_operator_majority_tests_math_first(spark):
+    rows = [("hello world",), (r"\(x^2\)",), (r"one two three four five six \(x^2\)",),
+            (r"one two three four five six \(x\)",), ("one two three four five six",)]
+    df = spark.createDataFrame(rows, "t string").select(*TX.kind_parts("t"))
+    assert [r[0] for r in df.select(TX.text_kind_majority_from()).collect()] == [
+        "Math only", "Math only", "Math and Text", "Text only", "Text only"]
+
+
+def test_non_ascii_share_ignores_formulas_and_punctuation(spark):
+    rows = [("word\u2019 plain",), ("caf\u00e9 12 x \\(\u00e9\\) abc",), ("1 22",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] for r in df.select(TX.non_ascii_share("t", "word")).collect()]
+    assert got[0] == 0 and got[2] == -1
+    assert got[1] == pytest.approx(0.5)
+
+
 def test_dense_ids_match_sorted_order(spark):
     words = ["pear", "apple", "fig", "kiwi", "apple", "date", "banana", "cherry"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
