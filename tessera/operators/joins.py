@@ -1,7 +1,7 @@
 """Joins (survey 2C) and the size-checked broadcast used across the library.
 
 Broadcasting is only done behind an explicit, bounded row count
-(``limit(n + 1).count()`` reads at most ``n + 1`` rows per partition); above
+(a distributed count); above
 the bound the join falls back to a shuffle join, where AQE's skew-join split
 handles hot keys.
 """
@@ -18,7 +18,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,22 +76,37 @@ def reconstruction_error(centre, pca, vectors: DataFrame) -> DataFrame:
 
     e = vectors.select(sq_err("vec").alias("se"), F.size("vec").alias("d"))
     d = len(mean)
-    stds = vectors.select(F.posexplode("vec").alias("j", "x")).groupBy("j").agg(
-        F.stddev_pop("x").alias("s"))
+    stds = vectors.select(array_to_vector("vec").alias("x")).select(
+        Summarizer.std(F.col("x")).alias("s")).first()["s"].toArray()   # sample deviation
     rmse = e.agg(F.sqrt(F.sum("se") / (F.count(F.lit(1)) * d)).alias("rmse"))
-    mean_std = stds.agg(F.avg("s")).first()[0]           # one number
+    mean_std = float(stds.mean())
     return rmse.withColumn("mean_feature_std", F.lit(mean_std))
 
 
 # H09 ---------------------------------------------------------------------------
 def fit_lsi(vectors: DataFrame, k: int) -> np.ndarray:
     """Truncated SVD of the (uncentred) document × term matrix; returns the
-    term-side singular vectors V (d × k).  The Gram matrix is d × d."""
-    rows = vectors.select(array_to_vector("vec").alias("x")).rdd.map(lambda r: r.x.toArray())
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    rm = RowMatrix(rows.map(lambda a: OldVectors.dense(a)))
-    svd = rm.computeSVD(k, computeU=False)
-    return np.asarray(svd.V.toArray())
+    term-side singular vectors V (d × k), by falling singular value.
+
+    Every task sums the Gram matrix (d × d) of its own rows block by block;
+    the tasks' matrices are added up row by row in Spark."""
+    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf["vec"].to_numpy())
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
+
+    parts = vectors.select("vec").mapInPandas(gram, "i int, row array<double>")
+    cells = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(
+        F.sum("x").alias("x"))
+    rows = cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("r"))
+    full = rows.select("i", F.col("r.x").alias("x")).orderBy("i").toPandas()   # d rows
+    values, vectors_ = np.linalg.eigh(np.stack(full["x"].to_numpy()))
+    order = np.argsort(-values)[:k]
+    return vectors_[:, order]
 
 
 def project_lsi(vectors: DataFrame, V: np.ndarray) -> DataFrame:

@@ -175,13 +175,13 @@ def pair_cosine(a_vec: DataFrame, b_vec: DataFrame) -> DataFrame:
 
 
 # H24 ---------------------------------------------------------------------------
-def evaluate_hits(results: DataFrame, truth: DataFrame, key: str = "query_id",
-                  item: str = "doc_id") -> DataFrame:
-    """Per query: ``Matching`` (correct item ranked 1), ``In top{k}`` or
-    ``No result``; truth is ``(key, item)`` (a query may have several
-    correct items)."""
+def evaluate_hits(results: DataFrame, truth: DataFrame, queries: DataFrame,
+                  key: str = "query_id", item: str = "doc_id") -> DataFrame:
+    """Per row of *queries*: ``Matching`` (correct item ranked 1), ``In top``
+    or ``No result`` (also where truth has no item at all); truth is
+    ``(key, item)`` (a query may have several correct items)."""
     hit = results.join(truth, [key, item]).groupBy(key).agg(F.min("rank").alias("best_rank"))
-    q = truth.select(key).distinct().join(hit, key, "left")
+    q = queries.select(key).distinct().join(hit, key, "left")
     return q.withColumn("outcome", F.when(F.col("best_rank") == 1, "Matching")
                         .when(F.col("best_rank").isNotNull(), "In top")
                         .otherwise("No result"))

@@ -436,6 +436,14 @@ def _rank(src: str, score: str = "score", asc: bool = False, k: int = 5) -> str:
         AS INTEGER) AS rank FROM {src}) WHERE rank <= {k}"""
 
 
+_EVALUATION = """SELECT b.item_id AS query_id, min(c.rank) AS best_rank,
+        CASE WHEN min(c.rank) = 1 THEN 'Matching' WHEN min(c.rank) IS NOT NULL THEN 'In top'
+             ELSE 'No result' END AS outcome
+        FROM benchmark b
+        LEFT JOIN (SELECT c.query_id, c.rank FROM cos_top c JOIN truth USING (query_id, doc_id)) c
+          ON c.query_id = b.item_id GROUP BY b.item_id"""
+
+
 ORACLE.update({
     "h01_count_vectors": sq("SELECT id AS doc_id, term, tf FROM d_tf", stop=True),
     "h02_tfidf_sklearn": sq("SELECT id AS doc_id, term, round(w, 10) AS w FROM d_vec"),
@@ -448,12 +456,11 @@ ORACLE.update({
         round(sqrt(greatest(0.0, 2 - 2 * score)), 10) AS distance FROM scores)""", "distance", True)),
     "h14_jaccard_top5": sq(_rank("jac")),
     "h24_containment_truth": sq("SELECT * FROM truth"),
-    "h24_search_evaluation": sq("""SELECT t.query_id, min(c.rank) AS best_rank,
-        CASE WHEN min(c.rank) = 1 THEN 'Matching' WHEN min(c.rank) IS NOT NULL THEN 'In top'
-             ELSE 'No result' END AS outcome
-        FROM (SELECT DISTINCT query_id FROM truth) t
-        LEFT JOIN (SELECT c.query_id, c.rank FROM cos_top c JOIN truth USING (query_id, doc_id)) c
-          ON c.query_id = t.query_id GROUP BY t.query_id"""),
+    "h24_search_evaluation": sq(_EVALUATION),
+    "h24_search_hit_rate": sq(f"""SELECT count(*) AS queries,
+        count(*) FILTER (WHERE outcome = 'Matching') AS top1,
+        count(*) FILTER (WHERE outcome <> 'No result') AS topk,
+        count(*) FILTER (WHERE outcome <> 'No result') / count(*) AS hit_rate FROM ({_EVALUATION})"""),
 })
 
 

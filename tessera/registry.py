@@ -336,6 +336,11 @@ def _h24t(spark, sf):
     return SP.containment_truth(_t(spark, sf))
 
 
+@query("h24_search_hit_rate")
+def _h24r(spark, sf):
+    return SP.search_hit_rate(_t(spark, sf))
+
+
 @query("h24_search_evaluation")
 def _h24(spark, sf):
     return SP.search_evaluation(_t(spark, sf), 5)
@@ -930,8 +935,8 @@ def _h08(spark, sf):
 def _h09(spark, sf):
     from tessera.operators import lsa
 
-    docs, _ = SP.dense_tfidf(_t(spark, sf))
-    V = lsa.fit_lsi(docs, 20)
+    docs, _ = SP.dense_tfidf(_t(spark, sf), form="log2")
+    V = lsa.fit_lsi(docs, SP.LSI_TOPICS)
     return lsa.project_lsi(docs, V).select(F.col("id").alias("doc_id"), "vec")
 
 
@@ -942,7 +947,7 @@ def _h10(spark, sf):
 
 @query("h11_lsi_cosine_top5")
 def _h11(spark, sf):
-    return SP.lsi_top_k(_t(spark, sf), 20, 5)
+    return SP.lsi_top_k(_t(spark, sf))
 
 
 @query("h12_pca_euclid_top5")

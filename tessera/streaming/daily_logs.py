@@ -31,11 +31,15 @@ def event_log_projection(events: DataFrame) -> DataFrame:
                          V._event_code().alias("EventCode"), brand.alias("DeviceBrand"))
 
 
-def daily_counts(logs: DataFrame, lateness: str = "2 days") -> DataFrame:
+def daily_counts(logs: DataFrame, lateness: str | None = None) -> DataFrame:
+    """Counts per day and user.  With *lateness* the state of older days is
+    dropped and rows later than that are lost; without, files may arrive in
+    any order and the result is that of the batch extract."""
     day = F.window(F.col("EventTime").cast("timestamp"), "1 day")
-    return (logs.withColumn("EventTime", F.col("EventTime").cast("timestamp"))
-                .withWatermark("EventTime", lateness)
-                .groupBy(day.alias("w"), "UserID")
+    logs = logs.withColumn("EventTime", F.col("EventTime").cast("timestamp"))
+    if lateness:
+        logs = logs.withWatermark("EventTime", lateness)
+    return (logs.groupBy(day.alias("w"), "UserID")
                 .agg(F.max("DeviceBrand").alias("DeviceBrand"),
                      F.count_if(F.col("EventCode") == "app_info_openApp").cast("long").alias("open_time"),
                      F.count_if(F.col("EventCode").isin("pop_up_show_listSub",
@@ -44,12 +48,15 @@ def daily_counts(logs: DataFrame, lateness: str = "2 days") -> DataFrame:
 
 
 def run(spark: SparkSession, table_dir: str, table: str = "events",
-        name: str = "daily_event_log", files_per_trigger: int = 1) -> str:
+        name: str = "daily_event_log", files_per_trigger: int = 64) -> str:
     """Run the stream over the ``table`` files of ``table_dir`` until the
     current input is consumed (``availableNow``); returns the sink path."""
-    schema = spark.read.parquet(f"{table_dir.rstrip('/')}/{table}.parquet").schema
+    path = f"{table_dir.rstrip('/')}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    # As a pattern, the path may be a single file as well as a folder of files.
+    pattern = f"{table_dir.rstrip('/')}/{table}[.]parquet"
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .option("pathGlobFilter", f"{table}*.parquet").parquet(table_dir))
+              .parquet(pattern))
     agg = daily_counts(event_log_projection(stream))
     sink = scratch_path(spark, f"{name}/table")
     ckpt = scratch_path(spark, f"{name}/checkpoint")
