@@ -613,6 +613,10 @@ ORACLE.update({
     "g11_duplicated_lookup_only": tq("""SELECT FeedbackID, HumanFeedback FROM feedback_pairs
         WHERE LookupText IN (SELECT LookupText FROM feedback_pairs GROUP BY LookupText
                              HAVING count(*) > 1 AND count(DISTINCT QuestionText) > 1)"""),
+    "b14_drop_columns": "SELECT DISTINCT user_id AS UserID FROM events",
+    "g11_duplicated_question_only": tq("""SELECT FeedbackID, HumanFeedback FROM feedback_pairs
+        WHERE QuestionText IN (SELECT QuestionText FROM feedback_pairs GROUP BY QuestionText
+                               HAVING count(*) > 1 AND count(DISTINCT LookupText) > 1)"""),
     "g12_short_text_share": tq(f"""SELECT count(*) AS rows,
         count(*) FILTER (WHERE {x_n_words('text')} <= 5) AS short_rows,
         count(*) FILTER (WHERE {x_n_words('text')} <= 5) / count(*) AS share FROM conversations"""),

@@ -382,14 +382,14 @@ def _g07(spark, sf):
 
 @query("g08_dedup_pairs")
 def _g08(spark, sf):
-    return TO.dedup_first(_pairs(spark, sf), ["LookupText", "QuestionText"], "FeedbackID") \
-        .select("FeedbackID", "FeedbackType", "FeedbackResult", "HumanFeedback")
+    return TO.dedup_first(_pairs(spark, sf), ["LookupText", "QuestionText"], "FeedbackID",
+                          ["FeedbackID", "FeedbackType", "FeedbackResult", "HumanFeedback"])
 
 
 @query("g09_dedup_documents")
 def _g09(spark, sf):
     return TO.dedup_first(_t(spark, sf).documents.select("doc_id", "text", "lang"),
-                          ["text"], "doc_id").select("doc_id", "lang")
+                          ["text"], "doc_id", ["doc_id", "lang"])
 
 
 @query("g10_duplicate_audit")
@@ -403,6 +403,18 @@ def _g11(spark, sf):
         .select("FeedbackID", "HumanFeedback")
 
 
+@query("g11_duplicated_question_only")
+def _g11q(spark, sf):
+    return TO.duplicated_on_one_side(_pairs(spark, sf), "QuestionText", "LookupText") \
+        .select("FeedbackID", "HumanFeedback")
+
+
+@query("b14_drop_columns")
+def _b14(spark, sf):
+    """Columns that exist or not are dropped alike."""
+    return V.user_profile(_t(spark, sf)).drop("UserJoinedDate", "NoSuchColumn")
+
+
 @query("g12_short_text_share")
 def _g12(spark, sf):
     c = _t(spark, sf).conversations

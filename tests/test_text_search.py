@@ -189,3 +189,23 @@ def test_frequent_bigrams(spark):
     df = spark.createDataFrame([(["a", "b", "a", "b"],), (["a", "b"],)], "tk array<string>")
     got = [(r.bigram, r.n) for r in TO.frequent_bigrams(df, "tk", 5, 1).collect()]
     assert got == [("a_b", 3), ("b_a", 1)]
+
+
+def test_containment_finds_short_and_word_cutting_passages(spark, tmp_path):
+    from tessera.plans import search_plans as SP
+    from tessera.sources.tables import Tables
+
+    docs = [(1, "the alphabet soup is warm"), (2, "cold soup"), (3, "a warm soup is here")]
+    passages = [(1, "phabet so"), (2, "lphabe"), (3, "soup is"), (4, "soup is warm"), (5, "bread is soup"),
+                (6, "t soup is w")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(passages, "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    t = Tables(spark, str(tmp_path))
+    truth = sorted(tuple(r) for r in SP.containment_truth(t).collect())
+    want = sorted((q, d) for q, p in passages for d, x in docs if p in x)
+    assert truth == want
+    out = {r.query_id: r.outcome for r in SP.search_evaluation(t).collect()}
+    assert set(out) == {1, 2, 3, 4, 5, 6} and out[5] == "No result"
