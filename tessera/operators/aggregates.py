@@ -15,32 +15,37 @@ from pyspark.sql import functions as F
 USER = "UserID"
 
 
-def pivot_agg(df: DataFrame, keys: Sequence[str] | str, pivot: str, values: Sequence[str],
-              measures: Mapping[str, Column | str], agg: str = "sum",
-              name: str = "{measure}{value}", fill: float | None = 0) -> DataFrame:
-    """Pivot with a fixed value list: one ``agg(when(pivot = v, m))`` per
-    (measure, value).  Column names follow ``name``; missing cells → ``fill``."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+def pivot_exprs(pivot: str, values: Sequence[str], measures: Mapping[str, Column | str],
+                agg: str = "sum", name: str = "{measure}{value}",
+                fill: float | None = 0) -> list[Column]:
+    """The aggregate columns of a pivot with a fixed value list: one
+    ``agg(when(pivot = v, m))`` per (measure, value).  Column names follow
+    ``name``; missing cells → ``fill``."""
     fn = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg}[agg]
     cols = []
-    names = []
     for mname, m in measures.items():
         mc = F.col(m) if isinstance(m, str) else m
         for v in values:
-            col_name = name.format(measure=mname, value=v)
-            cols.append(fn(F.when(F.col(pivot) == v, mc)).alias(col_name))
-            names.append(col_name)
-    out = df.groupBy(*keys).agg(*cols)
-    if agg == "count":
-        out = out.select(*keys, *[F.col(n).cast("long").alias(n) for n in names])
-    if fill is not None:
-        out = out.fillna(fill, subset=names)
-    return out
+            c = fn(F.when(F.col(pivot) == v, mc))
+            c = c.cast("long") if agg == "count" else c
+            c = c if fill is None else F.coalesce(c, F.lit(fill))
+            cols.append(c.alias(name.format(measure=mname, value=v)))
+    return cols
+
+
+def pivot_agg(df: DataFrame, keys: Sequence[str] | str, pivot: str, values: Sequence[str],
+              measures: Mapping[str, Column | str], agg: str = "sum",
+              name: str = "{measure}{value}", fill: float | None = 0) -> DataFrame:
+    """Pivot with a fixed value list (:func:`pivot_exprs`) as a table of its own."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(*pivot_exprs(pivot, values, measures, agg, name, fill))
 
 
 def count_distinct_with_null(col: str) -> Column:
-    """pandas ``len(unique())``: distinct values, a NULL counting as one."""
-    return (F.countDistinct(col) + F.max(F.col(col).isNull().cast("int"))).cast("long")
+    """pandas ``len(unique())``: distinct values, a NULL counting as one.  A
+    set per group (a user's own values): several such counts then share one
+    aggregate, where ``countDistinct`` would multiply the rows."""
+    return (F.size(F.collect_set(col)) + F.max(F.col(col).isNull().cast("int"))).cast("long")
 
 
 # D06 - D08 --------------------------------------------------------------------
@@ -68,7 +73,11 @@ def rfm(action: DataFrame, keys: Sequence[str]) -> DataFrame:
     payment-screen frequency, usage and record totals, per-user modes of
     first/last hour, last day and weekday (ties → smallest), and the scaled
     payment gap."""
-    return action.groupBy(*keys).agg(
+    return action.groupBy(*keys).agg(*rfm_exprs())
+
+
+def rfm_exprs() -> list[Column]:
+    return [
         (F.first("horizon") + 1 - F.max("ScaleActionDay")).cast("long").alias("Recency"),
         count_distinct_with_null("firstuse").alias("ContentFrequent"),
         F.sum("payment_screen_time").alias("PaymentScreenFrequent"),
@@ -78,15 +87,18 @@ def rfm(action: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.mode(F.hour("lastuse"), True).alias("ModeLastHour"),
         F.mode(F.dayofmonth("lastuse"), True).alias("ModeLastDay"),
         F.mode(F.weekday("lastuse"), True).alias("ModeDayofweek"),
-        F.max("ScaleGapday").alias("ScaleGapday"))
+        F.max("ScaleGapday").alias("ScaleGapday")]
 
 
 def medians(action: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Exact (interpolated) medians."""
-    return action.groupBy(*keys).agg(
-        F.median("UsageTime").alias("MedianUsageTime"),
-        F.median("Records").alias("MedianRecord"),
-        F.median("payment_screen_time").alias("MedianPaymentScreen"))
+    return action.groupBy(*keys).agg(*median_exprs())
+
+
+def median_exprs() -> list[Column]:
+    return [F.median("UsageTime").alias("MedianUsageTime"),
+            F.median("Records").alias("MedianRecord"),
+            F.median("payment_screen_time").alias("MedianPaymentScreen")]
 
 
 def distinct_count(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:

@@ -67,17 +67,16 @@ def active_days_features(t: Tables, horizons: Sequence[int] | int = 1,
          "Record": "Records", "UsageTime": "UsageTime"})
 
     action = H.active_days(engagement_with_tiers(t, big, medium), horizons)
-    active = A.rfm(action, keys)
-    medians = A.medians(action, keys)
-    brand = A.pivot_agg(action, keys, "TypeBrand", TIERS, {"Brand": F.lit(1)},
-                        agg="count", name="{value}{measure}")
-    content_sum = A.pivot_agg(action, keys, "ActionType", ACTIONS,
-                              {"Record": "Records", "UsageTime": "UsageTime"})
-    demo = A.distinct_count(action, keys, "TypeBrand", "NoTypeBrand")
+    # Everything at the (horizon, user) grain comes from one aggregate.
+    active = action.groupBy(*keys).agg(
+        *A.rfm_exprs(), *A.median_exprs(),
+        *A.pivot_exprs("TypeBrand", TIERS, {"Brand": F.lit(1)}, agg="count", name="{value}{measure}"),
+        *A.pivot_exprs("ActionType", ACTIONS, {"Record": "Records", "UsageTime": "UsageTime"}),
+        A.count_distinct_with_null("TypeBrand").alias("NoTypeBrand"))
 
     pay = payment_columns(t).select("UserID", "firstPaymentType",
                                     F.month("UserJoinedDate").alias("JoinMonth"), "gapday")
-    final = star_left_join(active, [demo, brand, content_learn, content_sum, medians], key=keys)
+    final = star_left_join(active, [content_learn], key=keys)
     final = final.join(V.demographics(t), "UserID", "left").join(pay, "UserID", "left")
     final = final.filter(F.col("TotalChild").isNotNull())            # B12
     final = final.fillna(0, subset=LEARN_COLS)                        # B11
@@ -130,15 +129,14 @@ def cutoff_features(t: Tables, n_days: int = 3, mark_day: int = 14,
     merged = A.collapse_day_action(e, ["UserID", "EventDate", "ActionType"],
                                    ["Opentime", "UsageTime", "Records", "PaymentScreenTime"],
                                    ["cutoffDay", "lateUser", "Label"])           # D31
-    labels = merged.groupBy("UserID").agg(F.max("cutoffDay").alias("cutoffDay"),
-                                          F.max("lateUser").alias("lateUser"),
-                                          F.max("Label").alias("Label"))
     base = e.groupBy("UserID").agg(F.min("UserJoinedDate").alias("UserJoinedDate"))
-    total = A.totals(merged, {"TotalOpentime": "Opentime", "TotalUsageTime": "UsageTime",
-                              "TotalRecords": "Records",
-                              "TotalPayscreentime": "PaymentScreenTime"})         # D13
-    activity = A.pivot_agg(merged, "UserID", "ActionType", ACTIONS,
-                           {"Opentime": "Opentime", "UsageTime": "UsageTime",
-                            "Records": "Records", "PaymentScreenTime": "PaymentScreenTime"})  # D11
+    totals = {"TotalOpentime": "Opentime", "TotalUsageTime": "UsageTime",
+              "TotalRecords": "Records", "TotalPayscreentime": "PaymentScreenTime"}
+    activity = merged.groupBy("UserID").agg(                                       # D13, D11
+        *[F.sum(c).alias(n) for n, c in totals.items()],
+        *A.pivot_exprs("ActionType", ACTIONS,
+                       {"Opentime": "Opentime", "UsageTime": "UsageTime",
+                        "Records": "Records", "PaymentScreenTime": "PaymentScreenTime"}),
+        *[F.max(c).alias(c) for c in ("cutoffDay", "lateUser", "Label")])
     interest = H.most_interest(H.interest_by_action(e))                          # E11-E13
-    return star_left_join(base, [children, total, activity, interest, brand_hot, labels])
+    return star_left_join(base, [children, activity, interest, brand_hot])
