@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import fits, materialise
+
+#: Label tables up to this number of rows are broadcast, larger ones shuffled.
+BROADCAST_LABELS = 500_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,13 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialise(
         both.groupBy(F.col("a").alias("node"))
         .agg(F.least(F.min("a"), F.min("b")).alias("component")), "labels")
+    small = fits(labels, BROADCAST_LABELS)
     while True:
-        near = (both.join(labels, both["b"] == labels["node"])
+        side = F.broadcast(labels) if small else labels
+        near = (both.join(side, both["b"] == labels["node"])
                 .groupBy(F.col("a").alias("_n")).agg(F.min("component").alias("_near")))
         lower = (labels.join(near, labels["node"] == near["_n"], "left")
                  .select("node", F.col("component").alias("_was"),
                          F.least("component", "_near").alias("_now")))
-        jump = labels.select(F.col("node").alias("_now"), F.col("component").alias("_next"))
+        jump = side.select(F.col("node").alias("_now"), F.col("component").alias("_next"))
         step = materialise(
             lower.join(jump, "_now", "left")
             .select("node", "_was", F.least("_now", "_next").alias("component")), "labels")

@@ -11,11 +11,12 @@ Candidates are confirmed on the full shingle sets, without all pairs of a
 group ever being listed:
 
 1. documents with equal sets become one class (representative: smallest id);
-2. under each key, every class is compared with the smallest one only;
-   confirmed links are contracted to components;
-3. keys that still join different components are worked off: rows outside a
-   key's largest component meet all its rows, filtered by size and signature
-   distance inside the join, and the survivors are confirmed.
+2. under each key, every class is compared with one pivot only, the class that
+   meets most others; confirmed links are contracted to components;
+3. keys that still hold several components are worked off exactly: up to 64
+   classes by a join filtered by size and signature distance, whose pairs are
+   confirmed (at most 64 a row); larger keys as families, whose chunks are
+   intersected as matrices, cell by cell, returning only joining links.
 
 A pair left untested is thus already connected, so components are those of
 all links.  Links and labels stay in written tables.
@@ -45,10 +46,15 @@ CHUNKS = 12
 PER_CHUNK = 4
 #: Pairs further apart than this are not confirmed (expected distance of a pair
 #: at similarity 0.75 is 12, with a standard deviation of 3).
-MOST_DISTANCE = 27
+MOST_DISTANCE = 26
 SIMILARITY = (75, 100)
 #: Candidate ids up to this number are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Rounds of comparing every key's rows with one pivot.
+ROUNDS = 1
+#: Keys that still hold more classes than this are compared family by family.
+MOST_MEETING = 64
+CHUNK_ROWS = 256
 
 _RNG = np.random.default_rng(48)
 _FLIP = _RNG.integers(0, 1 << 63, CHUNKS * PER_CHUNK, dtype=np.uint64)
@@ -148,9 +154,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     num, den = SIMILARITY
     pairs = materialise(pairs.select("a", "b").distinct(), "candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    ids = F.broadcast(ids) if fits(ids, BROADCAST_IDS) else ids
     texts = (docs.select(F.col("doc_id").alias("id"), "text")
-             .join(ids, "id", "left_semi"))
+             .join(_small(ids), "id", "left_semi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,39 +178,126 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return materialise(rows.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "links")
 
 
-def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(classes: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Confirmed links (a, b) between classes; their components are those of
     all links at the similarity.  *classes* is a written table (id, sizes,
     signature)."""
     keys = _keys(classes)
-    met = (keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
-           .filter("pivot < top").drop("top"))
-    shared = materialise(keys.join(met, "key"), "shared")
-    star = shared.filter("id <> pivot").select("pivot", "id").distinct()
-    p = classes.select("*").alias("p")
-    q = classes.select("*").alias("q")
-    star = (star.join(q, star["id"] == F.col("q.id"))
-            .join(p, star["pivot"] == F.col("p.id"))
-            .filter(_near("p", "q")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b")))
-    first = _confirmed(star, docs)
-
-    labels = components(first).withColumnsRenamed({"node": "_node", "component": "_c"})
-    rows = (shared.join(labels, shared["id"] == labels["_node"], "left")
-            .select("key", "id", F.coalesce("_c", "id").alias("c")))
-    rows = materialise(rows, "labelled")
-    most = (rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("_n")).groupBy("key")
-            .agg(F.max_by("c", "_n").alias("main"), F.count(F.lit(1)).alias("_cs"))
-            .filter("_cs > 1").drop("_cs"))
-    open_rows = rows.join(most, "key").join(classes, "id")
-    left = open_rows.filter("c <> main").alias("l")
-    right = open_rows.alias("r")
+    met = keys.groupBy("key").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    rows = materialise(keys.join(met, "key"), "shared")
+    # A class that meets many others is likely the middle of its group.
+    degree = rows.groupBy("id").agg(F.sum("met").alias("degree"))
+    degree = materialise(degree, "degree")
+    rows = materialise(rows.select("key", "id").join(_small(degree), "id")
+                       .withColumn("c", F.col("id")), "shared")
+    found = None
+    for _ in range(rounds):
+        pivots = (rows.groupBy("key")
+                  .agg(F.max_by("id", F.struct("degree", "id")).alias("pivot"),
+                       F.min("c").alias("_c0"), F.max("c").alias("_c1"))
+                  .filter("_c0 < _c1").select("key", "pivot"))
+        rows = materialise(rows.join(pivots, "key"), "open")
+        star = (rows.filter("id <> pivot")
+                .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+                .distinct())
+        p, q = classes.alias("p"), classes.alias("q")
+        star = (star.join(q, star["b"] == F.col("q.id")).join(p, star["a"] == F.col("p.id"))
+                .filter(_near("p", "q")).select("a", "b"))
+        if found is not None:
+            star = star.join(_small(found), ["a", "b"], "left_anti")
+        confirmed = _confirmed(star, docs)
+        found = confirmed if found is None else materialise(found.union(confirmed), "links")
+        # All pairs of a pivot under its key are done; the others go on with their component.
+        labels = components(found).withColumnsRenamed({"node": "id", "component": "_c"})
+        rows = materialise(
+            rows.filter("id <> pivot").select("key", "id", "degree")
+            .join(_small(labels), "id", "left")
+            .select("key", "id", "degree", F.coalesce("_c", "id").alias("c")), "open")
+    sizes = (rows.groupBy("key")
+             .agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("_c0"),
+                  F.max("c").alias("_c1"), F.min("id").alias("first"))
+             .filter("_c0 < _c1").select("key", "size", "first"))
+    rows = materialise(rows.join(sizes, "key"), "open")
+    few = rows.filter(F.col("size") <= MOST_MEETING).join(classes, "id")
     meet = ((F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c"))
-            & ((F.col("r.c") == F.col("r.main")) | (F.col("l.id") < F.col("r.id")))
-            & _near("l", "r"))
-    rest = left.join(right, meet).select(F.least("l.id", "r.id").alias("a"),
-                                         F.greatest("l.id", "r.id").alias("b"))
-    second = _confirmed(rest, docs)
-    return first.unionByName(second)
+            & (F.col("l.id") < F.col("r.id")) & _near("l", "r"))
+    rest = few.alias("l").join(few.alias("r"), meet).select(F.col("l.id").alias("a"),
+                                                            F.col("r.id").alias("b"))
+    found = found.unionByName(_confirmed(rest, docs))
+    return found.unionByName(_family_links(rows.filter(F.col("size") > MOST_MEETING), docs))
+
+
+def _family_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between the components of large open keys.
+
+    Classes that meet under such keys form families.  A family is dealt into
+    chunks of about CHUNK_ROWS classes and every pair of chunks is one cell; a
+    cell intersects all its shingle sets at once (a product of 0/1 matrices)
+    and returns only links that join two components."""
+    num, den = SIMILARITY
+    edges = materialise(rows.filter("id <> first").select(
+        F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "family-edges")
+    kind = dict(rows.dtypes)["id"]
+    if edges.limit(1).count() == 0:
+        return edges.limit(0)
+    member = components(edges).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    chunks = member.groupBy("family").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)).cast("int").alias("chunks"))
+    labels = rows.select("id", "c").distinct()
+    member = materialise(
+        member.join(chunks, "family").join(labels, "id")
+        .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")), "families")
+    cells = (docs.select(F.col("doc_id").alias("id"), "text").join(_small(member), "id")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("family", F.least("chunk", "other").alias("ci"),
+                     F.greatest("chunk", "other").alias("cj"), "chunk", "id", "c", "text"))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        n = cell.num_rows
+        ids, comps = cell.column("id").to_pylist(), cell.column("c").to_pylist()
+        chunk = cell.column("chunk").to_numpy()
+        one = np.flatnonzero(chunk == cell.column("ci")[0].as_py())
+        two = np.flatnonzero(chunk == cell.column("cj")[0].as_py())
+        text, value = shingles(*utf8(cell.column("text").chunk(0)))
+        sizes = np.bincount(text, minlength=n)
+        _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+        text, column = text[times[column] > 1], column[times[column] > 1]
+        _, column = np.unique(column, return_inverse=True)
+        shared = np.zeros((len(one), len(two)), np.float32)
+        for start in range(0, int(column.max(initial=-1)) + 1, 4096):
+            here = (column >= start) & (column < start + 4096)
+            marks = np.zeros((n, 4096), np.float32)
+            marks[text[here], column[here] - start] = 1
+            shared += marks[one] @ marks[two].T
+        every = sizes[one][:, None] + sizes[two][None] - shared
+        label = np.unique(np.array(comps), return_inverse=True)[1]
+        link = (shared * den >= every * num) & (label[one][:, None] != label[two][None])
+        root = list(range(n))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        a, b = [], []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(link))):
+            x, y = find(label[one[i]]), find(label[two[j]])
+            if x != y:
+                root[x] = y
+                a.append(ids[one[i]])
+                b.append(ids[two[j]])
+        id_type = cell.schema.field("id").type
+        return pa.table({"a": pa.array(a, id_type), "b": pa.array(b, id_type)})
+
+    found = cells.groupBy("family", "ci", "cj").applyInArrow(compare, f"a {kind}, b {kind}")
+    return materialise(found.distinct(), "family-links")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """Hint a broadcast for a written table of bounded size, else a shuffle."""
+    return F.broadcast(table) if fits(table, BROADCAST_IDS) else table
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
