@@ -613,6 +613,10 @@ ORACLE.update({
     "g11_duplicated_lookup_only": tq("""SELECT FeedbackID, HumanFeedback FROM feedback_pairs
         WHERE LookupText IN (SELECT LookupText FROM feedback_pairs GROUP BY LookupText
                              HAVING count(*) > 1 AND count(DISTINCT QuestionText) > 1)"""),
+    "a01_a02_csv_extract": "SELECT event_id, user_id, event_type FROM events",
+    "a03_sql_extracts": """SELECT 'per_user' AS extract, user_id AS k, count(*) AS n FROM events GROUP BY user_id
+        UNION ALL SELECT 'per_customer', o_custkey, count(*) FROM orders GROUP BY o_custkey""",
+    "a05_write_by_horizon": f"SELECT horizon, count(*) AS users FROM ({ORACLE['e04_all_horizons']}) GROUP BY horizon",
     "b14_drop_columns": "SELECT DISTINCT user_id AS UserID FROM events",
     "g11_duplicated_question_only": tq("""SELECT FeedbackID, HumanFeedback FROM feedback_pairs
         WHERE QuestionText IN (SELECT QuestionText FROM feedback_pairs GROUP BY QuestionText

@@ -80,6 +80,66 @@ def _a04(spark, sf):
                                        F.round(F.sum("UsageTime"), 6).alias("usage")))
 
 
+def _new_folder(spark, name):
+    import uuid
+
+    from tessera.session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("a01_a02_csv_extract")
+def _a01(spark, sf):
+    """A headerless CSV extract read with a schema and named by position."""
+    from tessera.sources import tables as TB
+
+    path = _new_folder(spark, "csv")
+    _t(spark, sf).events.select("event_id", "user_id", "event_type").write.csv(path)
+    raw = TB.read_csv(spark, path, "a long, b long, c string", header=False)
+    return TB.rename_positional(raw, ["event_id", "user_id", "event_type"])
+
+
+A03_EXTRACTS = {
+    "per_user": "SELECT user_id AS k, count(*) AS n FROM events GROUP BY user_id",
+    "per_customer": "SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY o_custkey",
+}
+
+
+@query("a03_sql_extracts")
+def _a03(spark, sf):
+    """The batch crawl: SQL text per extract, written and read back."""
+    from tessera.sources import tables as TB
+
+    written = TB.run_sql_extracts(_t(spark, sf), A03_EXTRACTS, _new_folder(spark, "crawl"))
+    out = None
+    for name, path in written.items():
+        part = spark.read.parquet(path).select(F.lit(name).alias("extract"), "k", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("a05_write_by_horizon")
+def _a05(spark, sf):
+    """The horizon tables written partitioned; rows a reader finds per horizon."""
+    from tessera.sources import tables as TB
+
+    path = _new_folder(spark, "horizons")
+    TB.write_by_horizon(FT.active_days_features(_t(spark, sf), list(range(1, 9))), path)
+    return spark.read.parquet(path).groupBy("horizon").agg(F.count(F.lit(1)).alias("users"))
+
+
+@query("a07_annotation_recode")
+def _a07(spark, sf):
+    """A marked sheet (derived from the feedback ids) joined and recoded."""
+    from tessera.sources import tables as TB
+
+    pairs = _pairs(spark, sf).select("FeedbackID")
+    number = F.pmod(F.crc32(F.col("FeedbackID").cast("string").cast("binary")), F.lit(4))
+    sheet = pairs.filter(number < 3).select("FeedbackID", F.element_at(
+        F.array(F.lit("x"), F.lit(" V "), F.lit("0")), (number + 1).cast("int")).alias("lookup_in_question"))
+    return TB.annotation_recode(pairs, sheet).select("FeedbackID", "lookup_in_question")
+
+
 @query("views_demographics")
 def _demo(spark, sf):
     return V.demographics(_t(spark, sf))

@@ -101,6 +101,12 @@ def run_extracts(extracts: Mapping[str, DataFrame], out_dir: str,
     return written
 
 
+def run_sql_extracts(tables: Tables, statements: Mapping[str, str], out_dir: str) -> dict[str, str]:
+    """The batch crawl from (name, SQL) pairs over the driver tables."""
+    tables.register_views()
+    return run_extracts({name: tables.spark.sql(sql) for name, sql in statements.items()}, out_dir)
+
+
 # A04 -------------------------------------------------------------------------
 def union_live_archive(live: DataFrame, archive: DataFrame) -> DataFrame:
     """Bag union (UNION ALL) of a live table and its archive."""
@@ -109,11 +115,13 @@ def union_live_archive(live: DataFrame, archive: DataFrame) -> DataFrame:
 
 # A05 -------------------------------------------------------------------------
 def write_by_horizon(df: DataFrame, path: str, horizon_col: str = "horizon",
-                     mode: str = "overwrite") -> None:
+                     mode: str = "overwrite", spread_by: str = "UserID", files: int = 16) -> None:
     """All horizons in one dataset, partitioned so a reader of one horizon
-    prunes the others.  Rows are clustered by the partition column first so
-    each task writes few files."""
-    (df.repartition(horizon_col).write.mode(mode)
+    prunes the others.  Rows are clustered by the horizon and one of *files*
+    hash ranges of ``spread_by``, so a horizon is written by many tasks in few
+    files each."""
+    part = F.pmod(F.xxhash64(spread_by), F.lit(files))
+    (df.repartition(horizon_col, part).write.mode(mode)
        .partitionBy(horizon_col).parquet(path))
 
 
