@@ -149,6 +149,13 @@ def text_formula_ratio(col, which: str = "text", eps: float = 1e-8) -> Column:
     return num / (text_len + form_len + F.lit(eps))
 
 
+def token_formula_ratio(col, which: str = "text", eps: float = 1e-5) -> Column:
+    """Share of tokens among tokens and formulas (or of the formulas)."""
+    n_text, n_form = F.size(text_tokens(col)), F.size(formulas(col))
+    num = n_text if which == "text" else n_form
+    return num / (n_text + n_form + F.lit(eps))
+
+
 # G17 ---------------------------------------------------------------------------
 def kind_parts(col) -> list[Column]:
     """Intermediate columns of the text-kind rules (project once)."""
@@ -165,6 +172,14 @@ def text_kind_from(version: int = 2, forms="_forms", toks="_toks", blank="_blank
              .when(math_only, "Math only").otherwise("Math and Text"))
 
 
+def text_kind_v0_from(forms="_forms", toks="_toks") -> Column:
+    """G17 v0: ``Text only`` without formulas, ``Math only`` with fewer tokens
+    than formulas, else ``Math and Text``."""
+    forms, toks = _c(forms), _c(toks)
+    return (F.when(F.size(forms) == 0, "Text only")
+             .when(F.size(toks) < F.size(forms), "Math only").otherwise("Math and Text"))
+
+
 def text_kind_majority_from(forms="_forms", toks="_toks") -> Column:
     """``Math only`` first (no token, fewer than two tokens a formula, or
     at most 5 tokens); then ``Text only`` without formulas or when fewer than

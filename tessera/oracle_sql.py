@@ -467,6 +467,7 @@ ORACLE.update({
 # ---- text preparation -------------------------------------------------------------
 PUNCT = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 FORMULA_RE = r"\\\(.*?\\\)"
+DISPLAY_RE = r"\\\[.*?\\\]"
 
 
 def _lit(s: str) -> str:
@@ -648,6 +649,20 @@ ORACLE.update({
     "g24_top_terms": tq(f"""SELECT term, CAST(sum(tf) AS BIGINT) AS total FROM (SELECT doc_id, term, count(*) AS tf
         FROM (SELECT doc_id, unnest({x_word_tokens('text')}) AS term FROM documents) GROUP BY ALL)
         GROUP BY term ORDER BY total DESC, term LIMIT 50"""),
+    "g25_mismatched_kinds": tq(f"""SELECT unnest(list_filter([
+          CASE WHEN lookup_kind <> 'Math and Text' AND question_kind = 'Math and Text' THEN 'mixed question' END,
+          CASE WHEN lookup_kind = 'Math only' AND question_kind <> 'Math only' THEN 'math look-up' END,
+          CASE WHEN lookup_kind = 'Text only' AND question_kind <> 'Text only' THEN 'text look-up' END],
+          lambda x: x IS NOT NULL)) AS subset, FeedbackID, lookup_kind, question_kind
+        FROM (SELECT FeedbackID, {x_kind('LookupText', 2)} AS lookup_kind,
+          {x_kind('QuestionText', 2)} AS question_kind FROM feedback_pairs)"""),
+    "g13_g17_variants": tq(f"""SELECT doc_id, CAST(len(f) AS BIGINT) AS n_formulas,
+        array_to_string(f, ' | ') AS formulas, CAST(length(plain) AS BIGINT) AS text_len,
+        round(nt / (nt + nf + 1e-5), 10) AS text_ratio, round(nf / (nt + nf + 1e-5), 10) AS formula_ratio,
+        CASE WHEN nf = 0 THEN 'Text only' WHEN nt < nf THEN 'Math only' ELSE 'Math and Text' END AS kind_v0
+        FROM (SELECT doc_id, {x_forms('text')} || regexp_extract_all(text, '{DISPLAY_RE}') AS f,
+          regexp_replace({x_strip_forms('text')}, '{DISPLAY_RE}', '', 'g') AS plain,
+          len({x_text_tokens('text')}) AS nt, len({x_forms('text')}) AS nf FROM formula_documents)"""),
     "g25_kind_summary": tq(f"""SELECT {x_kind('LookupText', 2)} AS lookup_kind,
         {x_kind('QuestionText', 2)} AS question_kind, count(*) AS n FROM feedback_pairs GROUP BY ALL"""),
 })

@@ -495,6 +495,21 @@ def _g13(spark, sf):
         F.round(TX.text_formula_ratio("text", "formula"), 10).alias("formula_ratio"))
 
 
+@query("g13_g17_variants")
+def _g13v(spark, sf):
+    """Display formulas, the token-count ratios and the first text kind."""
+    d = V.formula_documents(_t(spark, sf))
+    kinds = d.select("doc_id", "text", *TX.kind_parts("text"))
+    every = TX.formulas("text", display=True)
+    return kinds.select(
+        "doc_id", F.size(every).cast("long").alias("n_formulas"),
+        F.array_join(every, " | ").alias("formulas"),
+        F.length(TX.strip_formulas("text", display=True)).cast("long").alias("text_len"),
+        F.round(TX.token_formula_ratio("text", "text"), 10).alias("text_ratio"),
+        F.round(TX.token_formula_ratio("text", "formula"), 10).alias("formula_ratio"),
+        TX.text_kind_v0_from().alias("kind_v0"))
+
+
 @query("g17_g18_text_kind")
 def _g17(spark, sf):
     d = V.formula_documents(_t(spark, sf)).select("doc_id", *TX.kind_parts("text"))
@@ -555,13 +570,29 @@ def _g24(spark, sf):
     return TO.top_terms_by(tf, 50)
 
 
-@query("g25_kind_summary")
-def _g25(spark, sf):
+def _pair_kinds(spark, sf):
     p = _pairs(spark, sf)
     lk = p.select("FeedbackID", "QuestionText", *TX.kind_parts("LookupText")) \
         .select("FeedbackID", "QuestionText", TX.text_kind_from(2).alias("lookup_kind"))
-    k = lk.select("lookup_kind", *TX.kind_parts("QuestionText")) \
-        .select("lookup_kind", TX.text_kind_from(2).alias("question_kind"))
+    return lk.select("FeedbackID", "lookup_kind", *TX.kind_parts("QuestionText")) \
+        .select("FeedbackID", "lookup_kind", TX.text_kind_from(2).alias("question_kind"))
+
+
+@query("g25_mismatched_kinds")
+def _g25m(spark, sf):
+    """The three subsets of pairs whose kinds do not fit together."""
+    lk, qk = F.col("lookup_kind"), F.col("question_kind")
+    subsets = F.filter(F.array(
+        F.when((lk != "Math and Text") & (qk == "Math and Text"), "mixed question"),
+        F.when((lk == "Math only") & (qk != "Math only"), "math look-up"),
+        F.when((lk == "Text only") & (qk != "Text only"), "text look-up")), lambda x: x.isNotNull())
+    return _pair_kinds(spark, sf).select(F.explode(subsets).alias("subset"), "FeedbackID",
+                                         "lookup_kind", "question_kind")
+
+
+@query("g25_kind_summary")
+def _g25(spark, sf):
+    k = _pair_kinds(spark, sf)
     return k.groupBy("lookup_kind", "question_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
