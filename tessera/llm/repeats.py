@@ -49,8 +49,10 @@ BLOCK = 16
 PAD = BLOCK
 #: Texts worked on at a time; longer ones are cut into overlapping stretches.
 STRETCH = 1 << 20
-#: Row lists up to this number are broadcast to the texts, more are shuffled.
+#: Text keys up to this number, and lists of places of up to this many places in
+#: all, are broadcast (at most some 32 MB); more are joined by a shuffle.
 BROADCAST_TEXTS = 200_000
+BROADCAST_PLACES = 2_000_000
 
 _REACH = LENGTH - GRAM + 1  # 64-byte strings in a window
 
@@ -260,7 +262,9 @@ def _listed(rows: DataFrame, value) -> DataFrame:
 def _with_places(texts: DataFrame, lists: DataFrame) -> DataFrame:
     """(text, places): texts joined with their lists; broadcast only if few."""
     lists = materialise(lists, "places")
-    side = F.broadcast(lists) if fits(lists, BROADCAST_TEXTS) else lists
+    count, places = lists.agg(F.count(F.lit(1)), F.sum(F.size("places"))).first()
+    small = count <= BROADCAST_TEXTS and (places or 0) <= BROADCAST_PLACES
+    side = F.broadcast(lists) if small else lists
     return texts.join(side, ["u", "n"]).select("text", "places")
 
 
