@@ -37,7 +37,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = 1 << 22):
+def slices(column: pa.Array, most: int = 1 << 20):
     """(first row, rows) of runs of about *most* bytes; a longer text alone."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
