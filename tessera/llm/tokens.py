@@ -11,7 +11,9 @@ Ids are those of the ``tokenizers`` file; ``tests/llm`` holds them against it.
 from __future__ import annotations
 
 import base64
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -59,6 +61,16 @@ class Encoder:
         self._starts = np.zeros(max(table.values()) + 1, bool)
         self._starts[[i for token, i in table.items() if token.startswith(b" ")]] = True
         self._words = _Words(self._encode)
+        with open(vocabulary, encoding="utf-8") as file:
+            added = json.load(file)["added_tokens"]
+        odd = [t["content"] for t in added
+               if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+        if odd:
+            raise ValueError(f"added tokens that match by other rules than their string: {odd}")
+        # The leftmost, then the longest string counts.
+        strings = sorted((re.escape(t["content"]) for t in added), key=len, reverse=True)
+        self._added = re.compile(f"({'|'.join(strings) or '(?!)'})")
+        self._added_ids = {t["content"]: np.array([t["id"]], "<u2").tobytes() for t in added}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self._bpe.encode_ordinary(text), dtype="<u2")
@@ -85,16 +97,23 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, END_ID appended; None counts as empty."""
-        split = [(t or "").split(" ") for t in texts]
-        self._learn(split)
-        get, end = self._words.__getitem__, np.array([END_ID], "<u2").tobytes()
-        for text, parts in zip(texts, split):
-            try:
-                head = self._encode(parts[0]).tobytes() if parts[0] else b""
-                raw = head + b"".join(map(get, parts[1:])) + end
-            except LookupError:
-                raw = self._encode(text).tobytes() + end
-            yield np.frombuffer(raw, "<u2")
+        cut = [self._added.split(t or "") for t in texts]  # text, added token, text, ...
+        split = [[part.split(" ") for part in parts[::2]] for parts in cut]
+        self._learn([words for parts in split for words in parts])
+        end = np.array([END_ID], "<u2").tobytes()
+        for parts, words in zip(cut, split):
+            raw = [self._joined(parts[0], words[0])]
+            for token, text, inner in zip(parts[1::2], parts[2::2], words[1:]):
+                raw += self._added_ids[token], self._joined(text, inner)
+            yield np.frombuffer(b"".join([*raw, end]), "<u2")
+
+    def _joined(self, text: str, words: list[str]) -> bytes:
+        """The ids of a text without added tokens, given split at its spaces."""
+        try:
+            head = self._encode(words[0]).tobytes() if words[0] else b""
+            return head + b"".join(map(self._words.__getitem__, words[1:]))
+        except LookupError:
+            return self._encode(text).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
