@@ -20,8 +20,9 @@ strings), and only what stays undecided is ranked byte by byte:
 
 Every round is a Spark aggregate over rank keys with a join back, both safe
 for strings that occur in a third of all texts.  Decisions rest on 128 bits of
-hash.  Positions near a text's ends are padded with bytes peculiar to that
-text, so ends need no special case and matches never cross texts.
+hash.  Texts are padded at both ends with bytes that UTF-8 never holds, so
+padding never equals text, ends need no special case and matches never cross
+texts.
 
 Defined results: null text is empty; texts that occur more than once are
 wholly removed if they have 200 bytes; repeated rows count as occurrences; ids
@@ -63,14 +64,15 @@ def text_key(raw: bytes) -> int:
 
 def padded(raw: np.ndarray, offsets: np.ndarray, keys: np.ndarray
            ) -> tuple[np.ndarray, np.ndarray]:
-    """The texts with PAD bytes, drawn from their key, on either side."""
+    """The texts with PAD bytes, drawn from their key, on either side; they are
+    0xF8 to 0xFF, which no text holds."""
     lengths = np.diff(offsets)
     out_offsets = np.concatenate([[0], np.cumsum(lengths + 2 * PAD)])
     out = np.empty(out_offsets[-1], np.uint8)
     out[np.repeat(out_offsets[:-1] + PAD - offsets[:-1], lengths) + np.arange(len(raw))] = raw
     words = mixed(keys.view(np.uint64)[:, None]
                   ^ np.arange(1, 2 * PAD // 8 + 1, dtype=np.uint64)[None] * np.uint64(0x9E3779B9))
-    fill = np.ascontiguousarray(words).view(np.uint8).reshape(len(keys), 2 * PAD)
+    fill = np.ascontiguousarray(words).view(np.uint8).reshape(len(keys), 2 * PAD) | np.uint8(0xF8)
     at = np.arange(PAD)
     out[out_offsets[:-1, None] + at] = fill[:, :PAD]
     out[out_offsets[1:, None] - PAD + at] = fill[:, PAD:]
