@@ -10,7 +10,8 @@ times over.  A copy's virtual finish time is the source's words up to its end,
 divided by the source's target weight; the fluid schedule has served exactly
 the budget at virtual time 1.  Copies are range-sorted by finish time over all
 sources and the sorted mix is truncated at the budget; the copy in service at
-the cut keeps the words served until then.
+the cut counts with the words served until then.  The mix as documents
+(:func:`mixed_documents`) takes that copy whole: no text is cut or rewritten.
 
 Running sums never need a whole source in one task: shuffle keys fall into
 4,096 ranges per source, range totals give each range its base, and only one
@@ -104,13 +105,17 @@ def scheduled(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
                         - F.col("__size")))
 
 
+def queued_copies(rows: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per copy in the queue: __copy and __begin (words queued before it)."""
+    return (rows.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
+            .withColumn("__begin", F.col("__start") + F.col("__copy") * F.col("source_size")))
+
+
 def copies(rows: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """One row per copy in service before virtual time 1: __copy, __words
     (served by then) and __finish (virtual finish time, 1 for the copy cut)."""
-    out = (rows.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
-           .withColumn("__begin", F.col("__start") + F.col("__copy") * F.col("source_size"))
-           .withColumn("__words", F.least(F.col("__size"),
-                                          F.floor(F.col("target")) - F.col("__begin"))))
+    out = queued_copies(rows, max_repeats).withColumn(
+        "__words", F.least(F.col("__size"), F.floor(F.col("target")) - F.col("__begin")))
     return (out.filter("__words > 0")
             .withColumn("__finish", F.least(F.lit(1.0), (F.col("__begin") + F.col("__size"))
                                             / F.col("target"))))
@@ -154,14 +159,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                     max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
-    """The mix as documents: one row per copy taken, all input columns; the
-    copy cut by the budget keeps its first words, joined by spaces."""
-    segments = copies(scheduled(docs, weights, share, max_repeats, seed), max_repeats)
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1),
-                    F.col("__words").cast("int"))
-    text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(
-        F.array_join(words, " "))
-    return segments.withColumn("text", text).select(*docs.columns)
+    """The mix as documents: one row per copy taken, all input columns.  A copy
+    is taken whole if it enters service before virtual time 1, so a source
+    exceeds its target by less than its last document."""
+    rows = queued_copies(scheduled(docs, weights, share, max_repeats, seed), max_repeats)
+    return (rows.filter((F.col("__size") > 0) & (F.col("__begin") < F.col("target")))
+            .select(*docs.columns))
 
 
 ORACLE = r"""
