@@ -1086,15 +1086,16 @@ def _d02s(spark, sf):
 
 @query("g05_compound_merge")
 def _g05(spark, sf):
-    """Benchmark passages with the 50 most frequent corpus bigrams merged
-    into ``a_b`` compounds."""
+    """Documents and benchmark passages with all frequent pairs of the corpus
+    (at least one in 10,000 of its adjacent pairs) merged into ``a_b`` compounds."""
     t = _t(spark, sf)
-    toks = t.documents.select(TX.split_words(TX.clean_full("text")).alias("tk"))
-    lexicon = [r.bigram for r in TO.frequent_bigrams(toks, "tk", 50).collect()]   # ≤ 50 rows
-    b = t.benchmark.select("item_id", TX.split_words(TX.clean_full("text")).alias("tk"))
-    merged = TO.merge_compounds("tk", lexicon)
-    return b.select("item_id", F.array_join(merged, " ").alias("tokens"),
-                    F.size(merged).cast("long").alias("n_tokens"))
+    tokens = TX.split_words(TX.clean_full("text")).alias("tk")
+    docs = t.documents.select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), tokens)
+    passages = t.benchmark.select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), tokens)
+    lexicon = F.broadcast(TO.frequent_pairs(docs, "tk", 1e-4))    # ≤ 10,000 rows
+    merged = TO.merge_pairs(docs.unionByName(passages), "tk", lexicon, "source", "id")
+    return merged.select("source", "id", F.array_join("merged", " ").alias("tokens"),
+                         F.size("merged").cast("long").alias("n_tokens"))
 
 
 @query("f05_log_features")
