@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
     bestfit_packing,
+    decontaminate,
     exact_dedup,
     language_id,
     mixing,
     multi_index,
     near_dedup,
     packed_ids,
+    prefix_trie,
     repeats,
     toxicity,
+    vector_codes,
     warc,
 )
 from tessera.llm.common import new_folder, table
@@ -65,6 +68,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bestfit_packing": op2_bestfit_packing,
@@ -76,10 +92,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_ids": op8_packed_ids,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_decontaminate": decontaminate.ORACLE,
 }
