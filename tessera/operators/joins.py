@@ -1,9 +1,8 @@
 """Joins (survey 2C) and the size-checked broadcast used across the library.
 
-Broadcasting is only done behind an explicit, bounded row count
-(a distributed count); above
-the bound the join falls back to a shuffle join, where AQE's skew-join split
-handles hot keys.
+Broadcasting is only done behind an explicit check of rows and bytes (one
+distributed aggregate); above the bounds the join falls back to a shuffle
+join, where AQE's skew-join split handles hot keys.
 """
 
 from __future__ import annotations
@@ -12,17 +11,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Row bound under which a join side is shipped to every executor.
+# Bounds under which a join side is shipped to every executor.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 a number, 16 and its length a string or
+    binary, anything nested by the length of its JSON form."""
+    total = F.lit(0).cast("long")
+    for field in df.schema:
+        kind, c = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (StringType, BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            total = total + 16 + F.octet_length(F.to_json(F.struct(c)))
+        else:
+            total = total + 8
+    return total
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether *df* is within both bounds; counted on the executors."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df``."""
+    """``broadcast(df)`` when its size is proven small, else ``df``."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 

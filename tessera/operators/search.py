@@ -1,16 +1,7 @@
-"""Vectorisation and similarity search (survey 2H).
-
-Vectors are kept in long form ``(id, term, weight)``.  A batch of queries is
-scored against the whole corpus with an **inverted-index join**: only
-(query, document) pairs sharing a term ever meet, the per-pair dot product
-is a partial-then-final ``sum``, and top-k uses ``row_number() <= k`` which
-Spark plans as a partial per-partition group limit before the shuffle
-(WindowGroupLimit), so no query's full candidate list is sorted in one task.
-
-Hot terms: the query side of the term join is broadcast when its size is
-proven small; otherwise the join is salted so that a term present in most
-documents is spread over many tasks.  Every candidate is scored: nothing is
-capped or sampled.
+"""Vectorisation and evaluation of similarity search (survey 2H).
+
+Vectors are kept in long form ``(id, term, weight)``; the top-k search over
+them is :mod:`tessera.operators.bounded_search`.
 """
 
 from __future__ import annotations
@@ -19,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as TX
-from tessera.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, salted_equi_join
 
 
 # H01 ---------------------------------------------------------------------------
@@ -103,26 +93,7 @@ def top_terms(tf: DataFrame, n: int) -> DataFrame:
     return tot.orderBy(F.desc("cnt"), F.asc("term")).limit(n).select("term")
 
 
-# H05 / H06 / H07 -------------------------------------------------------------------
-def _term_join(q: DataFrame, d: DataFrame, salts: int = 32,
-               q_small: bool | None = None) -> DataFrame:
-    """``q_small`` may be decided by the caller on a cheaper upper bound of
-    the query side (e.g. its token table before unknown terms are dropped)."""
-    q = q.select(F.col("id").alias("query_id"), "term", F.col("w").alias("wq"))
-    d = d.select(F.col("id").alias("doc_id"), "term", F.col("w").alias("wd"))
-    if q_small is None:
-        q_small = fits_broadcast(q, BROADCAST_MAX_ROWS)
-    if q_small:
-        return d.join(F.broadcast(q), "term")
-    return salted_equi_join(d, q, "term", salts=salts, salt_of=F.col("doc_id"))
-
-
-def dot_scores(q: DataFrame, d: DataFrame, q_small: bool | None = None) -> DataFrame:
-    """``(query_id, doc_id, score)`` = Σ over shared terms of ``wq·wd``."""
-    j = _term_join(q, d, q_small=q_small)
-    return j.groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score"))
-
-
+# Ranking -----------------------------------------------------------------------
 def top_k(scores: DataFrame, k: int, score: str = "score", ascending: bool = False,
           key: str = "query_id", item: str = "doc_id") -> DataFrame:
     """Rank 1..k per key by score (ties by item id)."""
@@ -131,19 +102,6 @@ def top_k(scores: DataFrame, k: int, score: str = "score", ascending: bool = Fal
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def cosine_search(q_vec: DataFrame, d_vec: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k documents per query by cosine of unit vectors (documents that
-    share no term with the query score 0 and are not listed)."""
-    return top_k(dot_scores(q_vec, d_vec), k)
-
-
-def euclid_knn(q_vec: DataFrame, d_vec: DataFrame, k: int = 5) -> DataFrame:
-    """Euclidean k-NN on unit vectors: ``sqrt(2 - 2·cos)`` (ranked ascending)."""
-    s = dot_scores(q_vec, d_vec)
-    s = s.withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))))
-    return top_k(s.drop("score"), k, "distance", ascending=True)
-
-
 # H14 ---------------------------------------------------------------------------
 def token_sets(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     """``(id, term)`` distinct tokens per text, plus the set size."""
@@ -152,19 +110,6 @@ def token_sets(docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     return explode_terms(sets, "_s", keep=("n",))
 
 
-def jaccard_search(q_sets: DataFrame, d_sets: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k documents per query by Jaccard of token sets:
-    ``inter / (|q| + |d| - inter)``; inter counted by the term join."""
-    q = q_sets.select(F.col("id").alias("id"), "term", F.col("n").cast("double").alias("w"))
-    d = d_sets.select(F.col("id").alias("id"), "term", F.col("n").cast("double").alias("w"))
-    j = _term_join(q, d)
-    g = j.groupBy("query_id", "doc_id").agg(
-        F.count(F.lit(1)).alias("inter"), F.first("wq").alias("nq"), F.first("wd").alias("nd"))
-    s = g.select("query_id", "doc_id",
-                 (F.col("inter") / (F.col("nq") + F.col("nd") - F.col("inter"))).alias("score"))
-    return top_k(s, k)
-
-
 # H15 ---------------------------------------------------------------------------
 def pair_cosine(a_vec: DataFrame, b_vec: DataFrame) -> DataFrame:
     """Row-wise cosine of paired vectors sharing an id (no search)."""

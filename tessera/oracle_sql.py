@@ -403,8 +403,12 @@ def _search_views(form: str = "smooth", max_features: int | None = None, stop: b
         "q_vec": "SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM q_w",
         "scores": """SELECT q.id AS query_id, d.id AS doc_id, round(sum(q.w * d.w), 10) AS score
             FROM q_vec q JOIN d_vec d USING (term) GROUP BY q.id, d.id""",
+        # Every pair: documents without a common term have the score 0.
+        "pairs_all": "SELECT b.item_id AS query_id, d.doc_id FROM benchmark b CROSS JOIN documents d",
+        "all_scores": """SELECT query_id, doc_id, coalesce(score, 0.0) AS score
+            FROM pairs_all LEFT JOIN scores USING (query_id, doc_id)""",
         "cos_top": """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
-            ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores) WHERE rank <= 5""",
+            ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM all_scores) WHERE rank <= 5""",
         # count vectors
         "c_d_tf": "SELECT * FROM d_tf",
         "c_q_tf": "SELECT * FROM q_tf WHERE term IN (SELECT term FROM d_tf)",
@@ -451,10 +455,14 @@ ORACLE.update({
                                  max_features=1000),
     "h04_tfidf_gensim": sq("SELECT id AS doc_id, term, round(w, 10) AS w FROM d_vec", form="log2"),
     "h05_cosine_top5": sq("SELECT * FROM cos_top"),
-    "h06_count_cosine_top5": sq(_rank("c_scores"), stop=True),
-    "h07_euclid_knn5": sq(_rank("""(SELECT query_id, doc_id,
-        round(sqrt(greatest(0.0, 2 - 2 * score)), 10) AS distance FROM scores)""", "distance", True)),
-    "h14_jaccard_top5": sq(_rank("jac")),
+    "h06_count_cosine_top5": sq(_rank("""(SELECT query_id, doc_id, coalesce(score, 0.0) AS score
+        FROM pairs_all LEFT JOIN c_scores USING (query_id, doc_id))"""), stop=True),
+    "h07_euclid_knn5": sq(_rank("""(SELECT query_id, doc_id, round(sqrt(greatest(0.0,
+          CASE WHEN query_id IN (SELECT id FROM q_vec) THEN 1 ELSE 0 END
+          + CASE WHEN doc_id IN (SELECT id FROM d_vec) THEN 1 ELSE 0 END - 2 * score)), 10) AS distance
+        FROM all_scores)""", "distance", True)),
+    "h14_jaccard_top5": sq(_rank("""(SELECT query_id, doc_id, coalesce(score, 0.0) AS score
+        FROM pairs_all LEFT JOIN jac USING (query_id, doc_id))""")),
     "h24_containment_truth": sq("SELECT * FROM truth"),
     "h24_search_evaluation": sq(_EVALUATION),
     "h24_search_hit_rate": sq(f"""SELECT count(*) AS queries,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as TX
+from tessera.operators import bounded_search as B
 from tessera.operators import search as S
 from tessera.sources import views as V
 from tessera.sources.tables import Tables
@@ -21,10 +22,6 @@ STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "h
 SCORE_DIGITS = 10   # scores are rounded so that exact ties break by id in any engine
 
 
-def rounded(df: DataFrame, col: str = "score") -> DataFrame:
-    return df.withColumn(col, F.round(col, SCORE_DIGITS))
-
-
 def tfidf_vectors(t: Tables, form: str = "smooth", max_features: int | None = None,
                   stop_words: list[str] | None = None):
     docs = V.search_corpus(t)
@@ -34,13 +31,6 @@ def tfidf_vectors(t: Tables, form: str = "smooth", max_features: int | None = No
     return d_vec, S.tfidf(q_tf, idf), idf
 
 
-def _query_side_small(t: Tables) -> bool:
-    """Size check of the query batch on its raw token table (an upper
-    bound of every query-vector table, which only drops unknown terms)."""
-    q_tf = S.term_counts(V.search_queries(t), "query_id")
-    return S.fits_broadcast(q_tf)
-
-
 def count_vectors(t: Tables):
     """L2-normalised count vectors, stop words removed."""
     d_tf = S.term_counts(V.search_corpus(t), "doc_id", stop_words=STOP_WORDS)
@@ -51,23 +41,38 @@ def count_vectors(t: Tables):
     return as_w(d_tf), as_w(q_tf)
 
 
+def _always_k(t: Tables, found: DataFrame, q_vec: DataFrame, d_vec: DataFrame, k: int,
+              value: str = "score", **values) -> DataFrame:
+    """*found* with always k rows a query (documents without a common term)."""
+    known = q_vec.select(F.col("id").alias("query_id")).distinct().withColumn("_k", F.lit(True))
+    queries = (V.search_queries(t).select("query_id").distinct().join(known, "query_id", "left")
+               .select("query_id", F.coalesce("_k", F.lit(False)).alias("known")))
+    docs = V.search_corpus(t).select("doc_id")
+    zero = docs.join(d_vec.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    return B.filled(found, queries, docs, k, zero, value, **values)
+
+
 def cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
     d_vec, q_vec, _ = tfidf_vectors(t)
-    return S.top_k(rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t))), k)
+    return _always_k(t, B.cosine_top_k(q_vec, d_vec, k), q_vec, d_vec, k,
+                     plain=0.0, zero=0.0, zero_zero=0.0)
 
 
 def count_cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
     d_vec, q_vec = count_vectors(t)
-    return S.top_k(rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t))), k)
+    return _always_k(t, B.cosine_top_k(q_vec, d_vec, k), q_vec, d_vec, k,
+                     plain=0.0, zero=0.0, zero_zero=0.0)
 
 
 def euclid_top_k(t: Tables, k: int = 5) -> DataFrame:
+    """Nearest unit vectors: ``sqrt(2 - 2 cos)``, which falls as the cosine
+    rises.  A query or document without a known term is the zero vector, at
+    distance 1 from a unit vector and 0 from another zero vector."""
     d_vec, q_vec, _ = tfidf_vectors(t)
-    s = rounded(S.dot_scores(q_vec, d_vec, _query_side_small(t)))
-    s = s.select("query_id", "doc_id",
-                 F.round(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))),
-                         SCORE_DIGITS).alias("distance"))
-    return S.top_k(s, k, "distance", ascending=True)
+    found = B.cosine_top_k(q_vec, d_vec, k).withColumn("distance", F.round(
+        F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))), SCORE_DIGITS))
+    return _always_k(t, found, q_vec, d_vec, k, "distance", ascending=True,
+                     plain=round(2 ** 0.5, SCORE_DIGITS), zero=1.0, zero_zero=0.0)
 
 
 def jaccard_sets(t: Tables):
@@ -78,7 +83,29 @@ def jaccard_sets(t: Tables):
 
 def jaccard_top_k(t: Tables, k: int = 5) -> DataFrame:
     d, q = jaccard_sets(t)
-    return S.jaccard_search(q, d, k).transform(rounded)
+    return _always_k(t, B.jaccard_top_k(q, d, k), q, d, k, plain=0.0, zero=0.0, zero_zero=0.0)
+
+
+#: Characters of the strings under which passages without an inner token are looked up.
+GRAM = 4
+
+
+def _rarest(wanted: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, term): of a query's keys ``(query_id, term)`` the one that
+    fewest documents ``(doc_id, term)`` have."""
+    df = (terms.join(wanted.select("term").distinct(), "term", "left_semi")
+          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return (wanted.join(df, "term", "left").groupBy("query_id")
+            .agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term"))
+                 .alias("term")))
+
+
+def _substrings(col: str, width: int):
+    """The distinct substrings of a width; a shorter text has none."""
+    if width == 0:
+        return F.array(F.lit(""))
+    places = F.sequence(F.lit(1), F.greatest(F.char_length(col) - width + 1, F.lit(1)))
+    return F.array_distinct(F.transform(places, lambda i: F.substr(F.col(col), i, F.lit(width))))
 
 
 def containment_truth(t: Tables) -> DataFrame:
@@ -86,33 +113,29 @@ def containment_truth(t: Tables) -> DataFrame:
 
     A document that contains a passage holds every *inner* token of it (the
     first and last may be cut words), so each passage is looked up under one
-    key, its rarest inner token, and the documents found there are verified
-    with ``instr``.  Passages without an inner token have no such key; they
-    meet the documents directly, broadcast if they are few."""
+    key, its rarest inner token.  A passage without an inner token is looked
+    up under its rarest substring of ``GRAM`` characters (itself, if it is
+    shorter).  The documents found there are verified with ``instr``."""
     toks = TX.split_words(TX.clean_full("text"))
     queries = V.search_queries(t).select(
         "query_id", F.col("text").alias("qtext"),
         F.when(F.size(toks) > 2, F.slice(toks, 2, F.size(toks) - 2)).alias("inner"))
-    docs = V.search_corpus(t).select("doc_id", F.col("text").alias("dtext"),
-                                     F.array_distinct(toks).alias("dtoks"))
-    terms = docs.select("doc_id", F.explode("dtoks").alias("term"))
+    docs = V.search_corpus(t).select("doc_id", F.col("text").alias("dtext"))
+    terms = (docs.select("doc_id", F.explode(F.array_distinct(TX.split_words(TX.clean_full("dtext"))))
+                         .alias("term")))
     wanted = (queries.filter(F.col("inner").isNotNull())
               .select("query_id", F.explode(F.array_distinct("inner")).alias("term")))
-    known = wanted.select("term").distinct()
-    df = terms.join(known, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    # A passage with an inner token that no document has is contained nowhere.
-    rarest = (wanted.join(df, "term", "left").groupBy("query_id")
-              .agg(F.min_by("term", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term"))
-                   .alias("term")))
-    found = terms.join(rarest, "term").select("query_id", "doc_id")
-    keyed = (found.join(queries.select("query_id", "qtext"), "query_id")
-             .join(docs.select("doc_id", "dtext"), "doc_id")
-             .filter(F.instr("dtext", F.col("qtext")) > 0).select("query_id", "doc_id"))
-    bare = queries.filter(F.col("inner").isNull() & F.col("qtext").isNotNull())
-    bare = F.broadcast(bare) if S.fits_broadcast(bare, 10_000) else bare
-    direct = (docs.select("doc_id", "dtext").join(bare, F.instr("dtext", F.col("qtext")) > 0)
-              .select("query_id", "doc_id"))
-    return keyed.unionByName(direct)
+    # A passage with a key that no document has is contained nowhere.
+    found = terms.join(_rarest(wanted, terms), "term").select("query_id", "doc_id")
+    bare = (queries.filter(F.col("inner").isNull() & F.col("qtext").isNotNull())
+            .withColumn("width", F.least(F.char_length("qtext"), F.lit(GRAM))))
+    for (width,) in bare.select("width").distinct().collect():       # GRAM + 1 values at most
+        wanted = bare.filter(F.col("width") == width).select(
+            "query_id", F.explode(_substrings("qtext", width)).alias("term"))
+        grams = docs.select("doc_id", F.explode(_substrings("dtext", width)).alias("term"))
+        found = found.unionByName(grams.join(_rarest(wanted, grams), "term").select("query_id", "doc_id"))
+    return (found.join(queries.select("query_id", "qtext"), "query_id").join(docs, "doc_id")
+            .filter(F.instr("dtext", F.col("qtext")) > 0).select("query_id", "doc_id"))
 
 
 def search_evaluation(t: Tables, k: int = 5) -> DataFrame:
