@@ -68,9 +68,13 @@ def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     # No explicit broadcast: the vocabulary grows with the corpus.  AQE turns
     # this into a broadcast join at run time when the materialised vocabulary
     # is under the broadcast threshold (a measured, not guessed, size).
+    return _l2(weights(tf, idf))
+
+
+def weights(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """``(id, term, tf·idf)``, not normalised; weights of 0 are dropped."""
     j = tf.join(idf.select("term", "idf"), "term")
-    w = j.select("id", "term", (F.col("tf") * F.col("idf")).alias("w")).filter(F.col("w") != 0)
-    return _l2(w)
+    return j.select("id", "term", (F.col("tf") * F.col("idf")).alias("w")).filter(F.col("w") != 0)
 
 
 def corpus_tfidf(docs: DataFrame, id_col: str, text_col: str = "text", form: str = "smooth",

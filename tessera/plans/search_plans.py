@@ -14,6 +14,7 @@ from tessera.functions import text as TX
 from tessera.operators import bounded_search as B
 from tessera.operators import search as S
 from tessera.sources import views as V
+from tessera.session import written
 from tessera.sources.tables import Tables
 
 # Fixed value: a short English stop list (a parameter of the count vectoriser).
@@ -32,35 +33,45 @@ def tfidf_vectors(t: Tables, form: str = "smooth", max_features: int | None = No
 
 
 def count_vectors(t: Tables):
-    """L2-normalised count vectors, stop words removed."""
-    d_tf = S.term_counts(V.search_corpus(t), "doc_id", stop_words=STOP_WORDS)
+    """Count vectors without stop words (H06): the documents' counts, written
+    once, and the queries' unit vectors of known terms."""
+    d_tf = written(S.term_counts(V.search_corpus(t), "doc_id", stop_words=STOP_WORDS), "counts")
     q_tf = S.term_counts(V.search_queries(t), "query_id", stop_words=STOP_WORDS)
-    known = d_tf.select("term").distinct()
-    q_tf = q_tf.join(known, "term", "left_semi")
-    as_w = lambda tf: S._l2(tf.select("id", "term", F.col("tf").cast("double").alias("w")))
-    return as_w(d_tf), as_w(q_tf)
+    q_tf = q_tf.join(d_tf.select("term").distinct(), "term", "left_semi")
+    as_w = lambda tf: tf.select("id", "term", F.col("tf").cast("double").alias("w"))
+    return as_w(d_tf), S._l2(as_w(q_tf))
 
 
-def _always_k(t: Tables, found: DataFrame, q_vec: DataFrame, d_vec: DataFrame, k: int,
+def tfidf_weights(t: Tables):
+    """The documents' TF-IDF weights over term counts that are written once,
+    and the queries' unit vectors."""
+    docs = V.search_corpus(t)
+    tf = written(S.term_counts(docs, "doc_id"), "counts")
+    idf = S.idf_table(tf, docs.select("doc_id").distinct().agg(F.count(F.lit(1))).scalar())
+    return S.weights(tf, idf), S.tfidf(S.term_counts(V.search_queries(t), "query_id"), idf), tf
+
+
+def _always_k(t: Tables, found: DataFrame, known: DataFrame, with_terms: DataFrame, k: int,
               value: str = "score", **values) -> DataFrame:
-    """*found* with always k rows a query (documents without a common term)."""
-    known = q_vec.select(F.col("id").alias("query_id")).distinct().withColumn("_k", F.lit(True))
+    """*found* with always k rows a query; *known* has the ids of queries with
+    a known term, *with_terms* the ids of documents with terms."""
+    known = known.select(F.col("id").alias("query_id")).distinct().withColumn("_k", F.lit(True))
     queries = (V.search_queries(t).select("query_id").distinct().join(known, "query_id", "left")
                .select("query_id", F.coalesce("_k", F.lit(False)).alias("known")))
     docs = V.search_corpus(t).select("doc_id")
-    zero = docs.join(d_vec.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    zero = docs.join(with_terms.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_anti")
     return B.filled(found, queries, docs, k, zero, value, **values)
 
 
 def cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
-    d_vec, q_vec, _ = tfidf_vectors(t)
-    return _always_k(t, B.cosine_top_k(q_vec, d_vec, k), q_vec, d_vec, k,
+    weights, q_vec, tf = tfidf_weights(t)
+    return _always_k(t, B.cosine_top_k(q_vec, weights, k), q_vec, tf, k,
                      plain=0.0, zero=0.0, zero_zero=0.0)
 
 
 def count_cosine_top_k(t: Tables, k: int = 5) -> DataFrame:
-    d_vec, q_vec = count_vectors(t)
-    return _always_k(t, B.cosine_top_k(q_vec, d_vec, k), q_vec, d_vec, k,
+    weights, q_vec = count_vectors(t)
+    return _always_k(t, B.cosine_top_k(q_vec, weights, k), q_vec, weights, k,
                      plain=0.0, zero=0.0, zero_zero=0.0)
 
 
@@ -68,15 +79,15 @@ def euclid_top_k(t: Tables, k: int = 5) -> DataFrame:
     """Nearest unit vectors: ``sqrt(2 - 2 cos)``, which falls as the cosine
     rises.  A query or document without a known term is the zero vector, at
     distance 1 from a unit vector and 0 from another zero vector."""
-    d_vec, q_vec, _ = tfidf_vectors(t)
-    found = B.cosine_top_k(q_vec, d_vec, k).withColumn("distance", F.round(
+    weights, q_vec, tf = tfidf_weights(t)
+    found = B.cosine_top_k(q_vec, weights, k).withColumn("distance", F.round(
         F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))), SCORE_DIGITS))
-    return _always_k(t, found, q_vec, d_vec, k, "distance", ascending=True,
+    return _always_k(t, found, q_vec, tf, k, "distance", ascending=True,
                      plain=round(2 ** 0.5, SCORE_DIGITS), zero=1.0, zero_zero=0.0)
 
 
 def jaccard_sets(t: Tables):
-    d = S.token_sets(V.search_corpus(t), "doc_id", TX.split_words(TX.clean_full("text")))
+    d = written(S.token_sets(V.search_corpus(t), "doc_id", TX.split_words(TX.clean_full("text"))), "sets")
     q = S.token_sets(V.search_queries(t), "query_id", TX.split_words(TX.clean_full("text")))
     return d, q
 

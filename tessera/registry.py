@@ -640,6 +640,13 @@ def _h23(spark, sf):
     return PP.batch_search_top1(_t(spark, sf))
 
 
+@query("h23_batch_ranker_top1")
+def _h23r(spark, sf):
+    from tessera.plans import ranker_plans
+
+    return ranker_plans.batch_ranker_top1(_t(spark, sf))
+
+
 @query("h25_feedback_evaluation")
 def _h25(spark, sf):
     return PP.feedback_evaluation(_t(spark, sf))

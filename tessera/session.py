@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +74,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """*df* written once as Parquet into the shared checkpoint folder and read
+    back: a cut of the lineage whose readers still prune columns."""
+    path = scratch_path(df.sparkSession, f"tessera-{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), name)
