@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import exact_percentiles
+
 USER = "UserID"
 
 
@@ -138,33 +140,39 @@ def multi_stat_pivot(df: DataFrame, key: str, pivot: str, values: Sequence[str],
 
 
 # D23 ---------------------------------------------------------------------------
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.min(value).alias("min"),
-        F.percentile(value, 0.25).alias("q1"),
-        F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q3"),
-        F.max(value).alias("max"))
+    """Minimum, quartiles and maximum of each group; the quartiles by
+    distributed selection, so no task holds a whole group."""
+    ends = df.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"))
+    mid = exact_percentiles(df, keys, value, QUARTILES).withColumnsRenamed(
+        {c: f"_{c}" for c in keys})
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return ends.join(mid, same, "left").select(*keys, "min", "q1", "median", "q3", "max")
 
 
 # D24 ---------------------------------------------------------------------------
 def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long-form profile: one row per column with count, nulls, mean, std,
-    min, quartiles, max — one aggregation pass for all columns."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"),
-                 F.count_if(x.isNull()).alias(f"{c}__nulls"),
-                 F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.percentile(x, 0.25).alias(f"{c}__q1"),
-                 F.percentile(x, 0.5).alias(f"{c}__q2"), F.percentile(x, 0.75).alias(f"{c}__q3"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = ["count", "nulls", "mean", "std", "min", "q1", "q2", "q3", "max"]
-    rows = [F.struct(F.lit(c).alias("column"),
-                     *[F.col(f"{c}__{s}").cast("double").alias(s) for s in stats]) for c in cols]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    min, quartiles, max — all columns as one long table (column, value)."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                      for c in cols])
+    long = df.select(F.explode(cells).alias("c")).select("c.*")
+    x = F.col("x")
+    # One row per column, so a column of a table without rows is listed too.
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    stats = long.groupBy("column").agg(
+        F.count(x).cast("double").alias("count"), F.count_if(x.isNull()).cast("double").alias("nulls"),
+        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+        F.max(x).alias("max"))
+    mid = exact_percentiles(long, ["column"], "x", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    return (named.join(stats, "column", "left").join(mid, "column", "left")
+            .fillna(0.0, subset=["count", "nulls"])
+            .select("column", "count", "nulls", "mean", "std", "min", "q1", "q2", "q3", "max"))
 
 
 # D25 ---------------------------------------------------------------------------

@@ -4,9 +4,9 @@ top-k search in those spaces (survey H08-H13).
 The term space is bounded (the ``max_features`` most frequent terms), so a
 vector is a fixed-length array and the PCA covariance / SVD Gram matrix is
 ``d × d`` with small ``d``.  Search scores every (query, document) pair
-exactly, but never materialises the pairs as rows: each document partition
-multiplies its block of vectors with the broadcast query matrix in numpy and
-keeps only its own top-k per query; a final top-k merges the partitions.
+exactly, but never as rows: each document partition multiplies blocks of its
+vectors with blocks of a bounded slice of the queries and keeps a running
+top-k per query; a final top-k merges the partitions.
 """
 
 from __future__ import annotations
@@ -15,13 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import fits_broadcast
+#: Bytes of a broadcast slice of queries; rows and queries scored at a time.
+QUERY_BYTES = 32 << 20
+BLOCK_ROWS = 2048
+BLOCK_QUERIES = 512
+SCORE_DIGITS = 10
 
 
 def dense_vectors(weights: DataFrame, term_ids: DataFrame, dim: int) -> DataFrame:
@@ -45,14 +50,24 @@ def fit_pca(vectors: DataFrame, k: int):
     return centre, pca
 
 
-def explained_variance(pca, grid=None) -> pd.DataFrame:
-    """Variance share per component and the cumulative share over a grid of
-    k — prefix sums of one fit instead of one fit per k."""
-    ev = np.asarray(pca.explainedVariance.toArray())
-    cum = np.cumsum(ev)
-    ks = grid or list(range(1, len(ev) + 1))
-    return pd.DataFrame({"k": ks, "share": [float(ev[k - 1]) for k in ks],
-                         "cumulative": [float(cum[k - 1]) for k in ks]})
+def spectrum(vectors: DataFrame) -> np.ndarray:
+    """Variances along all principal components, largest first: eigenvalues of
+    the covariance, which is the Gram matrix less n times the mean's square.
+    One pass sums the Gram matrix of (vector, 1), whose last row is the sum."""
+    g = gram_matrix(vectors.select(F.concat("vec", F.array(F.lit(1.0))).alias("vec")))
+    n, total = g[-1, -1], g[-1, :-1]
+    cov = (g[:-1, :-1] - np.outer(total, total) / n) / max(n - 1, 1)
+    return np.maximum(np.linalg.eigvalsh(cov)[::-1], 0)
+
+
+def explained_variance(vectors: DataFrame, step: int = 100) -> DataFrame:
+    """(k, cumulative): the share of the variance that the first k components
+    explain, for k = 0, step, 2 step ... and all; prefix sums of one spectrum."""
+    values = spectrum(vectors)
+    cum = np.concatenate([[0.0], np.cumsum(values) / max(values.sum(), 1e-300)])
+    grid = sorted({*range(0, len(values), step), len(values)})
+    return vectors.sparkSession.createDataFrame([(k, float(cum[k])) for k in grid],
+                                                "k int, cumulative double")
 
 
 def project_pca(centre, pca, vectors: DataFrame) -> DataFrame:
@@ -84,17 +99,15 @@ def reconstruction_error(centre, pca, vectors: DataFrame) -> DataFrame:
 
 
 # H09 ---------------------------------------------------------------------------
-def fit_lsi(vectors: DataFrame, k: int) -> np.ndarray:
-    """Truncated SVD of the (uncentred) document × term matrix; returns the
-    term-side singular vectors V (d × k), by falling singular value.
-
-    Every task sums the Gram matrix (d × d) of its own rows block by block;
-    the tasks' matrices are added up row by row in Spark."""
+def gram_matrix(vectors: DataFrame) -> np.ndarray:
+    """The Gram matrix (d x d, d bounded by the term space) of all rows of
+    *vectors* (vec).  Every task sums the matrix of its own rows block by
+    block; the tasks' matrices are added up row by row in Spark."""
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["vec"].to_numpy())
+            for start in range(0, len(pdf), BLOCK_ROWS):
+                x = np.stack(pdf["vec"].iloc[start:start + BLOCK_ROWS].to_numpy())
                 total = x.T @ x if total is None else total + x.T @ x
         if total is not None:
             yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
@@ -104,7 +117,13 @@ def fit_lsi(vectors: DataFrame, k: int) -> np.ndarray:
         F.sum("x").alias("x"))
     rows = cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("r"))
     full = rows.select("i", F.col("r.x").alias("x")).orderBy("i").toPandas()   # d rows
-    values, vectors_ = np.linalg.eigh(np.stack(full["x"].to_numpy()))
+    return np.stack(full["x"].to_numpy())
+
+
+def fit_lsi(vectors: DataFrame, k: int) -> np.ndarray:
+    """Truncated SVD of the (uncentred) document × term matrix; returns the
+    term-side singular vectors V (d × k), by falling singular value."""
+    values, vectors_ = np.linalg.eigh(gram_matrix(vectors))
     order = np.argsort(-values)[:k]
     return vectors_[:, order]
 
@@ -122,61 +141,77 @@ def project_lsi(vectors: DataFrame, V: np.ndarray) -> DataFrame:
 
 
 # H10 / H11 / H12 ---------------------------------------------------------------------
+def best_rows(key: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row of *key* (rows x columns, smaller is better) and its *ids*
+    the k best by (key, id), filled up with infinity and -1."""
+    out_key = np.full((len(key), k), np.inf)
+    out_id = np.full((len(key), k), -1, np.int64)
+    if key.shape[1] == 0:
+        return out_key, out_id
+    bound = np.partition(key, k - 1, axis=1)[:, k - 1] if key.shape[1] > k else np.full(len(key), np.inf)
+    row, column = np.nonzero(key <= bound[:, None])          # ties at the bound stay in
+    order = np.lexsort((ids[row, column], key[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    first = place < k
+    row, column, place = row[first], column[first], place[first]
+    out_key[row, place] = key[row, column]
+    out_id[row, place] = np.where(np.isfinite(key[row, column]), ids[row, column], -1)
+    return out_key, out_id
+
+
+def _distances(q: np.ndarray, d: np.ndarray, metric: str) -> np.ndarray:
+    """Queries x documents; smaller is better."""
+    if metric == "euclid":
+        square = (q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2 * q @ d.T
+        return np.round(np.sqrt(np.maximum(0.0, square)), SCORE_DIGITS)
+    if metric == "cosine":
+        q, d = (x / np.where((n := np.linalg.norm(x, axis=1)) == 0, 1, n)[:, None] for x in (q, d))
+    return np.round(-(q @ d.T), SCORE_DIGITS)
+
+
 def dense_top_k(queries: DataFrame, docs: DataFrame, k: int = 5, metric: str = "cosine",
-                max_queries: int = 100_000) -> DataFrame:
-    """Exact top-k documents per query in a dense space.
-
-    ``metric``: ``cosine`` (desc), ``dot`` (linear kernel, desc) or
-    ``euclid`` (asc).  The query matrix is broadcast only when its row count
-    is proven under ``max_queries``; a larger batch is split by a hash of the
-    query id into slices of about that size (one pass over the documents per
-    slice)."""
-    if not fits_broadcast(queries, max_queries):
-        n = queries.count()
-        slices = -(-n // max_queries)
-        parts = [dense_top_k(queries.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == s_),
-                             docs, k, metric, max_queries) for s_ in range(slices)]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out
-    spark = docs.sparkSession
-    qpd = queries.toPandas()                                 # bounded by the check above
-    qids = qpd["id"].to_numpy()
-    Q = np.stack(qpd["vec"].to_numpy()) if len(qpd) else np.zeros((0, 1))
-    bq = spark.sparkContext.broadcast((qids, Q))
-    asc = metric == "euclid"
-
-    def score_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qid, Qm = bq.value
-        if metric == "cosine":
-            qn = np.linalg.norm(Qm, axis=1)
-            Qn = Qm / np.where(qn == 0, 1, qn)[:, None]
-        for pdf in it:
-            if pdf.empty or len(qid) == 0:
-                continue
-            D = np.stack(pdf["vec"].to_numpy())
-            ids = pdf["id"].to_numpy()
-            if metric == "cosine":
-                dn = np.linalg.norm(D, axis=1)
-                S = Qn @ (D / np.where(dn == 0, 1, dn)[:, None]).T
-            elif metric == "dot":
-                S = Qm @ D.T
-            else:
-                S = np.sqrt(np.maximum(0.0, (Qm * Qm).sum(1)[:, None] + (D * D).sum(1)[None, :]
-                                       - 2 * Qm @ D.T))
-            kk = min(k, S.shape[1])
-            key = S if asc else -S
-            # stable order: score, then document id
-            order = np.lexsort((np.broadcast_to(ids, S.shape), key), axis=1)[:, :kk]
-            rows = []
-            for qi in range(S.shape[0]):
-                for j in order[qi]:
-                    rows.append((int(qid[qi]), int(ids[j]), float(S[qi, j])))
-            yield pd.DataFrame(rows, columns=["query_id", "doc_id", "score"])
-
-    part = docs.select("id", "vec").mapInPandas(score_partition,
-                                                "query_id long, doc_id long, score double")
-    order = F.col("score").asc() if asc else F.col("score").desc()
+                max_bytes: int = QUERY_BYTES) -> DataFrame:
+    """Exact top-k documents per query in a dense space, ties by id.
+
+    ``metric``: ``cosine`` (desc), ``dot`` (linear kernel, desc) or ``euclid``
+    (asc).  Queries are dealt by a hash of their id into slices of about
+    ``max_bytes``, broadcast one at a time; a task scores blocks of
+    BLOCK_QUERIES x BLOCK_ROWS and keeps the k best of each query as it goes,
+    so its memory does not depend on the number of queries or rows."""
+    sizes = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()
+    slices = max(1, -(-(8 * (sizes[0] + sizes[1])) // max_bytes))
+    sign = 1 if metric == "euclid" else -1
+    out = None
+    for part in range(slices):
+        held = queries.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == part).toArrow()
+        ids = held.column("id").to_numpy()
+        flat = held.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        shared = docs.sparkSession.sparkContext.broadcast((ids, flat.reshape(len(ids), -1)))
+
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            qid, q = shared.value
+            key = np.full((len(qid), k), np.inf)
+            best = np.full((len(qid), k), -1, np.int64)
+            for batch in batches:
+                every = batch.column("id").to_numpy(zero_copy_only=False)
+                vectors = batch.column("vec").flatten().to_numpy(zero_copy_only=False)
+                vectors = vectors.reshape(batch.num_rows, -1)
+                for r in range(0, batch.num_rows, BLOCK_ROWS):
+                    d, did = vectors[r:r + BLOCK_ROWS], every[r:r + BLOCK_ROWS]
+                    for b in range(0, len(qid), BLOCK_QUERIES):
+                        at = slice(b, b + BLOCK_QUERIES)
+                        here = _distances(q[at], d, metric)
+                        key[at], best[at] = best_rows(
+                            np.concatenate([key[at], here], axis=1),
+                            np.concatenate([best[at], np.broadcast_to(did, here.shape)], axis=1), k)
+            found = best >= 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(qid, found.sum(1)), pa.int64()), pa.array(best[found]),
+                 pa.array(sign * key[found])], names=["query_id", "doc_id", "score"])
+
+        rows = docs.select("id", "vec").mapInArrow(score, "query_id long, doc_id long, score double")
+        out = rows if out is None else out.unionByName(rows)
+    order = F.col("score").asc() if sign == 1 else F.col("score").desc()
     w = Window.partitionBy("query_id").orderBy(order, F.col("doc_id"))
-    return part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

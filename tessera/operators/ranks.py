@@ -52,3 +52,29 @@ def cumulative_desc(df: DataFrame, order: str, cols: Sequence[str]) -> DataFrame
     summed = rows.select("*", *[F.sum(c).over(running).alias(f"_run_{c}") for c in cols])
     return summed.join(F.broadcast(offsets), "_pid").select(
         *df.columns, *[(F.col(f"_run_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in cols])
+
+
+def running_by(df: DataFrame, by: Sequence[str], order: Column, cols: Sequence[str]) -> DataFrame:
+    """*df* plus ``run_<c>`` (running sum of ``c`` in *order* within the group
+    *by*, inclusive) and ``all_<c>`` (the group's sum).
+
+    Groups are segments of one global range order: a group of any size is
+    spread over ranges, and many small groups share one.  Only the sums of
+    (range, group) are windowed by group."""
+    rows = ranged(df, F.struct(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)],
+                               order.alias("_v")))
+    inside = (Window.partitionBy("_pid", *by).orderBy("_o")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("_pid", *by).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    offsets = totals.select(
+        F.col("_pid").alias("_p"), *[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)],
+        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in cols],
+        *[F.sum(f"_s_{c}").over(Window.partitionBy(*by)).alias(f"all_{c}") for c in cols])
+    same = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_b{i}"))
+    summed = rows.select("*", *[F.sum(c).over(inside).alias(f"_run_{c}") for c in cols])
+    return summed.join(offsets, same).select(
+        *df.columns, *[(F.col(f"_run_{c}") + F.col(f"_off_{c}")).alias(f"run_{c}") for c in cols],
+        *[f"all_{c}" for c in cols])

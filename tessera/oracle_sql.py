@@ -463,6 +463,10 @@ ORACLE.update({
         FROM all_scores)""", "distance", True)),
     "h14_jaccard_top5": sq(_rank("""(SELECT query_id, doc_id, coalesce(score, 0.0) AS score
         FROM pairs_all LEFT JOIN jac USING (query_id, doc_id))""")),
+    "h08_total_variance": sq("""SELECT CAST(count(*) AS INTEGER) AS components,
+        round(sum((s2 - s1 * s1 / n) / (n - 1)), 8) AS variance
+        FROM (SELECT term, sum(w) AS s1, sum(w * w) AS s2 FROM d_vec GROUP BY term)
+        CROSS JOIN (SELECT count(DISTINCT id) AS n FROM d_vec)""", max_features=1200),
     "h24_containment_truth": sq("SELECT * FROM truth"),
     "h24_search_evaluation": sq(_EVALUATION),
     "h24_search_hit_rate": sq(f"""SELECT count(*) AS queries,
@@ -1038,6 +1042,18 @@ ORACLE.update({
     "i18_probability_blend": mq("""SELECT a.UserID, a.Label, round(0.8 * a.score + 0.2 * b.score, 10) AS score,
         CAST(0.8 * a.score + 0.2 * b.score >= 0.5 AS INTEGER) AS prediction
         FROM rs a JOIN rs_b b ON b.UserID = a.UserID"""),
+    "f07_robust_scaled": mq("""SELECT * FROM (WITH cells AS (
+        SELECT * FROM (SELECT UserID, CAST(COLUMNS(* EXCLUDE (UserID, Label, firstPaymentType, gapday,
+                              ScaleGapday, horizon)) AS DOUBLE) FROM features)
+        UNPIVOT INCLUDE NULLS (x FOR feature IN (COLUMNS(* EXCLUDE (UserID))))),
+        mid AS (SELECT feature, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2,
+                       quantile_cont(x, 0.75) AS q3 FROM cells GROUP BY feature)
+        SELECT UserID, feature, round((x - q2) / CASE WHEN q3 - q1 = 0 THEN 1.0 ELSE q3 - q1 END, 10) AS scaled
+        FROM cells JOIN mid USING (feature))"""),
+    "i18_score_medians": mq("""SELECT which, round(quantile_cont(x, 0.5), 10) AS median FROM (
+        SELECT unnest(['a', 'b', 'blend']) AS which,
+               unnest([a.score, b.score, 0.8 * a.score + 0.2 * b.score]) AS x
+        FROM rs a JOIN rs_b b ON b.UserID = a.UserID) GROUP BY which"""),
 })
 
 ORACLE["d02_streaming_daily_event_log"] = ORACLE["d02_daily_event_log"]

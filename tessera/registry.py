@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tessera.plans import extracts as X
 from tessera.sources import views as V
@@ -845,21 +846,40 @@ def _j03(spark, sf):
 # ---- 2I: models ---------------------------------------------------------------------
 from tessera.operators import models as M  # noqa: E402
 
-ML_FEATURES = ["Recency", "ContentFrequent", "PaymentScreenFrequent", "TotalUsageTime",
-               "TotalRecords", "NoTypeBrand", "RecordLearn", "UsageTimeLearn", "MedianUsageTime",
-               "TotalChild", "MedianChildAge"]
+# Not features: keys, the label, what the label is made of, and text.
+ML_OTHER = {"UserID", "horizon", "Label", "gapday", "ScaleGapday", "firstPaymentType"}
+
+
+def _ml_features(table) -> list[str]:
+    """Every numeric column of the feature table that is not in ML_OTHER."""
+    return [f.name for f in table.schema
+            if f.name not in ML_OTHER and isinstance(f.dataType, NumericType)]
 
 
 def _ml_table(spark, sf, horizon: int = 1):
-    """The training table, materialised once with a reliable checkpoint in
-    the session's checkpoint folder: iterative fits then re-read it instead
-    of re-running the feature plan on every optimiser pass."""
-    from tessera.session import cut_lineage
+    """The training table, written once a session and folder: iterative fits
+    and the metric queries read it instead of running the feature plan again."""
+    from tessera.session import written
+
+    cached = _ML_TABLES.setdefault(spark.sparkContext.applicationId, {})
+    if (sf, horizon) not in cached:
+        f = FT.active_days_features(_t(spark, sf), horizon)
+        cached[sf, horizon] = written(f.select(
+            "UserID", "firstPaymentType", "Label",
+            *[F.col(c).cast("double").alias(c) for c in _ml_features(f)]), "ml-table")
+    return cached[sf, horizon]
+
 
-    f = FT.active_days_features(_t(spark, sf), horizon)
-    f = f.select("UserID", "firstPaymentType", "Label",
-                 *[F.col(c).cast("double").alias(c) for c in ML_FEATURES])
-    return cut_lineage(f)
+_ML_TABLES: dict[str, dict] = {}
+
+
+def _split(spark, sf):
+    """Train and test rows (written) and the features."""
+    from tessera.session import written
+
+    f = _ml_table(spark, sf).fillna(0)
+    tr, te = M.stratified_split(f, "UserID")
+    return written(tr, "train"), written(te, "test"), _ml_features(f)
 
 
 def _rule_scored(spark, sf):
@@ -908,7 +928,8 @@ def _i04(spark, sf):
 @query("i05_smote_balance")
 def _i05b(spark, sf):
     """Class sizes after over-sampling, and the original rows still there."""
-    out = M.smote(_ml_table(spark, sf).fillna(0), ML_FEATURES, "UserID")
+    f = _ml_table(spark, sf).fillna(0)
+    out = M.smote(f, _ml_features(f), "UserID")
     return out.groupBy("Label").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("UserID").startswith("syn_")).alias("original"),
@@ -917,42 +938,48 @@ def _i05b(spark, sf):
 
 @query("i05_smote")
 def _i05(spark, sf):
-    return M.smote(_ml_table(spark, sf).fillna(0), ML_FEATURES, "UserID")
+    f = _ml_table(spark, sf).fillna(0)
+    return M.smote(f, _ml_features(f), "UserID")
 
 
 @query("i06_i10_classifiers")
 def _i06(spark, sf):
-    f = _ml_table(spark, sf).fillna(0)
-    tr, te = M.stratified_split(f, "UserID")
+    tr, te, features = _split(spark, sf)
     trw = M.with_weights(tr)
     out = None
     for kind, scale, weight in [("logistic", "standard", "weight"), ("naive_bayes", "min_max", None),
                                 ("tree", None, None), ("forest", None, "weight"),
                                 ("gbt", None, "weight")]:
-        model = M.fit_pipeline(trw, ML_FEATURES, kind, scale=scale, weight_col=weight)
+        model = M.fit_pipeline(trw, features, kind, scale=scale, weight_col=weight)
         s = M.scored(model, te, "UserID").withColumn("model", F.lit(kind))
         out = s if out is None else out.unionByName(s)
     return out
 
 
+@query("f07_robust_scaled")
+def _f07(spark, sf):
+    """Every numeric feature scaled by its median and quartile range."""
+    return M.robust_scaled(_ml_table(spark, sf), "UserID", _ml_features(_ml_table(spark, sf)))
+
+
+def _search_rows(spark, cv, metric):
+    rows = [(", ".join(sorted(f"{p.name}={v}" for p, v in pm.items())), float(m))
+            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return spark.createDataFrame(rows, f"params string, {metric} double")
+
+
 @query("i11_grid_search")
 def _i11(spark, sf):
     f = _ml_table(spark, sf).fillna(0)
-    cv = M.grid_search(f, ML_FEATURES, "forest", {"maxDepth": [3, 5], "numTrees": [10]}, folds=3)
-    rows = [(str({p.name: v for p, v in pm.items()}), float(m))
-            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-    return spark.createDataFrame(rows, "params string, f1 double")
+    cv = M.grid_search(f, _ml_features(f), "forest", M.FOREST_GRID, folds=5)
+    return _search_rows(spark, cv, "f1")
 
 
 @query("i12_random_search")
 def _i12(spark, sf):
     f = _ml_table(spark, sf).fillna(0)
-    cv = M.random_search(f, ML_FEATURES, "gbt",
-                         {"maxDepth": [2, 3], "maxIter": [5, 10], "stepSize": [0.1, 0.2]},
-                         draws=3, folds=3)
-    rows = [(str({p.name: v for p, v in pm.items()}), float(m))
-            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-    return spark.createDataFrame(rows, "params string, auc double")
+    cv = M.random_search(f, _ml_features(f), "gbt", M.BOOSTED_SPACE, draws=10, folds=5)
+    return _search_rows(spark, cv, "auc")
 
 
 @query("i13_confusion_metrics")
@@ -989,23 +1016,16 @@ def _i16(spark, sf):
 
 @query("i17_metric_table")
 def _i17(spark, sf):
-    from tessera.session import cut_lineage
+    """Boosted trees for each of the eight horizons under two weight policies:
+    five test metrics each."""
+    from tessera.session import written
 
     allh = FT.active_days_features(_t(spark, sf), list(range(1, 9)))
-    allh = cut_lineage(allh.select("horizon", "UserID", "Label",
-                                   *[F.col(c).cast("double").alias(c) for c in ML_FEATURES]))
-    rows = []
-    for h in range(1, 9):
-        f = allh.filter(F.col("horizon") == h).drop("horizon").fillna(0)
-        tr, te = M.stratified_split(f, "UserID")
-        for policy in ["none", "balanced"]:
-            train = M.with_weights(tr) if policy == "balanced" else tr
-            model = M.fit_pipeline(train, ML_FEATURES, "logistic", scale="standard",
-                                   weight_col="weight" if policy == "balanced" else None,
-                                   maxIter=20)
-            m = M.confusion_metrics(M.scored(model, te, "UserID")).first()
-            rows.append((h, policy, float(m["accuracy"]), float(m["f1"]), float(m["auc_hard"])))
-    return spark.createDataFrame(rows, "horizon int, policy string, accuracy double, f1 double, auc_hard double")
+    features = _ml_features(allh)
+    allh = written(allh.select("horizon", "UserID", "Label",
+                               *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                                 for c in features]), "horizons")
+    return M.metric_table(allh, list(range(1, 9)), features, "UserID", ["isns", "scale_pos_weight"])
 
 
 @query("i18_probability_blend")
@@ -1014,31 +1034,47 @@ def _i18(spark, sf):
     return b.withColumn("score", F.round("score", 10))
 
 
+@query("i18_score_medians")
+def _i18m(spark, sf):
+    """Medians of the two scores and of their blend."""
+    m = M.score_medians(_rule_scored(spark, sf), _rule_scored_b(spark, sf), "UserID")
+    return m.select("which", F.round("median", 10).alias("median"))
+
+
 @query("i19_recursive_elimination")
 def _i19(spark, sf):
-    f = _ml_table(spark, sf).fillna(0)
-    tr, te = M.stratified_split(f, "UserID")
-    kept, hist = M.recursive_elimination(tr, te, ML_FEATURES, "UserID", n_keep=8, kind="forest", step=1)
-    return spark.createDataFrame([(n, float(a) if a is not None else None) for n, a in hist],
-                                 "n_features int, auc double")
+    """Features left out one by one down to a single one."""
+    tr, te, features = _split(spark, sf)
+    return M.recursive_elimination(tr, te, features, "UserID", n_keep=1, kind="forest", step=1)[1]
 
 
 @query("i20_permutation_importance")
 def _i20(spark, sf):
-    f = _ml_table(spark, sf).fillna(0)
-    tr, te = M.stratified_split(f, "UserID")
-    model = M.fit_pipeline(tr, ML_FEATURES[:4], "forest", numTrees=10)
-    imp = M.permutation_importance(model, te, ML_FEATURES[:4], "UserID", repeats=1)
-    return spark.createDataFrame([(k, float(v)) for k, v in imp], "feature string, importance double")
+    """All numeric features, 10 repeats."""
+    tr, te, features = _split(spark, sf)
+    model = M.fit_pipeline(tr, features, "forest")
+    return M.permutation_importance(model, te, features, "UserID", repeats=10)
 
 
 # ---- H08-H13: PCA and LSI ---------------------------------------------------------
 @query("h08_pca_explained_variance")
 def _h08(spark, sf):
+    """Cumulative share of the variance for k = 0, 100 ... all components."""
     from tessera.operators import lsa
 
-    _, pca, _, _ = SP.pca_space(_t(spark, sf), 10)
-    return spark.createDataFrame(lsa.explained_variance(pca))
+    docs, _ = SP.dense_tfidf(_t(spark, sf))
+    return lsa.explained_variance(docs, 100)
+
+
+@query("h08_total_variance")
+def _h08t(spark, sf):
+    """The spectrum's sum: the variances of all terms together."""
+    from tessera.operators import lsa
+
+    docs, _ = SP.dense_tfidf(_t(spark, sf))
+    values = lsa.spectrum(docs)
+    return spark.createDataFrame([(len(values), round(float(values.sum()), 8))],
+                                 "components int, variance double")
 
 
 @query("h09_lsi_topics")
@@ -1095,14 +1131,17 @@ def _d02s(spark, sf):
 def _g05(spark, sf):
     """Documents and benchmark passages with all frequent pairs of the corpus
     (at least one in 10,000 of its adjacent pairs) merged into ``a_b`` compounds."""
+    from tessera.operators import compounds
+    from tessera.session import written
+
     t = _t(spark, sf)
-    tokens = TX.split_words(TX.clean_full("text")).alias("tk")
-    docs = t.documents.select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), tokens)
-    passages = t.benchmark.select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), tokens)
-    lexicon = F.broadcast(TO.frequent_pairs(docs, "tk", 1e-4))    # ≤ 10,000 rows
-    merged = TO.merge_pairs(docs.unionByName(passages), "tk", lexicon, "source", "id")
-    return merged.select("source", "id", F.array_join("merged", " ").alias("tokens"),
-                         F.size("merged").cast("long").alias("n_tokens"))
+    clean = TX.clean_full("text").alias("text")
+    docs = t.documents.select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), clean)
+    passages = t.benchmark.select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), clean)
+    texts = written(docs.unionByName(passages), "clean-texts").select(
+        "source", "id", TX.split_words("text").alias("tokens"))
+    lexicon = compounds.frequent_pairs(texts.filter("source = 'documents'"), 1e-4)
+    return compounds.merged_pairs(texts, lexicon).withColumnRenamed("merged", "tokens")
 
 
 @query("f05_log_features")

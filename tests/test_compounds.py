@@ -1,10 +1,13 @@
 """G05 over all documents and any number of compounds, against a plain loop."""
 
+import random
 from collections import Counter
 
+import pytest
+
 from tessera import registry
 from tessera.functions import text as TX
-from tessera.operators import textops as TO
+from tessera.operators import compounds as C
 
 from .conftest import SF_SMALL
 
@@ -21,10 +24,26 @@ def _merged(tokens, lexicon):
 def test_merge_pairs_left_to_right(spark):
     lexicon = {("new", "york"), ("york", "city"), ("a", "a"), ("city", "new")}
     texts = [["new", "york", "city", "new", "york"], [], ["a"], ["a"] * 5, ["york", "city", "x", "new"], None]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, tk array<string>")
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, tokens array<string>")
     lex = spark.createDataFrame(sorted(lexicon), "a string, b string")
-    got = {r.id: r.merged for r in TO.merge_pairs(df, "tk", lex, "id").collect()}
-    assert got == {i: _merged(t or [], lexicon) for i, t in enumerate(texts)}
+    got = {r.id: (r.merged, r.n_tokens) for r in C.merged_pairs(df, lex).collect()}
+    want = {i: _merged(t or [], lexicon) for i, t in enumerate(texts)}
+    assert got == {i: (" ".join(t), len(t)) for i, t in want.items()}
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_pairs_frequent_only_in_some_chunks_are_found(spark, monkeypatch, most):
+    """Tiny chunks; candidates counted through a broadcast and by a join."""
+    monkeypatch.setattr(C, "CHUNK_TOKENS", 20)
+    monkeypatch.setattr(C, "MOST_CANDIDATES", most)
+    rng = random.Random(2)
+    texts = [[rng.choice("abcdefgh") for _ in range(rng.randrange(30))] for _ in range(300)]
+    texts += [["rare", "pair"] * 20, None, ["x"]]
+    df = spark.createDataFrame([(t,) for t in texts], "tokens array<string>").repartition(3)
+    counts = Counter(p for t in texts for p in zip(t or [], (t or [])[1:]))
+    least = max(2, sum(counts.values()) * 0.015)
+    got = {(r.a, r.b): r.n for r in C.frequent_pairs(df, 0.015).collect()}
+    assert got == {p: n for p, n in counts.items() if n >= least} and got
 
 
 def test_all_frequent_pairs_are_merged_in_all_texts(spark):

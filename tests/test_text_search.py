@@ -89,24 +89,50 @@ def test_salted_join_equals_plain_join(spark):
     assert a == b
 
 
-def test_dense_top_k_equals_brute_force(spark):
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclid"])
+def test_dense_top_k_equals_brute_force(spark, monkeypatch, metric):
+    """Small blocks and slices, equal vectors and a zero vector."""
     import numpy as np
-    from tessera.operators.lsa import dense_top_k
+    from tessera.operators import lsa
 
+    monkeypatch.setattr(lsa, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(lsa, "BLOCK_QUERIES", 2)
     rng = np.random.default_rng(0)
-    D = rng.normal(size=(30, 4))
-    Q = rng.normal(size=(3, 4))
-    docs = spark.createDataFrame([(i, D[i].tolist()) for i in range(30)], "id long, vec array<double>")
-    qs = spark.createDataFrame([(100 + i, Q[i].tolist()) for i in range(3)], "id long, vec array<double>")
-    got = sorted((r.query_id, r.rank, r.doc_id) for r in dense_top_k(qs, docs.repartition(4), 3).collect())
+    D = rng.integers(-2, 3, size=(60, 4)).astype(float)
+    D[5] = 0
+    Q = np.concatenate([rng.normal(size=(6, 4)), D[3:5]])
+    docs = spark.createDataFrame([(i, D[i].tolist()) for i in range(60)], "id long, vec array<double>")
+    qs = spark.createDataFrame([(100 + i, Q[i].tolist()) for i in range(8)], "id long, vec array<double>")
+    found = lsa.dense_top_k(qs, docs.repartition(4), 5, metric, max_bytes=100).collect()
+    got = sorted((r.query_id, r.rank, r.doc_id) for r in found)
     want = []
-    for i in range(3):
-        s = (D @ Q[i]) / (np.linalg.norm(D, axis=1) * np.linalg.norm(Q[i]))
-        for rank, j in enumerate(sorted(range(30), key=lambda j: (-s[j], j))[:3], 1):
-            want.append((100 + i, rank, j))
+    for i in range(8):
+        if metric == "euclid":
+            s = -np.sqrt(((D - Q[i]) ** 2).sum(1))
+        else:
+            s = D @ Q[i]
+            if metric == "cosine":
+                n = np.linalg.norm(D, axis=1) * np.linalg.norm(Q[i])
+                s = s / np.where(n == 0, 1, n)
+        s = np.round(s, 10)
+        want += [(100 + i, rank, j) for rank, j in enumerate(sorted(range(60), key=lambda j: (-s[j], j))[:5], 1)]
     assert got == sorted(want)
 
 
+def test_whole_spectrum_equals_numpy(spark):
+    import numpy as np
+    from tessera.operators import lsa
+
+    x = np.random.default_rng(1).normal(size=(80, 7)) * np.arange(1, 8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+    assert lsa.spectrum(df.repartition(3)) == pytest.approx(values)
+    rows = sorted(tuple(r) for r in lsa.explained_variance(df, 3).collect())
+    assert [k for k, _ in rows] == [0, 3, 6, 7]
+    assert [c for _, c in rows] == pytest.approx([0, values[:3].sum() / values.sum(),
+                                                  values[:6].sum() / values.sum(), 1])
+
+
 def test_dedup_first_keeps_smallest_id(spark):
     df = spark.createDataFrame([(3, "x", "a"), (1, "x", "b"), (2, "y", "c")], "id int, t string, v string")
     got = sorted((r.id, r.v) for r in TO.dedup_first(df, ["t"], "id").collect())
@@ -122,18 +148,6 @@ def test_fuzzy_score_bounds(spark):
             assert r.s == 1.0
 
 
-def test_merge_compounds_left_to_right(spark):
-    df = spark.createDataFrame([(["new", "york", "city", "new", "york"],), ([],), (["a"],)], "tk array<string>")
-    out = [r.m for r in df.select(TO.merge_compounds("tk", ["new_york", "york_city"]).alias("m")).collect()]
-    assert out == [["new_york", "city", "new_york"], [], ["a"]]
-
-
-def test_frequent_bigrams(spark):
-    df = spark.createDataFrame([(["a", "b", "a", "b"],), (["a", "b"],)], "tk array<string>")
-    got = [(r.bigram, r.n) for r in TO.frequent_bigrams(df, "tk", 5, 1).collect()]
-    assert got == [("a_b", 3), ("b_a", 1)]
-
-
 def test_containment_finds_short_and_word_cutting_passages(spark, tmp_path):
     from tessera.plans import search_plans as SP
     from tessera.sources.tables import Tables
