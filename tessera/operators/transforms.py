@@ -3,9 +3,9 @@
 Data-dependent transforms (rare-brand collapse, tiers, log, scaling) compute
 their statistics with one small aggregate that stays inside the same lazy
 plan: a scalar subquery (``DataFrame.scalar()``) for single values.  A
-per-category table (one row per category) is joined back on the category, a
-low-cardinality key whose shuffle would put a hot category in one task, so
-it is broadcast behind a bounded row-count check instead.
+per-category table (one row per category) is joined back on the category
+without a hint: AQE broadcasts it by its measured size, and beyond that splits
+the rows of a hot category over tasks.  No job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import maybe_broadcast
-
-
 
 def _counts(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -30,7 +27,7 @@ def collapse_rare(df: DataFrame, col: str, other: str = "Other brand") -> DataFr
     c = _counts(df, col)
     mean = c.agg(F.avg("_cnt")).scalar()                  # scalar subquery, lazy
     rare = c.filter(F.col("_cnt") < mean).select(col, F.lit(1).alias("_rare"))
-    j = df.join(maybe_broadcast(rare), col, "left")
+    j = df.join(rare, col, "left")
     return j.withColumn(col, F.when(F.col("_rare") == 1, F.lit(other)).otherwise(F.col(col))) \
             .drop("_rare")
 
@@ -44,11 +41,20 @@ def frequency_tier(df: DataFrame, col: str, big: int = 100_000, medium: int = 10
     tier = F.when(F.col("_cnt") >= big, "Big").when(F.col("_cnt") >= medium, "Medium") \
             .otherwise("Small")
     tiers = c.select(col, tier.alias(out))
-    j = df.join(maybe_broadcast(tiers), col, "left")
+    j = df.join(tiers, col, "left")
     return j.withColumn(out, F.coalesce(F.col(out), F.lit("Small")))
 
 
 # F03 -------------------------------------------------------------------------
+def found_values(df: DataFrame, col: str, most: int = 1000) -> list[str]:
+    """The distinct values of a column, in order, to make columns of.  More
+    than ``most`` are an error: so many categories belong in rows."""
+    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} values")
+    return sorted(r[0] for r in rows)
+
+
 def one_hot(df: DataFrame, col: str, values: Sequence[str], prefix: str = "") -> DataFrame:
     """Fixed-list one-hot columns (0/1 ints)."""
     return df.select("*", *[(F.col(col) == v).cast("int").alias(f"{prefix}{v}") for v in values])
@@ -110,6 +116,6 @@ def bin_right_closed(col: Column | str, edges: Sequence[float] = (5, 10, 15, 20)
 def top_categories(df: DataFrame, col: str, min_count: int = 300,
                    other: str = "Others", out: str | None = None) -> DataFrame:
     c = _counts(df, col).filter(F.col("_cnt") >= min_count).select(col, F.lit(1).alias("_top"))
-    j = df.join(maybe_broadcast(c), col, "left")
+    j = df.join(c, col, "left")
     return j.withColumn(out or col, F.when(F.col("_top") == 1, F.col(col)).otherwise(F.lit(other))) \
             .drop("_top")

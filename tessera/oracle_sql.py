@@ -355,6 +355,10 @@ ORACLE.update({
     "d11_action_measure_pivot": cq("SELECT * FROM activity_u"),
     "f01_rare_brand_collapse": cq("SELECT UserID, ChildID, DeviceBrand FROM users_b"),
     "f03_brand_one_hot": cq("SELECT * FROM brand_hot"),
+    "f03_interest_one_hot": cq("SELECT UserID, " + ", ".join(
+        f"CAST(coalesce({c} = '{a}', false) AS INTEGER) AS {c}_{a}"
+        for c in ("MostInterest", "MostAccumulate") for a in ("Discovery", "Entertainment", "Learn"))
+        + " FROM most_interest"),
 })
 
 
@@ -652,7 +656,11 @@ ORACLE.update({
     "g21_vocabulary_idf": tq("SELECT token, token_id, round(idf, 10) AS idf FROM vocab_idf"),
     "g22_g23_sequences": tq("""SELECT p.FeedbackID,
         COALESCE(array_to_string(list(v.token_id ORDER BY u.pos) FILTER (WHERE u.pos IS NOT NULL), ' '), '') AS seq,
-        CAST(greatest(800, len(p.lt)) AS BIGINT) AS padded_len
+        array_to_string(list_concat(
+          COALESCE(list(CAST(v.token_id AS VARCHAR) ORDER BY u.pos) FILTER (WHERE u.pos IS NOT NULL), []),
+          list_transform(range(greatest(800, (SELECT max(len(lt)) FROM pair_tok)) - len(p.lt)),
+                         lambda i: '-1')), ' ') AS padded,
+        CAST(greatest(800, (SELECT max(len(lt)) FROM pair_tok)) AS BIGINT) AS padded_len
         FROM pair_tok p
         LEFT JOIN (SELECT FeedbackID, unnest(lt) AS token, generate_subscripts(lt, 1) AS pos FROM pair_tok) u
           ON u.FeedbackID = p.FeedbackID

@@ -11,6 +11,7 @@ from tessera.functions import text as TX
 from tessera.operators import aggregates as A
 from tessera.operators import transforms as T
 from tessera.operators.joins import compare_on_key, remove_keys
+from tessera.operators.textops import text_key
 from tessera.plans import extracts as X
 from tessera.plans import feature_tables as FT
 from tessera.sources import views as V
@@ -87,11 +88,11 @@ def learning_fanout(t: Tables) -> DataFrame:
 
 
 def not_match_in_match(t: Tables) -> DataFrame:
-    """NOT MATCH look-ups whose text also occurs among MATCH look-ups."""
-    p = V.feedback_pairs(t)
-    m = p.filter(F.col("HumanFeedback") == "MATCH").select("LookupText")
-    return p.filter(F.col("HumanFeedback") == "NOT MATCH").join(m, "LookupText", "left_semi") \
-            .select("FeedbackID")
+    """NOT MATCH look-ups whose text also occurs among MATCH look-ups;
+    texts meet by digest."""
+    p = V.feedback_pairs(t).select("FeedbackID", "HumanFeedback", text_key(["LookupText"]).alias("k"))
+    m = p.filter(F.col("HumanFeedback") == "MATCH").select("k")
+    return p.filter(F.col("HumanFeedback") == "NOT MATCH").join(m, "k", "left_semi").select("FeedbackID")
 
 
 def label_disagreements(t: Tables) -> DataFrame:

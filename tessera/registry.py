@@ -343,6 +343,16 @@ def _f03(spark, sf):
     return out.toDF(*[c.replace(" ", "_") for c in out.columns])
 
 
+@query("f03_interest_one_hot")
+def _f03i(spark, sf):
+    """MostInterest and MostAccumulate as 0/1 columns, one for each action found."""
+    m = H.most_interest(H.interest_by_action(FT.cutoff_engagement(_t(spark, sf), 3, 14)))
+    out = m.select("UserID", "MostInterest", "MostAccumulate")
+    for c in ("MostInterest", "MostAccumulate"):
+        out = T.one_hot(out, c, T.found_values(m, c), prefix=f"{c}_").drop(c)
+    return out.fillna(0)
+
+
 # ---- 2H: vectorisation and search ------------------------------------------------
 from tessera.operators import search as S  # noqa: E402
 from tessera.plans import search_plans as SP  # noqa: E402
@@ -560,8 +570,11 @@ def _g22(spark, sf):
     pt = _pair_tokens(spark, sf)
     voc = TO.vocabulary(pt, ["lt", "qt"])
     s = TO.to_sequences(pt, "FeedbackID", "lt", voc, "token_id", out="seq")
-    padded = TX.pad("seq", F.lit(800), -1)
+    # Padded to 800, or to the longest look-up if that is longer.
+    longest = pt.agg(F.greatest(F.lit(800), F.max(F.size("lt")))).scalar()
+    padded = TX.pad("seq", longest, -1)
     return s.select("FeedbackID", F.array_join("seq", " ").alias("seq"),
+                    F.array_join(padded, " ").alias("padded"),
                     F.size(padded).cast("long").alias("padded_len"))
 
 
@@ -738,7 +751,10 @@ def _d28(spark, sf):
 
 @query("d29_brand_matrix")
 def _d29(spark, sf):
-    return A.brand_matrix(X.event_logs_all(_t(spark, sf)), V.BRANDS)
+    logs = X.event_logs_all(_t(spark, sf))
+    # The known brands always have a column; others get one when they occur.
+    found = [b for b in T.found_values(logs, "DeviceBrand") if b not in V.BRANDS]
+    return A.brand_matrix(logs, [*V.BRANDS, *found])
 
 
 @query("d30_first_row")

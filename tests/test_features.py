@@ -114,3 +114,17 @@ def test_duplicate_audit(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "x int, y string")
     r = A.duplicate_audit(df).first()
     assert (r.rows, r.distinct_rows, r.duplicate_rows) == (3, 2, 1)
+
+
+def test_unlisted_brands_get_a_column(spark):
+    from tessera.operators import aggregates as A
+    from tessera.operators import transforms as T
+
+    logs = spark.createDataFrame([(1, "nokia"), (1, "zz new"), (2, "zz new"), (2, "zz new"), (3, None)],
+                                 "UserID long, DeviceBrand string")
+    values = T.found_values(logs, "DeviceBrand")
+    assert values == ["nokia", "zz new"]
+    got = {r.UserID: (r.nokia, r["zz new"], r.n_brands) for r in A.brand_matrix(logs, values).collect()}
+    assert (got[1], got[2][1:]) == ((1, 1, 2), (2, 1)) and got[3][2] == 0
+    with pytest.raises(ValueError):
+        T.found_values(logs, "DeviceBrand", most=1)
