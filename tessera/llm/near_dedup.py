@@ -227,6 +227,41 @@ def links(classes: DataFrame, docs: DataFrame, rounds: int = ROUNDS) -> DataFram
     return found.unionByName(_family_links(rows.filter(F.col("size") > MOST_MEETING), docs))
 
 
+def _families(rows: DataFrame) -> DataFrame:
+    """(id, family): classes that meet under the keys of *rows* (key, id,
+    first), directly or through others.
+
+    Every class is first connected with the smallest class of its keys only
+    (one edge a class); what is connected is contracted, and the edges between
+    contracted groups that are left, far fewer, go on until there is none."""
+    edges = materialise(rows.filter("id <> first").select(
+        F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b")).distinct(),
+        "family-edges")
+    member = None
+    while edges.limit(1).count():
+        least = materialise(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"),
+                            "least-edges")
+        labels = components(least)
+        if member is None:
+            member = labels.withColumnsRenamed({"node": "id", "component": "family"})
+        else:
+            member = materialise(
+                member.join(_small(labels), F.col("family") == F.col("node"), "left")
+                .select("id", F.coalesce("component", "family").alias("family")), "families")
+        side = _small(labels)
+        at = lambda c: side.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+        now = edges.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+            F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+        left = materialise(now.filter("a <> b").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "family-edges")
+        # Classes that are an edge's smaller end only join the table as they are.
+        new = (edges.select(F.col("a").alias("id")).distinct()
+               .join(member.select("id"), "id", "left_anti").withColumn("family", F.col("id")))
+        member = materialise(member.unionByName(new), "families")
+        edges = left
+    return member
+
+
 def _family_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Links between the components of large open keys.
 
@@ -235,12 +270,10 @@ def _family_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
     cell intersects all its shingle sets at once (a product of 0/1 matrices)
     and returns only links that join two components."""
     num, den = SIMILARITY
-    edges = materialise(rows.filter("id <> first").select(
-        F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "family-edges")
     kind = dict(rows.dtypes)["id"]
-    if edges.limit(1).count() == 0:
-        return edges.limit(0)
-    member = components(edges).select(F.col("node").alias("id"), F.col("component").alias("family"))
+    if rows.limit(1).count() == 0:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    member = _families(rows)
     chunks = member.groupBy("family").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)).cast("int").alias("chunks"))
     labels = rows.select("id", "c").distinct()
