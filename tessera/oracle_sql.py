@@ -1076,3 +1076,34 @@ _LOG_COLS = (["TotalUsageTime", "TotalRecords"] + LEARN_COLS
 ORACLE["f05_log_features"] = fq("SELECT * REPLACE (" + ", ".join(
     f"CASE WHEN (SELECT min({c}) FROM features) = 0 THEN ln({c} + 1) ELSE ln({c}) END AS {c}"
     for c in _LOG_COLS) + ") FROM features", (1,))
+
+
+def _compounds() -> str:
+    tokens = _split_words(_clean_full("text"))
+    return f"""
+WITH t AS (
+  SELECT 'documents' AS source, doc_id AS id, {tokens} AS tk FROM documents
+  UNION ALL SELECT 'benchmark', item_id, {tokens} FROM benchmark),
+w AS (
+  SELECT source, id, pos, tk[pos] AS a, tk[pos + 1] AS b
+  FROM (SELECT source, id, tk, unnest(range(1, len(tk) + 1)) AS pos FROM t)),
+pairs AS (
+  SELECT a, b, count(*) AS n FROM w WHERE source = 'documents' AND b IS NOT NULL GROUP BY a, b),
+lexicon AS (SELECT a, b FROM pairs WHERE n >= greatest(2, (SELECT sum(n) FROM pairs) * 0.0001)),
+hits AS (
+  SELECT source, id, pos, pos - row_number() OVER (PARTITION BY source, id ORDER BY pos) AS run
+  FROM w SEMI JOIN lexicon USING (a, b)),
+starts AS (
+  SELECT source, id, pos FROM (
+    SELECT *, min(pos) OVER (PARTITION BY source, id, run) AS first FROM hits) WHERE (pos - first) % 2 = 0),
+merged AS (
+  SELECT w.source, w.id, w.pos, CASE WHEN s.pos IS NULL THEN w.a ELSE w.a || '_' || w.b END AS token
+  FROM w LEFT JOIN starts s ON s.source = w.source AND s.id = w.id AND s.pos = w.pos
+  WHERE NOT EXISTS (SELECT 1 FROM starts p
+                    WHERE p.source = w.source AND p.id = w.id AND p.pos + 1 = w.pos))
+SELECT t.source, t.id, coalesce(string_agg(m.token, ' ' ORDER BY m.pos), '') AS tokens,
+       count(m.token) AS n_tokens
+FROM t LEFT JOIN merged m ON m.source = t.source AND m.id = t.id GROUP BY t.source, t.id"""
+
+
+ORACLE["g05_compound_merge"] = _compounds()
