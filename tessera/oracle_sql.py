@@ -1107,3 +1107,11 @@ FROM t LEFT JOIN merged m ON m.source = t.source AND m.id = t.id GROUP BY t.sour
 
 
 ORACLE["g05_compound_merge"] = _compounds()
+
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(
+  range(1, length(CAST({c} AS VARCHAR)) + 1), lambda i: ascii(substr(CAST({c} AS VARCHAR), i, 1))::BIGINT)),
+  lambda a, x: list_reduce(list_concat([xor(a, x)], range(8)),
+                           lambda b, i: xor(b >> 1, 3988292384 * (b & 1)))))"""
+ORACLE["a07_annotation_recode"] = tq(f"""SELECT FeedbackID,
+  CASE WHEN {_CRC32.format(c='FeedbackID')} % 4 < 2 THEN 'in' ELSE 'not in' END AS lookup_in_question
+  FROM feedback_pairs""")
