@@ -233,10 +233,14 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The documents whose language can be told, all input columns."""
+    """The documents whose language can be told, all input columns.  Where no
+    label could be learned from, documents with a letter stay."""
+    network = train(docs, per_language)
+    if network is None:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("row"), "text")
-    known = identify(rows, train(docs, per_language)).filter(F.col("lang_pred") != UNKNOWN)
+    known = identify(rows, network).filter(F.col("lang_pred") != UNKNOWN)
     return known.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c)
                           for c in docs.columns])
 

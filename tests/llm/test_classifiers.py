@@ -109,3 +109,10 @@ def test_language_odd_rows(spark):
     assert language_id.languages(docs.limit(0)).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id.languages(unlabelled).collect()} == {"und"}
+
+
+def test_without_labels_documents_with_letters_stay(spark):
+    docs = spark.createDataFrame([(1, "wörter", None), (2, "12 !", None), (3, None, None)],
+                                 "doc_id long, text string, lang string")
+    left = language_id.drop_unidentified(docs)
+    assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [1]
