@@ -50,10 +50,8 @@ BLOCK = 16
 PAD = BLOCK
 #: Texts worked on at a time; longer ones are cut into overlapping stretches.
 STRETCH = 1 << 20
-#: Text keys up to this number, and lists of places of up to this many places in
-#: all, are broadcast (at most some 32 MB); more are joined by a shuffle.
+#: Text keys up to this number are broadcast (some 10 MB), more are joined by a shuffle.
 BROADCAST_TEXTS = 200_000
-BROADCAST_PLACES = 2_000_000
 
 _REACH = LENGTH - GRAM + 1  # 64-byte strings in a window
 
@@ -262,12 +260,9 @@ def _listed(rows: DataFrame, value) -> DataFrame:
 
 
 def _with_places(texts: DataFrame, lists: DataFrame) -> DataFrame:
-    """(text, places): texts joined with their lists; broadcast only if few."""
-    lists = materialise(lists, "places")
-    count, places = lists.agg(F.count(F.lit(1)), F.sum(F.size("places"))).first()
-    small = count <= BROADCAST_TEXTS and (places or 0) <= BROADCAST_PLACES
-    side = F.broadcast(lists) if small else lists
-    return texts.join(side, ["u", "n"]).select("text", "places")
+    """(u, n, text, places): texts joined with their lists, by a shuffle at
+    every size."""
+    return texts.select("u", "n", "text").join(lists.hint("merge"), ["u", "n"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -283,6 +278,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     grams = rows.select("text").mapInArrow(_grams, "g long, u long, at long")
     again = (grams.groupBy("g").agg(F.min(occurrence).alias("_a"), F.max(occurrence).alias("_b"))
              .filter("_a < _b").select("g"))
+    # Written, so that a hot string's rows can be split when they are joined.
+    again = materialise(again, "again")
     alive = grams.join(again, "g", "left_semi")
     alive = materialise(_listed(alive, place), "alive")
 
@@ -291,14 +288,13 @@ def repeats(docs: DataFrame) -> DataFrame:
               .groupBy("u", "n").agg(F.min("doc_id").alias("_first")))
     chosen = materialise(chosen, "chosen")
     side = F.broadcast(chosen) if fits(chosen, BROADCAST_TEXTS) else chosen
-    texts = materialise(
-        rows.withColumn("_u", _key_of(F.col("text")))
-        .join(side, (F.col("_u") == F.col("u")) & (F.octet_length("text") == F.col("n"))
-              & F.col("doc_id").eqNullSafe(F.col("_first")))
-        .select("u", "n", "text"), "repeated-texts")
+    texts = (rows.withColumn("_u", _key_of(F.col("text")))
+             .join(side, (F.col("_u") == F.col("u")) & (F.octet_length("text") == F.col("n"))
+                   & F.col("doc_id").eqNullSafe(F.col("_first"))))
+    texts = materialise(_with_places(texts, alive), "repeated-texts")
 
     # Round 2: blocks of 16 windows.
-    blocks = _with_places(texts, alive).mapInArrow(
+    blocks = texts.select("text", "places").mapInArrow(
         _blocks, "core long, cover long, u long, at long")
     named = (blocks.groupBy("core", "cover")
              .agg(F.min(occurrence).alias("_a"), F.max(occurrence).alias("_b")))
@@ -315,7 +311,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     # Round 3: single windows of opened blocks; settled ones only bear witness.
     code = place * 2 + (~F.col("settled")).cast("long")
-    windows = _with_places(texts, _listed(found.filter("opened"), code)).mapInArrow(
+    opened = materialise(_with_places(texts, _listed(found.filter("opened"), code)), "opened-texts")
+    windows = opened.select("text", "places").mapInArrow(
         _windows, "r1 long, r2 long, u long, at long, asked boolean")
     equal = (windows.groupBy("r1", "r2")
              .agg(F.min(occurrence).alias("_a"), F.max(occurrence).alias("_b"),
@@ -325,7 +322,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         "u", "at", (place * 2).alias("code"))
     whole = found.filter("settled").select("u", "at", (place * 2 + 1).alias("code"))
     starts = _listed(single.unionByName(whole), F.col("code"))
-    cut = materialise(_with_places(texts, starts).mapInArrow(
+    cut = materialise(_with_places(texts, starts).select("text", "places").mapInArrow(
         _removed, "u long, n long, n_removed long, n_spans long, kept string")
         .dropDuplicates(["u", "n"]), "removed")
 
