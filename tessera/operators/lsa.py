@@ -1,9 +1,10 @@
 """Dense vector spaces: PCA and LSI (truncated SVD) of TF-IDF, and exact
 top-k search in those spaces (survey H08-H13).
 
-The term space is bounded (the ``max_features`` most frequent terms), so a
-vector is a fixed-length array and the PCA covariance / SVD Gram matrix is
-``d × d`` with small ``d``.  Search scores every (query, document) pair
+The term space is bounded (the ``max_features`` most frequent terms), so the
+PCA covariance / SVD Gram matrix is ``d × d`` with small ``d``.  Vectors are
+held sparse, ``(id, terms, values)``, and made dense block by block inside the
+tasks that multiply them.  Search scores every (query, document) pair
 exactly, but never as rows: each document partition multiplies blocks of its
 vectors with blocks of a bounded slice of the queries and keeps a running
 top-k per query; a final top-k merges the partitions.
@@ -12,14 +13,12 @@ top-k per query; a final top-k merges the partitions.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of a broadcast slice of queries; rows and queries scored at a time.
@@ -29,117 +28,210 @@ BLOCK_QUERIES = 512
 SCORE_DIGITS = 10
 
 
-def dense_vectors(weights: DataFrame, term_ids: DataFrame, dim: int) -> DataFrame:
-    """``(id, term, w)`` + ``(term, term_id)`` → ``(id, vec array<double>)``
-    of length ``dim`` (absent terms are 0).  One row per id, built from that
-    id's own terms only."""
-    j = weights.join(F.broadcast(term_ids), "term")          # term_ids has ``dim`` rows
-    g = j.groupBy("id").agg(F.map_from_entries(F.collect_list(
-        F.struct(F.col("term_id").cast("int"), F.col("w")))).alias("_m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return g.select("id", arr.alias("vec"))
+def term_places(docs: DataFrame, id_col: str, terms: list[str], tokens: Column) -> DataFrame:
+    """``(id, terms array<int>, counts array<int>)``: which of *terms* (by place
+    in that bounded list) a text holds, and how often.  Each task looks its
+    texts' tokens up batch by batch; texts that share an id are brought
+    together (their places may then repeat).  Ids without any term are left out."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(terms, pa.string())
+        for batch in batches:
+            lists = batch.column("_t")
+            place = pc.index_in(lists.flatten(), value_set=known)
+            row = pc.list_parent_indices(lists).filter(place.is_valid()).to_numpy(zero_copy_only=False)
+            place = place.drop_null().to_numpy(zero_copy_only=False)
+            cell, n = np.unique(row.astype(np.int64) * len(terms) + place, return_counts=True)
+            held, first = np.unique(cell // max(len(terms), 1), return_index=True)
+            ends = pa.array(np.append(first, len(cell)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(held)),
+                 pa.ListArray.from_arrays(ends, pa.array(cell % max(len(terms), 1), pa.int32())),
+                 pa.ListArray.from_arrays(ends, pa.array(n, pa.int32()))],
+                names=["id", "terms", "counts"])
+
+    rows = docs.select(F.col(id_col).alias("id"), tokens.alias("_t")).mapInArrow(
+        look_up, f"id {kind}, terms array<int>, counts array<int>")
+    return rows.groupBy("id").agg(F.collect_list(F.struct("terms", "counts")).alias("_r")).select(
+        "id", F.flatten("_r.terms").alias("terms"), F.flatten("_r.counts").alias("counts"))
+
+
+def unit_vectors(places: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``(id, terms, values)`` of ``(id, terms, counts)``: counts times *idf*,
+    of unit length; weights of 0 are dropped, and ids without a weight."""
+    kind, dim = places.schema["id"].dataType.simpleString(), len(idf)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(start, BLOCK_ROWS)
+                x = _sparse_block(part.column("terms"), part.column("counts"), dim) * idf
+                norm = np.sqrt((x * x).sum(axis=1))
+                x /= np.where(norm == 0, 1, norm)[:, None]
+                row, place = np.nonzero(x)
+                held, first = np.unique(row, return_index=True)
+                ends = pa.array(np.append(first, len(row)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(held)),
+                     pa.ListArray.from_arrays(ends, pa.array(place, pa.int32())),
+                     pa.ListArray.from_arrays(ends, pa.array(x[row, place]))],
+                    names=["id", "terms", "values"])
+
+    return places.select("id", "terms", "counts").mapInArrow(
+        weigh, f"id {kind}, terms array<int>, values array<double>")
+
+
+def _sparse_block(terms: pa.ListArray, values: pa.ListArray, dim: int) -> np.ndarray:
+    """Rows x dim; values of one place are added up."""
+    row = pc.list_parent_indices(terms).to_numpy(zero_copy_only=False).astype(np.int64)
+    cell = row * dim + terms.flatten().to_numpy(zero_copy_only=False)
+    value = values.flatten().to_numpy(zero_copy_only=False)
+    return np.bincount(cell, value, len(terms) * dim).reshape(len(terms), dim)
+
+
+def _blocks(batch: pa.RecordBatch, dim: int | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The id column and the dense rows of at most BLOCK_ROWS rows at a time;
+    *dim* None: the rows are dense arrays ``vec``."""
+    for start in range(0, batch.num_rows, BLOCK_ROWS):
+        part = batch.slice(start, BLOCK_ROWS)
+        if dim is None:
+            x = part.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+        else:
+            x = _sparse_block(part.column("terms"), part.column("values"), dim)
+        yield (part.column("id") if "id" in part.schema.names else None), x
+
+
+def _columns(dim: int | None) -> list[str]:
+    return ["vec"] if dim is None else ["terms", "values"]
 
 
 # H08 ---------------------------------------------------------------------------
-def fit_pca(vectors: DataFrame, k: int):
-    """Centre (no scaling) and fit PCA once at the largest k."""
-    v = vectors.select("id", array_to_vector("vec").alias("x"))
-    centre = StandardScaler(inputCol="x", outputCol="xc", withMean=True, withStd=False).fit(v)
-    pca = PCA(k=k, inputCol="xc", outputCol="pc").fit(centre.transform(v))
-    return centre, pca
+@dataclass
+class Pca:
+    """Means and sample deviations of the features, and the first components
+    (features x k)."""
 
+    mean: np.ndarray
+    deviation: np.ndarray
+    components: np.ndarray
 
-def spectrum(vectors: DataFrame) -> np.ndarray:
-    """Variances along all principal components, largest first: eigenvalues of
-    the covariance, which is the Gram matrix less n times the mean's square.
-    One pass sums the Gram matrix of (vector, 1), whose last row is the sum."""
-    g = gram_matrix(vectors.select(F.concat("vec", F.array(F.lit(1.0))).alias("vec")))
+
+def covariance(vectors: DataFrame, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample covariance: the Gram matrix less n times the mean's
+    square.  One pass sums the Gram matrix of (vector, 1), whose last row is
+    the sum."""
+    g = gram_matrix(vectors, dim, ones=True)
     n, total = g[-1, -1], g[-1, :-1]
-    cov = (g[:-1, :-1] - np.outer(total, total) / n) / max(n - 1, 1)
-    return np.maximum(np.linalg.eigvalsh(cov)[::-1], 0)
+    return total / n, (g[:-1, :-1] - np.outer(total, total) / n) / max(n - 1, 1)
+
+
+def fit_pca(vectors: DataFrame, k: int, dim: int | None = None) -> Pca:
+    """Centred (not scaled) PCA: the k first eigenvectors of the covariance."""
+    mean, cov = covariance(vectors, dim)
+    values, axes = np.linalg.eigh(cov)
+    return Pca(mean, np.sqrt(np.maximum(np.diag(cov), 0)), axes[:, np.argsort(-values)[:k]])
 
 
-def explained_variance(vectors: DataFrame, step: int = 100) -> DataFrame:
+def spectrum(vectors: DataFrame, dim: int | None = None) -> np.ndarray:
+    """Variances along all principal components, largest first: eigenvalues of
+    the covariance."""
+    return np.maximum(np.linalg.eigvalsh(covariance(vectors, dim)[1])[::-1], 0)
+
+
+def explained_variance(vectors: DataFrame, step: int = 100, dim: int | None = None) -> DataFrame:
     """(k, cumulative): the share of the variance that the first k components
     explain, for k = 0, step, 2 step ... and all; prefix sums of one spectrum."""
-    values = spectrum(vectors)
+    values = spectrum(vectors, dim)
     cum = np.concatenate([[0.0], np.cumsum(values) / max(values.sum(), 1e-300)])
     grid = sorted({*range(0, len(values), step), len(values)})
     return vectors.sparkSession.createDataFrame([(k, float(cum[k])) for k in grid],
                                                 "k int, cumulative double")
 
 
-def project_pca(centre, pca, vectors: DataFrame) -> DataFrame:
-    v = vectors.select("id", array_to_vector("vec").alias("x"))
-    out = pca.transform(centre.transform(v))
-    return out.select("id", vector_to_array("pc").alias("vec"))
+def project(vectors: DataFrame, axes: np.ndarray, mean: np.ndarray | None = None,
+            dim: int | None = None) -> DataFrame:
+    """``(id, vec)``: the vectors, less *mean*, along *axes* (features x k)."""
+    kind = vectors.schema["id"].dataType.simpleString()
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, x in _blocks(batch, dim):
+                y = (x if mean is None else x - mean) @ axes
+                ends = pa.array(np.arange(len(y) + 1) * axes.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.ListArray.from_arrays(ends, pa.array(y.ravel()))], names=["id", "vec"])
+
+    return vectors.select("id", *_columns(dim)).mapInArrow(along, f"id {kind}, vec array<double>")
 
 
 # H13 ---------------------------------------------------------------------------
-def reconstruction_error(centre, pca, vectors: DataFrame) -> DataFrame:
+def reconstruction_error(pca: Pca, vectors: DataFrame, dim: int | None = None) -> DataFrame:
     """RMSE of reconstructing the centred vectors from k components, next
     to the mean per-feature standard deviation."""
-    P = np.asarray(pca.pc.toArray())                      # d × k, small
-    mean = np.asarray(centre.mean.toArray())
+    mean, axes = pca.mean, pca.components
 
-    @F.pandas_udf("double")
-    def sq_err(vec: pd.Series) -> pd.Series:
-        X = np.stack(vec.to_numpy()) - mean
-        R = X - (X @ P) @ P.T
-        return pd.Series((R * R).sum(axis=1))
+    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, x in _blocks(batch, dim):
+                x = x - mean
+                rest = x - (x @ axes) @ axes.T
+                yield pa.RecordBatch.from_arrays([pa.array((rest * rest).sum(axis=1))], names=["se"])
 
-    e = vectors.select(sq_err("vec").alias("se"), F.size("vec").alias("d"))
-    d = len(mean)
-    stds = vectors.select(array_to_vector("vec").alias("x")).select(
-        Summarizer.std(F.col("x")).alias("s")).first()["s"].toArray()   # sample deviation
-    rmse = e.agg(F.sqrt(F.sum("se") / (F.count(F.lit(1)) * d)).alias("rmse"))
-    mean_std = float(stds.mean())
-    return rmse.withColumn("mean_feature_std", F.lit(mean_std))
+    e = vectors.select(*_columns(dim)).mapInArrow(squares, "se double")
+    rmse = e.agg(F.sqrt(F.sum("se") / (F.count(F.lit(1)) * len(mean))).alias("rmse"))
+    return rmse.withColumn("mean_feature_std", F.lit(float(pca.deviation.mean())))
 
 
 # H09 ---------------------------------------------------------------------------
-def gram_matrix(vectors: DataFrame) -> np.ndarray:
+def gram_matrix(vectors: DataFrame, dim: int | None = None, ones: bool = False) -> np.ndarray:
     """The Gram matrix (d x d, d bounded by the term space) of all rows of
-    *vectors* (vec).  Every task sums the matrix of its own rows block by
-    block; the tasks' matrices are added up row by row in Spark."""
-    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    *vectors*, with a last feature of 1 if *ones*.  Every task sums the matrix
+    of its own rows block by block; the tasks' matrices are dealt out by row
+    number and added up row by row in Spark."""
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for pdf in batches:
-            for start in range(0, len(pdf), BLOCK_ROWS):
-                x = np.stack(pdf["vec"].iloc[start:start + BLOCK_ROWS].to_numpy())
+        for batch in batches:
+            for _, x in _blocks(batch, dim):
+                if ones:
+                    x = np.hstack([x, np.ones((len(x), 1))])
                 total = x.T @ x if total is None else total + x.T @ x
         if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
-
-    parts = vectors.select("vec").mapInPandas(gram, "i int, row array<double>")
-    cells = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(
-        F.sum("x").alias("x"))
-    rows = cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("r"))
-    full = rows.select("i", F.col("r.x").alias("x")).orderBy("i").toPandas()   # d rows
-    return np.stack(full["x"].to_numpy())
-
-
-def fit_lsi(vectors: DataFrame, k: int) -> np.ndarray:
+            yield _rows(np.arange(len(total)), total)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = batch.column("row").flatten().to_numpy(zero_copy_only=False)
+            for i, row in zip(batch.column("i").to_pylist(), rows.reshape(batch.num_rows, -1)):
+                sums[i] = sums[i] + row if i in sums else row.copy()
+        if sums:
+            yield _rows(np.array(list(sums)), np.stack(list(sums.values())))
+
+    schema = "i int, row array<double>"
+    parts = vectors.select(*_columns(dim)).mapInArrow(gram, schema)
+    full = parts.repartition("i").mapInArrow(add_up, schema).orderBy("i").toArrow()     # d rows
+    if not full.num_rows:
+        raise ValueError("no vectors")
+    flat = full.column("row").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(full.num_rows, -1)
+
+
+def _rows(numbers: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array(np.arange(len(matrix) + 1) * matrix.shape[1], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(matrix.ravel()))],
+        names=["i", "row"])
+
+
+def fit_lsi(vectors: DataFrame, k: int, dim: int | None = None) -> np.ndarray:
     """Truncated SVD of the (uncentred) document × term matrix; returns the
     term-side singular vectors V (d × k), by falling singular value."""
-    values, vectors_ = np.linalg.eigh(gram_matrix(vectors))
+    values, vectors_ = np.linalg.eigh(gram_matrix(vectors, dim))
     order = np.argsort(-values)[:k]
     return vectors_[:, order]
 
 
-def project_lsi(vectors: DataFrame, V: np.ndarray) -> DataFrame:
-    """Topic vector ``Vᵀ x`` (as the LSI transform of a bag of words)."""
-    Vb = V
-
-    @F.pandas_udf("array<double>")
-    def proj(vec: pd.Series) -> pd.Series:
-        X = np.stack(vec.to_numpy())
-        return pd.Series(list(X @ Vb))
-
-    return vectors.select("id", proj("vec").alias("vec"))
-
-
 # H10 / H11 / H12 ---------------------------------------------------------------------
 def best_rows(key: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each row of *key* (rows x columns, smaller is better) and its *ids*
