@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tessera.operators.quantiles import exact_percentiles
+from tessera.operators.joins import fits_broadcast
 from tessera.operators.ranks import cumulative_desc, global_row_number, running_by
 from tessera.session import written
 
@@ -420,28 +421,34 @@ def permuted_rows(test: DataFrame, features: Sequence[str], key: str, repeats: i
     """*test* once as it is (feature "", repeat 0) and once for each feature and
     repeat with that feature's values permuted among the rows.
 
-    Rows are numbered once in a seeded order; a permutation maps number i to
-    (a i + b) mod n with a and n without a common factor, so it is known on
-    every row and the values come by one join on (feature, number)."""
+    Rows are numbered once in a seeded order; with a permutation number i takes
+    the value of number (a i + b) mod n, with a and n without a common factor.
+    So every value knows the number it goes to, and only (number, feature,
+    repeat, value) is made for each feature and repeat.  These meet the rows by
+    number: the rows are broadcast if their counted size allows, otherwise both
+    sides are sorted.  The planner must not choose, as it takes exploded rows
+    for as few as there were before."""
     rows = written(global_row_number(test.select(key, LABEL, *features), F.struct(
         seeded_order(key, seed).alias("a"), F.col(key).alias("b")), "_r"), "test-rows")
     n = rows.count()
     rng = random.Random(seed)
-    draws = [(f, r, _multiplier(n, rng), rng.randrange(max(n, 1)))
-             for f in features for r in range(1, repeats + 1)]
-    plan = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"),
-                              F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-                     for f, r, a, b in draws])
-    each = rows.withColumn("_d", F.explode(plan)).select(
-        key, LABEL, *features, "_d.feature", "_d.repeat",
-        ((F.col("_d.a") * (F.col("_r") - 1) + F.col("_d.b")) % F.lit(max(n, 1)) + 1).alias("_from"))
-    values = rows.select("_r", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
-        for f in features])).alias("_c")).select(
-        F.col("_r").alias("_from"), F.col("_c.feature").alias("feature"), F.col("_c.v").alias("_v"))
-    swapped = each.join(values, ["feature", "_from"]).select(
-        key, LABEL, "feature", "repeat",
-        *[F.when(F.col("feature") == f, F.col("_v")).otherwise(F.col(f)).alias(f) for f in features])
+    draws = [(i, r, _multiplier(n, rng), rng.randrange(max(n, 1)))
+             for i in range(1, len(features) + 1) for r in range(1, repeats + 1)]
+    plan = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("repeat"),
+                              F.lit(pow(a, -1, max(n, 1))).cast("long").alias("back"),
+                              F.lit(b).cast("long").alias("b")) for i, r, a, b in draws])
+    number = F.pmod(F.col("_d.back") * (F.col("_r") - 1 - F.col("_d.b")), F.lit(max(n, 1))) + 1
+    names = F.array(*[F.lit(f) for f in features])
+    moved = rows.select("_r", F.array(*[F.col(f).cast("double") for f in features]).alias("_all"),
+                        F.explode(plan).alias("_d")).select(
+        number.alias("_r"), F.col("_d.i").alias("_i"), F.col("_d.repeat").alias("repeat"),
+        F.element_at("_all", F.col("_d.i")).alias("_v"))
+    met = (moved.join(F.broadcast(rows), "_r") if fits_broadcast(rows)
+           else moved.hint("merge").join(rows, "_r"))
+    swapped = met.select(
+        key, LABEL, F.element_at(names, F.col("_i")).alias("feature"), "repeat",
+        *[F.when(F.col("_i") == i, F.col("_v")).otherwise(F.col(f)).alias(f)
+          for i, f in enumerate(features, 1)])
     plain = rows.select(key, LABEL, F.lit("").alias("feature"), F.lit(0).alias("repeat"),
                         *[F.col(f).cast("double").alias(f) for f in features])
     return plain.unionByName(swapped)

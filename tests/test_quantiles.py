@@ -72,3 +72,21 @@ def test_an_informative_feature_is_more_important(spark):
     got = {r.feature: r.importance for r in M.permutation_importance(
         model, df, ["good", "noise"], "k", repeats=3).collect()}
     assert got["good"] > 0.3 > abs(got["noise"])
+
+
+def test_the_permuted_rows_are_never_broadcast(spark, monkeypatch):
+    """One wide row for each feature and repeat: what is broadcast are the test
+    rows at most, and nothing if they are too large; both give the same rows."""
+    names = [f"f{i}" for i in range(8)]
+    df = spark.createDataFrame([(i, i % 2, *[float(i * j) for j in range(8)]) for i in range(50)],
+                               "k long, Label int, " + ", ".join(f"{c} double" for c in names))
+    found = []
+    for fits in (True, False):
+        monkeypatch.setattr(M, "fits_broadcast", lambda rows, fits=fits: fits)
+        rows = M.permuted_rows(df, names, "k", repeats=20)
+        found.append(sorted(map(tuple, rows.collect())))
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        joins = [line for line in plan.splitlines() if "HashJoin" in line or "MergeJoin" in line]
+        assert len(joins) == 1 and ("BroadcastHashJoin" in joins[0]) == fits
+        assert not fits or "BuildRight" in joins[0]
+    assert found[0] == found[1] and len(found[0]) == 50 * (8 * 20 + 1)
