@@ -168,3 +168,47 @@ def test_containment_finds_short_and_word_cutting_passages(spark, tmp_path):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     out = {r.query_id: r.outcome for r in SP.search_evaluation(t).collect()}
     assert set(out) == set(range(1, 12)) and out[5] == "No result"
+
+
+# Character classes of the cleaners -------------------------------------------------
+def plain_clean_full(col):
+    t = F.regexp_replace(F.lower(F.col(col)), f"[^a-z0-9{TX.VIET_LETTERS}]+", " ")
+    return TX.squeeze(F.regexp_replace(t, "(^| )0+", "$1"))
+
+
+def plain_accent_delete(col):
+    return TX.squeeze(F.regexp_replace(F.lower(F.col(col)), f"[{TX.VIET_LETTERS}_]", ""))
+
+
+def plain_letters(col):
+    t = F.translate(F.col(col), TX.PUNCT_FILTERS, " " * len(TX.PUNCT_FILTERS))
+    return F.lower(F.regexp_replace(t, r"\d+", ""))
+
+
+def plain_words(col):
+    return F.regexp_extract_all(F.lower(F.col(col)), F.lit(r"[\p{L}\p{N}_]{2,}"), 0)
+
+
+def test_cleaners_equal_plain_classes(spark):
+    import random
+
+    rng = random.Random(5)
+    signs = TX.VIET_LETTERS + TX.VIET_LETTERS.upper() + TX.PUNCT_FILTERS + \
+        "'abcxyzABZ0012 09   \n\t\r\x00\x7f\x80ÿéßŸœıİſΣς١²½Ⅷ漢ひ😀𝔘𝟘́"
+    texts = ["".join(rng.choices(signs, k=rng.choice([0, 1, 3, 10, 60]))) for _ in range(3000)]
+    texts += [None, "0", " 00 0 007 a0 0a", "x\n0 0"]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    pairs = {"full": (TX.clean_full("t"), plain_clean_full("t")),
+             "accent": (TX.clean_accent_delete("t", True), plain_accent_delete("t")),
+             "letters": (TX.clean_letters("t"), plain_letters("t")),
+             "words": (TX.word_tokens("t"), plain_words("t"))}
+    assert df.agg(*[F.count_if(~a.eqNullSafe(b)).alias(k) for k, (a, b) in pairs.items()]
+                  ).first().asDict() == dict.fromkeys(pairs, 0)
+
+
+def test_long_classes_stand_behind_a_range_test(spark):
+    """Else java.util.regex tests some 60 letters for each ASCII character."""
+    assert TX.VIET_LETTERS in TX._VIET and TX._VIET.startswith("[\\x{80}-") and "&&" in TX.WORD_RE
+    for clean in (TX.clean_full("t"), TX.clean_accent_delete("t"), TX.clean_accent_delete("t", True)):
+        assert TX._VIET in str(clean)
+    assert "translate" not in str(TX.clean_letters("t"))
