@@ -56,13 +56,19 @@ def class_ranks(df: DataFrame, key: str, label: str = LABEL, seed: int = 42) ->
             .withColumn("_k", F.col("_r") - F.col("_before")).drop("_r", "_class", "_before"))
 
 
+def test_flags(df: DataFrame, key: str, label: str = LABEL, test_fraction: float = 0.2,
+               seed: int = 42) -> DataFrame:
+    """*df* plus ``_test``: of every class, round(n · ``test_fraction``) rows,
+    the first in seeded order, are test rows."""
+    test = F.col("_k") <= F.floor(F.col("_n") * test_fraction + 0.5)
+    return class_ranks(df, key, label, seed).withColumn("_test", test).drop("_k", "_n")
+
+
 def stratified_split(df: DataFrame, key: str, label: str = LABEL, test_fraction: float = 0.2,
                      seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Exact split: of every class, round(n · ``test_fraction``) rows, the
-    first in seeded order, are test rows."""
-    ranked = class_ranks(df, key, label, seed)
-    test = F.col("_k") <= F.floor(F.col("_n") * test_fraction + 0.5)
-    return ranked.filter(~test).drop("_k", "_n"), ranked.filter(test).drop("_k", "_n")
+    """Exact split by :func:`test_flags`: (train, test)."""
+    ranked = test_flags(df, key, label, test_fraction, seed)
+    return ranked.filter(~F.col("_test")).drop("_test"), ranked.filter("_test").drop("_test")
 
 
 # I02 / I03 ---------------------------------------------------------------------
@@ -359,21 +365,27 @@ def metric_table(table: DataFrame, horizons: Sequence[int], features: Sequence[s
                  policies: Sequence[str], kind: str = "gbt") -> DataFrame:
     """(horizon, policy, accuracy, precision, recall, f1, auc_hard): a model
     for each horizon of *table* and weight policy, measured on its exact test
-    split.  Fits run side by side; all predictions are measured in one pass."""
+    split.  *table* is computed once: its rows are assembled and written in a
+    folder a horizon.  Splits and fits run side by side, each split ranked and
+    written once; all predictions are measured in one pass."""
     spark = table.sparkSession
-    splits = {}
-    for h in horizons:
-        tr, te = stratified_split(table.filter(F.col("horizon") == h).drop("horizon"), key)
-        splits[h] = (written(tr, "train"), written(te, "test"))
+    rows = written(assembler(features).transform(table).select("horizon", key, LABEL, "features"),
+                   "horizons", by=["horizon"])
+
+    @inheritable_thread_target(spark)
+    def split(h: int) -> DataFrame:
+        return written(test_flags(rows.filter(F.col("horizon") == h).drop("horizon"), key),
+                       "split", by=["_test"])
 
     @inheritable_thread_target(spark)
     def fit(case: tuple[int, str]) -> DataFrame:
-        train, test = splits[case[0]]
-        model = fit_pipeline(policy_weights(train, case[1]), features, kind, weight_col="weight")
+        train, test = (splits[case[0]].filter(w).drop("_test") for w in ("not _test", "_test"))
+        model = classifier(kind, weight_col="weight").fit(policy_weights(train, case[1]))
         return scored(model, test, key).select(F.lit(case[0]).alias("horizon"),
                                                F.lit(case[1]).alias("policy"), LABEL, "prediction")
 
     with ThreadPool(PARALLEL_FITS) as pool:
+        splits = dict(zip(horizons, pool.map(split, horizons)))
         parts = pool.map(fit, [(h, p) for h in horizons for p in policies])
     every = parts[0]
     for part in parts[1:]:
