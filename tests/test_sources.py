@@ -67,3 +67,38 @@ def test_spread_only_when_few_partitions(spark):
     assert TB.spread(df, "id").rdd.getNumPartitions() == 50
     one = spark.range(100).coalesce(1)
     assert TB.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_feedback_pairs_join_a_line_of_the_next_document(spark):
+    """The next document's whole text used to be shuffled for one line of it."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from tessera.sources import views as V
+
+    docs = [(i, f"a{i}\nb{i}\nc{i}") for i in range(8)] + [(3, "x3\ny3"), (4, "x4"), (None, "n\nn"), (6, None)]
+    labels = [(i, i % 2, 0) for i in range(9)] + [(2, 0, 1), (3, 1, 1), (None, 0, 0), (5, None, 0)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    t = SimpleNamespace(documents=d, labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = V.feedback_pairs(t)
+    full = {}
+    for i, text in docs:
+        if i is not None and text is not None and i % 3 == 0:
+            text += f" \\( x^2 + {i} = 0 \\)"
+        full.setdefault(i, []).append(text)
+    line = lambda i, text: text and text.split("\n")[i % len(text.split("\n"))]
+    want = []
+    for i, quality, toxic in labels:
+        for text in full.get(i, []) if i is not None else []:
+            for after in full.get(i + 1) or [None]:
+                lookup = line(i, text) if quality == 1 else line(i, after)
+                if lookup is not None:
+                    want.append((i, lookup, text))
+    rows = [(r.FeedbackID, r.LookupText, r.QuestionText) for r in got.collect()]
+    key = lambda r: (r[0], r[1], r[2] or "")
+    assert sorted(rows, key=key) == sorted(want, key=key) and len(rows) > 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan[plan.index("Join"):]
+    assert "next_line" in joins and "AS next_text" not in joins.split("next_line")[0]
+    assert got.filter(F.col("FeedbackID").isNull()).isEmpty()
